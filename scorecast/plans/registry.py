@@ -60,7 +60,7 @@ def d_strip(x: str) -> str:
 def d_title(x: str) -> str:
     """Title case of blank-separated words."""
     return (f"array_to_string(list_transform(string_split({x}, ' '), "
-            f"w -> upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')")
+            f"lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')")
 
 
 def d_code(col: str, src: str | None = None) -> str:
