@@ -99,6 +99,24 @@ def gram_columns(features: list[str], target: str, center_x: list[float], center
     return cols
 
 
+def gram_frame(df: DataFrame, columns: list[str], group_col: str | None = None) -> DataFrame:
+    """Long form (group, i, j, feature_a, feature_b, n, sum) of uncentred
+    cross-product sums over complete rows, i <= j, one aggregate pass."""
+    complete = df
+    for c in columns:
+        complete = complete.where(F.col(c).isNotNull())
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    aggs = [F.count(F.lit(1)).alias("n")] + [
+        F.sum(F.col(columns[i]).cast("double") * F.col(columns[j]).cast("double")).alias(f"s_{i}_{j}")
+        for i, j in pairs]
+    wide = complete.groupBy(*([group_col] if group_col else [])).agg(*aggs)
+    items = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("feature_a"),
+                      F.lit(columns[j]).alias("feature_b"), F.col(f"s_{i}_{j}").alias("sum")) for i, j in pairs]
+    return wide.select(*([group_col] if group_col else []), F.col("n").cast("bigint").alias("n"),
+                       F.explode(F.array(*items)).alias("s")).select(
+        *([group_col] if group_col else []), "s.i", "s.j", "s.feature_a", "s.feature_b", "n", "s.sum")
+
+
 def feature_means(df: DataFrame, features: list[str], target: str) -> tuple[np.ndarray, float]:
     row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)], F.avg(target).alias("my")).first()
     mx = np.array([row[f"m{i}"] or 0.0 for i in range(len(features))], dtype=float)

@@ -84,4 +84,4 @@ def score_requests(df: DataFrame, model, maps: dict | None = None, rules: dict |
     p = clip_score(raw) if clip else raw
     return enc.select(
         key, F.when(F.size("__errors") == 0, round_half_even(p, places)).alias("predicted_exam_score"),
-        F.element_at(F.col("__errors"), 1).alias("error"))
+        F.try_element_at(F.col("__errors"), F.lit(1)).alias("error"))

@@ -63,7 +63,7 @@ def validate_ranges(df: DataFrame, rules: dict | None = None) -> DataFrame:
 def validate_categories(df: DataFrame, maps: dict | None = None) -> DataFrame:
     """``error`` holds the first failing column in map order (request semantics)."""
     checks = category_checks(maps, [c for c in (maps or CATEGORY_MAPS) if c in df.columns])
-    return with_errors(df, checks).withColumn("error", F.element_at(F.col("errors"), 1))
+    return with_errors(df, checks).withColumn("error", F.try_element_at(F.col("errors"), F.lit(1)))
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -34,7 +34,8 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType = RAW_SC
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", na: str = "") -> None:
-    df.write.mode(mode).option("header", True).option("nullValue", na).option("emptyValue", '""').csv(path)
+    (df.write.mode(mode).option("header", True).option("nullValue", na).option("emptyValue", '""')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 # ---------------------------------------------------------------------------
@@ -104,8 +105,7 @@ def write_reference_set(df: DataFrame, path: str) -> None:
 def write_batch(df: DataFrame, root: str, batch_id: str) -> str:
     """Scored batch as ``root/<batch_id>.csv/`` (a CSV folder named by the id)."""
     path = f"{root.rstrip('/')}/{batch_id}.csv"
-    df.select(*[f.name for f in SCORED_SCHEMA.fields]).coalesce(1).write.mode("overwrite").option(
-        "header", True).csv(path)
+    write_csv(df.select(*[f.name for f in SCORED_SCHEMA.fields]).coalesce(1), path)
     return path
 
 
