@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_models, q_monitor, q_prepare, q_profile  # noqa: F401
+from . import q_models, q_monitor, q_prepare, q_profile, q_stream  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 
