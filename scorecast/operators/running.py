@@ -82,10 +82,11 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
         F.max(F.when((F.col("__before") <= F.col("__lo")) & (F.col("__lo") < F.col("cum_n")), v)).alias("__vlo"),
         F.max(F.when((F.col("__before") <= F.col("__hi")) & (F.col("__hi") < F.col("cum_n")), v)).alias("__vhi"),
     )
-    frac = F.col("__h") - F.col("__lo")
-    return agg.select(
-        *group_cols, "p", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * frac).alias("q")
-    )
+    # numpy's 'linear' lerp: a + (b-a)t below t = 0.5, b - (b-a)(1-t) from there
+    t = F.col("__h") - F.col("__lo")
+    diff = F.col("__vhi") - F.col("__vlo")
+    q = F.when(t >= 0.5, F.col("__vhi") - diff * (F.lit(1.0) - t)).otherwise(F.col("__vlo") + diff * t)
+    return agg.select(*group_cols, "p", q.alias("q"))
 
 
 def approx_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],

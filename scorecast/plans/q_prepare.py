@@ -139,3 +139,15 @@ def q_hash_split(spark, sf_dir):
 def q_fold_counts(spark, sf_dir):
     h = with_split_and_fold(habits(spark, sf_dir))
     return h.groupBy("is_test", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("drop_ident", f"{WITH_HABITS} SELECT * EXCLUDE (student_id) FROM habits")
+def q_drop_ident(spark, sf_dir):
+    """Drop the identifier (names that are absent are ignored)."""
+    return habits(spark, sf_dir).drop("student_id", "row_index_not_present")
+
+
+@query("feature_select", f"{WITH_HABITS} SELECT {', '.join(FEATURE_COLUMNS)} FROM (SELECT {d_prepared()} FROM habits)")
+def q_feature_select(spark, sf_dir):
+    """Model inputs in the saved feature order (all columns but key and target)."""
+    return prepared(spark, sf_dir).select(*FEATURE_COLUMNS)

@@ -16,7 +16,7 @@ from ..schema import (CATEGORICAL_COLUMNS, CORR_COLUMNS, HIST_BINS_FEATURE, HIST
                       OUTLIER_COLUMNS, PROFILE_NUMERIC, SCATTER_FEATURES, TARGET_COLUMN)
 from ..session import table
 from ..sources.standin import habits
-from .registry import D_MODE_PARENT, WITH_HABITS, d_strip, d_title, dlit, dr, query, rnd
+from .registry import D_MODE_PARENT, WITH_HABITS, d_lerp, d_strip, d_title, dlit, dr, query, rnd
 
 DESCRIBE_COLUMNS = OUTLIER_COLUMNS + ["total_screen_time", "study_to_leisure_ratio"]
 LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -71,10 +71,13 @@ def q_missing_report(spark, sf_dir):
 
 
 def _describe_sql(with_clause: str, columns: list[str], src: str) -> str:
-    return (f"{with_clause}, long AS ({d_long(columns, src)}) SELECT feature, CAST(count(value) AS BIGINT) AS count, "
-            f"{dr('avg(value)', 2)} AS mean, {dr('stddev_samp(value)', 2)} AS std, {dr('min(value)', 2)} AS min, "
-            f"{dr('quantile_cont(value, 0.25)', 2)} AS q25, {dr('quantile_cont(value, 0.5)', 2)} AS q50, "
-            f"{dr('quantile_cont(value, 0.75)', 2)} AS q75, {dr('max(value)', 2)} AS max FROM long GROUP BY feature")
+    return (f"{with_clause}, long AS ({d_long(columns, src)}), a AS (SELECT feature, count(value) AS n, avg(value) AS mean, "
+            f"stddev_samp(value) AS std, min(value) AS mn, max(value) AS mx, "
+            f"list_sort(list(value) FILTER (WHERE value IS NOT NULL)) AS arr FROM long GROUP BY feature) "
+            f"SELECT feature, CAST(n AS BIGINT) AS count, "
+            f"{dr('mean', 2)} AS mean, {dr('std', 2)} AS std, {dr('mn', 2)} AS min, "
+            f"{dr(d_lerp('arr', 'n', 0.25), 2)} AS q25, {dr(d_lerp('arr', 'n', 0.5), 2)} AS q50, "
+            f"{dr(d_lerp('arr', 'n', 0.75), 2)} AS q75, {dr('mx', 2)} AS max FROM a")
 
 
 def _describe_out(d):
@@ -98,8 +101,9 @@ def q_describe_lineitem(spark, sf_dir):
 def _tukey_sql(with_clause: str, columns: list[str], src: str) -> str:
     return (
         f"{with_clause}, long AS ({d_long(columns, src)}), "
-        f"q AS (SELECT feature, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM long "
-        f"WHERE value IS NOT NULL GROUP BY feature), "
+        f"qa AS (SELECT feature, count(value) AS n, list_sort(list(value) FILTER (WHERE value IS NOT NULL)) AS arr "
+        f"FROM long GROUP BY feature), "
+        f"q AS (SELECT feature, {d_lerp('arr', 'n', 0.25)} AS q1, {d_lerp('arr', 'n', 0.75)} AS q3 FROM qa), "
         f"f AS (SELECT feature, q1, q3, q1 - 1.5e0 * (q3 - q1) AS lo, q3 + 1.5e0 * (q3 - q1) AS hi FROM q), "
         f"t AS (SELECT f.feature, q1, q3, lo, hi, "
         f"sum(CASE WHEN value < lo OR value > hi THEN 1 ELSE 0 END) AS n_out, count(*) AS n_rows "
@@ -207,8 +211,9 @@ def q_level_counts(spark, sf_dir):
 
 @query("box_stats",
        f"{WITH_HI}, l AS ({d_levels(CATEGORICAL_COLUMNS, 'hi')}), l2 AS (SELECT * FROM l WHERE level IS NOT NULL AND y IS NOT NULL), "
-       f"q AS (SELECT feature, level, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS med, quantile_cont(y, 0.75) AS q3 "
-       f"FROM l2 GROUP BY feature, level), "
+       f"qa AS (SELECT feature, level, count(y) AS n, list_sort(list(y)) AS arr FROM l2 GROUP BY feature, level), "
+       f"q AS (SELECT feature, level, {d_lerp('arr', 'n', 0.25)} AS q1, {d_lerp('arr', 'n', 0.5)} AS med, "
+       f"{d_lerp('arr', 'n', 0.75)} AS q3 FROM qa), "
        f"f AS (SELECT *, q1 - 1.5e0 * (q3 - q1) AS lo, q3 + 1.5e0 * (q3 - q1) AS hi FROM q) "
        f"SELECT f.feature, f.level, {dr('q1')} AS q1, {dr('med')} AS median, {dr('q3')} AS q3, "
        f"{dr('min(CASE WHEN y >= lo AND y <= hi THEN y END)')} AS whisker_lo, "
@@ -317,7 +322,7 @@ def q_skew_adjusted(spark, sf_dir):
 
 @query("target_summary",
        f"{WITH_HABITS} SELECT 'exam_score' AS feature, {dr('avg(exam_score)')} AS mean, "
-       f"{dr('quantile_cont(exam_score, 0.5)')} AS median, {dr('stddev_samp(exam_score)')} AS std, "
+       f"{dr(d_lerp('list_sort(list(exam_score) FILTER (WHERE exam_score IS NOT NULL))', 'count(exam_score)', 0.5))} AS median, {dr('stddev_samp(exam_score)')} AS std, "
        f"{dr('min(exam_score)')} AS min, {dr('max(exam_score)')} AS max, {dr('skewness(exam_score)')} AS skew FROM habits")
 def q_target_summary(spark, sf_dir):
     t = target_summary(habits(spark, sf_dir))

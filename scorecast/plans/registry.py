@@ -106,3 +106,14 @@ def d_linear(coef: dict[str, float], intercept: float) -> str:
 
 def d_hash(key: str, salt: str, hex_digits: int = 8) -> str:
     return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '{salt}'), 1, {hex_digits})) AS BIGINT)"
+
+
+def d_lerp(arr: str, n: str, p: float) -> str:
+    """numpy 'linear' quantile from a sorted list ``arr`` of ``n`` values (1-based lists)."""
+    h = f"(CAST({n} - 1 AS DOUBLE) * {p!r})"
+    lo = f"CAST(floor({h}) AS BIGINT)"
+    hi = f"CAST(ceil({h}) AS BIGINT)"
+    t = f"({h} - floor({h}))"
+    a = f"{arr}[{lo} + 1]"
+    b = f"{arr}[{hi} + 1]"
+    return f"(CASE WHEN {t} >= 0.5 THEN {b} - ({b} - {a}) * (1e0 - {t}) ELSE {a} + ({b} - {a}) * {t} END)"
