@@ -8,8 +8,8 @@ import json
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_even
-from ..operators.models.knn import build_knn_index, knn_neighbors, knn_predictions
-from ..operators.models.linear import LinearModel, gram_frame, gram_stats, standardize
+from ..operators.models.knn import build_knn_index, fold_scales, knn_neighbors, knn_predictions
+from ..operators.models.linear import LinearModel, gram_frame, standardize
 from ..operators.models.search import search_linear, search_trees
 from ..operators.prepare import Preparer
 from ..operators.score import score_requests
@@ -22,7 +22,7 @@ from ..sources.files import read_category_maps, read_csv_typed, write_category_m
 from ..sources.standin import habits
 from .q_prepare import FIXED_COEF, FIXED_INTERCEPT, prepared
 from .registry import D_MODE_PARENT, WITH_HABITS, d_code, d_hash, d_linear, d_prepared, d_strip, d_title, dr, query, rnd
-from .train import SMOKE_GRIDS, _fold_scales, prepare_split, results_frame, train
+from .train import SMOKE_GRIDS, prepare_split, results_frame, train
 
 _SPLIT = f"({d_hash('student_id', ':42')} % 100 < 20)"
 _FOLD = f"CAST({d_hash('student_id', ':fold:42')} % 5 AS INTEGER)"
@@ -106,10 +106,13 @@ def q_feature_weights(spark, sf_dir):
 @query("knn_predict")
 def q_knn_predict(spark, sf_dir):
     """Exact 5-NN predictions (uniform and 1/d) for every test row."""
+    from pyspark import StorageLevel
+
     tr, te = split_frames(spark, sf_dir)
-    stats_scale = _fold_scales(gram_stats(tr, FEATURE_COLUMNS, TARGET_COLUMN, group_col="fold"))
+    tr = tr.select(KEY_COLUMN, "fold", *FEATURE_COLUMNS, TARGET_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
+    scale = fold_scales(tr, FEATURE_COLUMNS, None)[-1]
     index = build_knn_index(tr, FEATURE_COLUMNS, TARGET_COLUMN, KEY_COLUMN, "fold")
-    nb = knn_neighbors(index, te.select(KEY_COLUMN, *FEATURE_COLUMNS), 5, {-1: stats_scale[-1]}, qid=KEY_COLUMN)
+    nb = knn_neighbors(index, te.select(KEY_COLUMN, *FEATURE_COLUMNS), 5, {-1: scale}, qid=KEY_COLUMN)
     p = knn_predictions(nb, [5], ["uniform", "distance"], KEY_COLUMN)
     return p.select(KEY_COLUMN, F.col("pred_k5_uniform").alias("pred_uniform"),
                     F.col("pred_k5_distance").alias("pred_distance"))
