@@ -86,39 +86,53 @@ class GramStats:
         return acc
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def gram_columns(features: list[str], target: str, center_x: list[float], center_y: float) -> list[Column]:
-    """Aggregate expressions for the centred Gram sums (upper triangle)."""
-    xs = [(F.col(c).cast("double") - F.lit(float(m))) for c, m in zip(features, center_x)]
-    y = F.col(target).cast("double") - F.lit(float(center_y))
-    cols = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
+    """Aggregate expressions for the centred Gram sums (upper triangle).
+
+    Built as SQL text: one JVM call per aggregate instead of one per operator.
+    """
+    xs = [f"(CAST({_q(c)} AS DOUBLE) - {float(m)!r}D)" for c, m in zip(features, center_x)]
+    y = f"(CAST({_q(target)} AS DOUBLE) - {float(center_y)!r}D)"
+    exprs = ["count(1) AS n", f"sum({y}) AS sy", f"sum({y} * {y}) AS syy"]
     for i, xi in enumerate(xs):
-        cols.append(F.sum(xi).alias(f"sx_{i}"))
-        cols.append(F.sum(xi * y).alias(f"sxy_{i}"))
+        exprs.append(f"sum({xi}) AS sx_{i}")
+        exprs.append(f"sum({xi} * {y}) AS sxy_{i}")
         for j in range(i, len(xs)):
-            cols.append(F.sum(xi * xs[j]).alias(f"sxx_{i}_{j}"))
-    return cols
+            exprs.append(f"sum({xi} * {xs[j]}) AS sxx_{i}_{j}")
+    return [F.expr(e) for e in exprs]
 
 
-def gram_frame(df: DataFrame, columns: list[str], group_col: str | None = None) -> DataFrame:
+def gram_frame(df: DataFrame, columns: list[str], group_col: str | None = None, exact: bool = False) -> DataFrame:
     """Long form (group, i, j, feature_a, feature_b, n, sum) of uncentred
-    cross-product sums over complete rows, i <= j, one aggregate pass."""
-    complete = df
-    for c in columns:
-        complete = complete.where(F.col(c).isNotNull())
+    cross-product sums over complete rows, i <= j, one aggregate pass.
+
+    ``exact=True`` sums each double product as DECIMAL(38,10): the total is
+    then independent of summation order, i.e. identical for any partitioning,
+    retry or engine (at the cost of decimal arithmetic).
+    """
+    complete = df.where(" AND ".join(f"{_q(c)} IS NOT NULL" for c in columns))
     pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    aggs = [F.count(F.lit(1)).alias("n")] + [
-        F.sum(F.col(columns[i]).cast("double") * F.col(columns[j]).cast("double")).alias(f"s_{i}_{j}")
-        for i, j in pairs]
+
+    def prod(i, j):
+        e = f"CAST({_q(columns[i])} AS DOUBLE) * CAST({_q(columns[j])} AS DOUBLE)"
+        return f"CAST({e} AS DECIMAL(38, 10))" if exact else e
+
+    aggs = [F.expr("count(1) AS n")] + [F.expr(f"sum({prod(i, j)}) AS s_{i}_{j}") for i, j in pairs]
     wide = complete.groupBy(*([group_col] if group_col else [])).agg(*aggs)
-    items = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("feature_a"),
-                      F.lit(columns[j]).alias("feature_b"), F.col(f"s_{i}_{j}").alias("sum")) for i, j in pairs]
-    return wide.select(*([group_col] if group_col else []), F.col("n").cast("bigint").alias("n"),
-                       F.explode(F.array(*items)).alias("s")).select(
+    items = ", ".join(f"named_struct('i', {i}, 'j', {j}, 'feature_a', '{columns[i]}', 'feature_b', '{columns[j]}', "
+                      f"'sum', s_{i}_{j})" for i, j in pairs)
+    return wide.selectExpr(*([group_col] if group_col else []), "CAST(n AS BIGINT) AS n",
+                           f"explode(array({items})) AS s").select(
         *([group_col] if group_col else []), "s.i", "s.j", "s.feature_a", "s.feature_b", "n", "s.sum")
 
 
 def feature_means(df: DataFrame, features: list[str], target: str) -> tuple[np.ndarray, float]:
-    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)], F.avg(target).alias("my")).first()
+    row = df.agg(*[F.expr(f"avg({_q(c)}) AS m{i}") for i, c in enumerate(features)],
+                 F.expr(f"avg({_q(target)}) AS my")).first()
     mx = np.array([row[f"m{i}"] or 0.0 for i in range(len(features))], dtype=float)
     return mx, float(row["my"] or 0.0)
 
@@ -133,9 +147,7 @@ def gram_stats(df: DataFrame, features: list[str] | None = None, target: str = T
     ``#partitions x #groups`` rows regardless of data size.
     """
     features = features or FEATURE_COLUMNS
-    complete = df.where(F.col(target).isNotNull())
-    for c in features:
-        complete = complete.where(F.col(c).isNotNull())
+    complete = df.where(" AND ".join(f"{_q(c)} IS NOT NULL" for c in [target, *features]))
     mx, my = feature_means(complete, features, target)
     cols = gram_columns(features, target, list(mx), my)
     if group_col:

@@ -18,6 +18,10 @@ from ..schema import (CATEGORY_MAPS, HIST_BINS_FEATURE, KDE_GRID_POINTS, LEVEL_O
 from .running import quantiles
 
 
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
 def unpivot_numeric(df: DataFrame, columns: list[str], ids: list[str] | None = None,
                     name: str = "feature", value: str = "value") -> DataFrame:
     """Long form (ids..., feature, value DOUBLE) of the given numeric columns."""
@@ -32,14 +36,13 @@ def unpivot_numeric(df: DataFrame, columns: list[str], ids: list[str] | None = N
 
 def missing_report(df: DataFrame) -> DataFrame:
     """(column_name, missing, percent) for columns with nulls, most missing first."""
-    cols = df.columns
-    row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.sum(F.col(c).isNull().cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("missing"),
-                                         F.lit(i).alias("pos")) for i, c in enumerate(cols)]))
-    long = row.select("__n", stack.alias("s")).select("__n", "s.*")
     from ..functions.numeric import round_half_even
 
+    cols = df.columns
+    row = df.agg(F.expr("count(1) AS __n"), *[F.expr(f"count_if({_q(c)} IS NULL) AS m{i}") for i, c in enumerate(cols)])
+    long = row.selectExpr("__n", "explode(array(" + ", ".join(
+        f"named_struct('column_name', '{c}', 'missing', m{i}, 'pos', {i})" for i, c in enumerate(cols)) + ")) AS s"
+    ).select("__n", "s.*")
     return (long.where(F.col("missing") > 0)
             .select("column_name", F.col("missing").cast("bigint").alias("missing"),
                     round_half_even(F.col("missing") / F.col("__n") * F.lit(100.0), 2).alias("percent"), "pos")
@@ -299,36 +302,36 @@ def kde_curve(df: DataFrame, columns: list[str], points: int = KDE_GRID_POINTS)
 # ---------------------------------------------------------------------------
 
 
+def _stack_rows(row: DataFrame, fields: list[str]) -> DataFrame:
+    """One-row wide aggregate -> long rows via ``explode(array(named_struct...))``."""
+    return row.selectExpr(f"explode(array({', '.join(fields)})) AS s").select("s.*")
+
+
 def pearson_target(df: DataFrame, columns: list[str], y: str = TARGET_COLUMN) -> DataFrame:
     """(feature, r, n) with pairwise-complete rows, one wide aggregate."""
     aggs = []
     for i, c in enumerate(columns):
-        both = F.col(c).isNotNull() & F.col(y).isNotNull()
-        aggs += [F.corr(c, y).alias(f"r{i}"), F.sum(both.cast("long")).alias(f"n{i}")]
-    row = df.agg(*aggs)
-    st = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r"),
-                                      F.col(f"n{i}").alias("n")) for i, c in enumerate(columns)]))
-    return row.select(st.alias("s")).select("s.*")
+        aggs += [F.expr(f"corr({_q(c)}, {_q(y)}) AS r{i}"),
+                 F.expr(f"count_if({_q(c)} IS NOT NULL AND {_q(y)} IS NOT NULL) AS n{i}")]
+    return _stack_rows(df.agg(*aggs), [f"named_struct('feature', '{c}', 'r', r{i}, 'n', n{i})"
+                                       for i, c in enumerate(columns)])
 
 
 def linear_fit(df: DataFrame, columns: list[str], y: str = TARGET_COLUMN) -> DataFrame:
     """Least-squares line y = slope * x + intercept per feature."""
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.regr_slope(F.col(y), F.col(c)).alias(f"s{i}"), F.regr_intercept(F.col(y), F.col(c)).alias(f"b{i}")]
-    row = df.agg(*aggs)
-    st = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"s{i}").alias("slope"),
-                                      F.col(f"b{i}").alias("intercept")) for i, c in enumerate(columns)]))
-    return row.select(st.alias("s")).select("s.*")
+        aggs += [F.expr(f"regr_slope({_q(y)}, {_q(c)}) AS s{i}"), F.expr(f"regr_intercept({_q(y)}, {_q(c)}) AS b{i}")]
+    return _stack_rows(df.agg(*aggs), [f"named_struct('feature', '{c}', 'slope', s{i}, 'intercept', b{i})"
+                                       for i, c in enumerate(columns)])
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Strict lower triangle (feature_a, feature_b, r): all pairs in one aggregate."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    row = df.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
-    st = F.explode(F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                                      F.col(f"c{k}").alias("r")) for k, (a, b) in enumerate(pairs)]))
-    return row.select(st.alias("s")).select("s.*")
+    row = df.agg(*[F.expr(f"corr({_q(a)}, {_q(b)}) AS c{k}") for k, (a, b) in enumerate(pairs)])
+    return _stack_rows(row, [f"named_struct('feature_a', '{a}', 'feature_b', '{b}', 'r', c{k})"
+                             for k, (a, b) in enumerate(pairs)])
 
 
 def corr_ranked(df: DataFrame, columns: list[str], y: str = TARGET_COLUMN, guide: float = 0.1) -> DataFrame:

@@ -46,13 +46,13 @@ _GRAM_PAIRS = [(i, j) for i in range(len(GRAM_COLS)) for j in range(i, len(GRAM_
 
 @query("gram_matrix", f"{WITH_HABITS}, {D_TRAIN} " + " UNION ALL ".join(
     f"SELECT fold, {i} AS i, {j} AS j, '{GRAM_COLS[i]}' AS feature_a, '{GRAM_COLS[j]}' AS feature_b, "
-    f"CAST(count(*) AS BIGINT) AS n, {dr(f'sum(CAST({GRAM_COLS[i]} AS DOUBLE) * CAST({GRAM_COLS[j]} AS DOUBLE)) / count(*)', 4)} "
-    f"AS mean_prod FROM tr GROUP BY fold" for i, j in _GRAM_PAIRS))
+    f"CAST(count(*) AS BIGINT) AS n, CAST(CAST(sum(CAST(CAST({GRAM_COLS[i]} AS DOUBLE) * CAST({GRAM_COLS[j]} AS DOUBLE) "
+    f"AS DECIMAL(38, 10))) AS DECIMAL(38, 6)) AS VARCHAR) AS sum_prod FROM tr GROUP BY fold" for i, j in _GRAM_PAIRS))
 def q_gram_matrix(spark, sf_dir):
     tr, _ = split_frames(spark, sf_dir)
-    g = gram_frame(tr, GRAM_COLS, group_col="fold")
+    g = gram_frame(tr, GRAM_COLS, group_col="fold", exact=True)   # order-independent decimal sums
     return g.select("fold", "i", "j", "feature_a", "feature_b", "n",
-                    rnd(F.col("sum") / F.col("n"), 4).alias("mean_prod"))
+                    F.col("sum").cast("decimal(38,6)").cast("string").alias("sum_prod"))
 
 
 @query("standardize", f"{WITH_HABITS} SELECT student_id, " + ", ".join(
