@@ -327,11 +327,18 @@ def linear_fit(df: DataFrame, columns: list[str], y: str = TARGET_COLUMN) -> Dat
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Strict lower triangle (feature_a, feature_b, r): all pairs in one aggregate."""
+    """Strict lower triangle (feature_a, feature_b, r).
+
+    Long form: each row is inlined into one (pair, x, y) row per pair and a
+    single ``corr`` is aggregated per pair (pairwise-complete, map-side
+    partial). One small aggregate stays inside whole-stage codegen, where 55
+    correlations side by side in one row would not.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    row = df.agg(*[F.expr(f"corr({_q(a)}, {_q(b)}) AS c{k}") for k, (a, b) in enumerate(pairs)])
-    return _stack_rows(row, [f"named_struct('feature_a', '{a}', 'feature_b', '{b}', 'r', c{k})"
-                             for k, (a, b) in enumerate(pairs)])
+    items = ", ".join(f"named_struct('feature_a', '{a}', 'feature_b', '{b}', 'x', CAST({_q(a)} AS DOUBLE), "
+                      f"'y', CAST({_q(b)} AS DOUBLE))" for a, b in pairs)
+    long = df.selectExpr(f"inline(array({items}))")
+    return long.groupBy("feature_a", "feature_b").agg(F.corr("x", "y").alias("r"))
 
 
 def corr_ranked(df: DataFrame, columns: list[str], y: str = TARGET_COLUMN, guide: float = 0.1) -> DataFrame:
