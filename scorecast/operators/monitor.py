@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import ks_p_udf
 from ..schema import DRIFT_P_THRESHOLD, MONITOR_FEATURES, PREDICTION_COLUMN, TARGET_COLUMN
 from .metrics import prediction_stat_columns, regression_metric_columns
+from ..session import cut_lineage
 from .running import running_sums
 
 
@@ -28,24 +30,57 @@ def _long(df: DataFrame, features: list[str], side: str) -> DataFrame:
         "s.pos", "s.feature", "s.value", F.lit(side).alias("side"))
 
 
-def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str] | None = None,
-                  partitions: int | None = None) -> DataFrame:
-    """(pos, feature, d, n_ref, n_cur, null_ref, null_cur) per feature."""
+@dataclass
+class ReferenceProfile:
+    """Reference-side KS inputs computed once: per-(feature, value) counts and
+    per-feature non-null / null totals (checkpointed, reused by every batch)."""
+
+    counts: DataFrame     # feature, value, nr
+    totals: DataFrame     # pos, feature, n_ref, null_ref
+    features: list
+
+
+def reference_profile(reference: DataFrame, features: list[str] | None = None) -> ReferenceProfile:
     features = features or MONITOR_FEATURES
-    long = _long(reference, features, "r").unionByName(_long(current, features, "c"))
-    nulls = long.groupBy("pos", "feature").agg(
-        F.sum((F.col("value").isNull() & (F.col("side") == "r")).cast("long")).alias("null_ref"),
-        F.sum((F.col("value").isNull() & (F.col("side") == "c")).cast("long")).alias("null_cur"),
-        F.sum((F.col("value").isNotNull() & (F.col("side") == "r")).cast("long")).alias("n_ref"),
-        F.sum((F.col("value").isNotNull() & (F.col("side") == "c")).cast("long")).alias("n_cur"),
-    )
-    counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
-        F.sum((F.col("side") == "r").cast("long")).alias("nr"),
-        F.sum((F.col("side") == "c").cast("long")).alias("nc"),
-    )
+    long = _long(reference, features, "r")
+    counts = cut_lineage(long.where(F.col("value").isNotNull()).groupBy("feature", "value")
+                         .agg(F.count(F.lit(1)).alias("nr")))
+    totals = cut_lineage(long.groupBy("pos", "feature").agg(
+        F.count("value").alias("n_ref"), F.count_if(F.col("value").isNull()).alias("null_ref")))
+    return ReferenceProfile(counts, totals, list(features))
+
+
+def ks_statistics(reference, current: DataFrame, features: list[str] | None = None,
+                  partitions: int | None = None) -> DataFrame:
+    """(pos, feature, d, n_ref, n_cur, null_ref, null_cur) per feature.
+
+    ``reference`` is a DataFrame of reference rows or a ``ReferenceProfile``.
+    """
+    features = features or (reference.features if isinstance(reference, ReferenceProfile) else MONITOR_FEATURES)
+    prof = reference if isinstance(reference, ReferenceProfile) else None
+    cur_long = _long(current, features, "c")
+    cur_tot = cur_long.groupBy("pos", "feature").agg(
+        F.count("value").alias("n_cur"), F.count_if(F.col("value").isNull()).alias("null_cur"))
+    cur_counts = cur_long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
+        F.count(F.lit(1)).alias("nc"))
+    if prof is None:
+        ref_long = _long(reference, features, "r")
+        ref_tot = ref_long.groupBy("pos", "feature").agg(
+            F.count("value").alias("n_ref"), F.count_if(F.col("value").isNull()).alias("null_ref"))
+        ref_counts = ref_long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
+            F.count(F.lit(1)).alias("nr"))
+    else:
+        ref_tot, ref_counts = prof.totals, prof.counts
+    nulls = ref_tot.join(cur_tot.drop("pos"), "feature", "full").select(
+        F.coalesce(ref_tot["pos"], F.lit(None)).alias("pos"), "feature",
+        F.coalesce("n_ref", F.lit(0)).alias("n_ref"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
+        F.coalesce("null_ref", F.lit(0)).alias("null_ref"), F.coalesce("null_cur", F.lit(0)).alias("null_cur"))
+    counts = (ref_counts.select("feature", "value", "nr", F.lit(0).cast("long").alias("nc"))
+              .unionByName(cur_counts.select("feature", "value", F.lit(0).cast("long").alias("nr"), "nc"))
+              .groupBy("feature", "value").agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc")))
     cum = running_sums(counts, ["feature"], ["value"], ["nr", "nc"], partitions=partitions)
     # totals: one row per feature, broadcast
-    cum = cum.join(F.broadcast(nulls), "feature")
+    cum = cum.join(F.broadcast(nulls.select("feature", "n_ref", "n_cur")), "feature")
     gap = F.abs(F.col("cum_nr") / F.col("n_ref") - F.col("cum_nc") / F.col("n_cur"))
     d = cum.groupBy("feature").agg(F.max(gap).alias("d"))
     return nulls.join(d, "feature", "left").select("pos", "feature", "d", "n_ref", "n_cur", "null_ref", "null_cur")

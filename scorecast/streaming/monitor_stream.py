@@ -14,9 +14,8 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.monitor import monitoring_row
+from ..operators.monitor import monitoring_row, reference_profile
 from ..schema import SCORED_SCHEMA
-from ..session import cut_lineage
 from ..sources.files import append_metrics, batch_id_from_path
 
 
@@ -35,8 +34,8 @@ def monitor_micro_batch(batch: DataFrame, reference: DataFrame, metrics_path: st
 def start_monitor_stream(spark: SparkSession, batches_dir: str, reference: DataFrame, metrics_path: str,
                          checkpoint: str, method: str = "pvalue", available_now: bool = True,
                          max_files_per_trigger: int = 1, clock=None):
-    # the reference set is static: materialise it once instead of re-deriving it in every micro-batch
-    reference = cut_lineage(reference.select(*[f.name for f in SCORED_SCHEMA.fields]))
+    # the reference set is static: its value counts are computed once, not in every micro-batch
+    reference = reference_profile(reference)
     stream = (spark.readStream.schema(SCORED_SCHEMA).option("header", True)
               .option("maxFilesPerTrigger", max_files_per_trigger).option("recursiveFileLookup", True)
               .csv(batches_dir).select("*", F.col("_metadata.file_path").alias("file_path")))
