@@ -72,8 +72,10 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
         *group_cols, F.col("__N"), F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
     ).withColumn("__h", (F.col("__N") - 1).cast("double") * F.col("p"))
     targets = targets.withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h"))
-    # One row per group x prob: broadcast (size = groups x probs).
-    hits = cum.join(F.broadcast(targets), group_cols).where(
+    # One row per group x prob: broadcast only when that count is small.
+    if targets.count() <= MAX_BROADCAST_OFFSETS:
+        targets = F.broadcast(targets)
+    hits = cum.join(targets, group_cols).where(
         ((F.col("__before") <= F.col("__lo")) & (F.col("__lo") < F.col("cum_n")))
         | ((F.col("__before") <= F.col("__hi")) & (F.col("__hi") < F.col("cum_n")))
     )

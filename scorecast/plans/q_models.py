@@ -318,7 +318,8 @@ def q_category_map_table(spark, sf_dir):
     lv = h.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), clean_level(c).alias("level"))
                                       for c in CATEGORY_MAPS])).alias("s")).select("s.*")
     counts = lv.groupBy("column", "level").agg(F.count(F.lit(1)).alias("n"))
-    return maps.join(F.broadcast(counts), ["column", "level"], "left").select(
+    # observed levels can be many (junk text): no forced broadcast, AQE sizes the join at runtime
+    return maps.join(counts, ["column", "level"], "left").select(
         F.col("column").alias("column_name"), "level", F.col("code").cast("int"),
         F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
