@@ -63,11 +63,16 @@ def with_row_index(df: DataFrame, order_by: list[str] | str = KEY_COLUMN, name:
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     partitions = max(1, min(partitions, MAX_INDEX_PARTITIONS))
+    # A deterministic tie-break (hash of the whole row) lets the range
+    # partitioner split a key value shared by many rows across partitions.
+    base = df.withColumn("__tb", F.xxhash64(*[F.col(c) for c in df.columns]))
+    keys = [*order_by, "__tb"]
     tagged = (
-        df.repartitionByRange(partitions, *order_by)
-        .sortWithinPartitions(*order_by)
+        base.repartitionByRange(partitions, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
+        .drop("__tb")
     )
     tagged = cut_lineage(tagged)
     per_part = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))

@@ -7,21 +7,19 @@ import json
 
 from pyspark.sql import functions as F
 
-from ..functions.numeric import round_half_even
 from ..operators.models.knn import build_knn_index, fold_scales, knn_neighbors, knn_predictions
 from ..operators.models.linear import LinearModel, gram_frame, standardize
 from ..operators.models.search import search_linear, search_trees
-from ..operators.prepare import Preparer
 from ..operators.score import score_requests
 from ..operators.validate import feature_array, validate_categories, validate_ranges, validate_vector
-from ..schema import (CATEGORY_MAPS, FEATURE_COLUMNS, KEY_COLUMN, LASSO_ALPHAS, MONITOR_FEATURES, RAW_COLUMNS,
-                      REQUEST_RULES, RIDGE_ALPHAS, TARGET_COLUMN)
+from ..schema import (CATEGORY_MAPS, FEATURE_COLUMNS, KEY_COLUMN, LASSO_ALPHAS, MONITOR_FEATURES, REQUEST_RULES,
+                      RIDGE_ALPHAS, TARGET_COLUMN)
 from ..session import scratch_path
 from ..sources.artifacts import log_run, runs
 from ..sources.files import read_category_maps, read_csv_typed, write_category_maps, write_csv
 from ..sources.standin import habits
 from .q_prepare import FIXED_COEF, FIXED_INTERCEPT, prepared
-from .registry import D_MODE_PARENT, WITH_HABITS, d_code, d_hash, d_linear, d_prepared, d_strip, d_title, dr, query, rnd
+from .registry import WITH_HABITS, d_code, d_hash, d_linear, d_prepared, d_strip, d_title, dr, query, rnd
 from .train import SMOKE_GRIDS, prepare_split, results_frame, train
 
 _SPLIT = f"({d_hash('student_id', ':42')} % 100 < 20)"

@@ -8,8 +8,8 @@ from ..functions.numeric import round_half_even
 from ..operators.metrics import regression_metrics
 from ..operators.models.linear import LinearModel
 from ..operators.prepare import (Preparer, category_map_frame, encode_categories, encode_categories_join, impute,
-                                 mode_value, mode_values)
-from ..operators.sampling import fold_column, split_column, with_split_and_fold
+                                 mode_values)
+from ..operators.sampling import split_column, with_split_and_fold
 from ..schema import CATEGORICAL_COLUMNS, CATEGORY_MAPS, FEATURE_COLUMNS
 from ..sources.standin import habits
 from .registry import (D_MODE_PARENT, WITH_HABITS, d_code, d_hash, d_linear, d_prepared, dr, query, rnd)

@@ -50,3 +50,15 @@ def test_bootstrap_exact_size_and_stable(spark):
     assert len(a) == 137
     assert [r["student_id"] for r in a] == [r["student_id"] for r in b]
     assert len({r["student_id"] for r in a}) < 137  # with replacement: some repeats expected
+
+
+def test_row_index_splits_a_hot_key(spark):
+    # one order-key value holds half the rows: numbering stays dense and the
+    # range partitioning (key, row hash) spreads that value over partitions
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(
+        F.format_string("k%05d", "id")).alias("k"), F.col("id"))
+    pdf = with_row_index(df, "k", partitions=8).toPandas().sort_values("row_id")
+    assert pdf["row_id"].tolist() == list(range(4000))
+    ranged = (df.withColumn("__tb", F.xxhash64("k", "id")).repartitionByRange(8, "k", "__tb")
+              .where(F.col("k") == "hot").select(F.spark_partition_id().alias("p")).distinct().count())
+    assert ranged > 1
