@@ -69,5 +69,42 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+_SHIPPED: set = set()
+
+
+def ensure_workers_can_import(spark: SparkSession) -> None:
+    """Make ``scorecast`` importable by the Python workers of this context.
+
+    Clusters normally get the package via ``--py-files``; when a quick probe
+    shows the workers cannot import it (e.g. the driver put the repo on
+    ``sys.path`` by hand), the package is zipped once and added with
+    ``addPyFile``, which Spark distributes to every executor.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+
+    def probe(_):
+        import importlib.util
+
+        return [importlib.util.find_spec("scorecast") is not None]
+
+    ok = all(sc.parallelize([0], 1).mapPartitions(probe).collect())
+    if not ok:
+        import zipfile
+
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="scorecast-pyfiles-"), "scorecast.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+            for root, _, files in os.walk(pkg):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        sc.addPyFile(target)
+    _SHIPPED.add(key)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
