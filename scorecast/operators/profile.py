@@ -206,12 +206,16 @@ def level_counts(df: DataFrame, columns: list[str], order: dict[str, list[str]]
             "feature", "level", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), "position")
     else:
         ordinal = None
-    from pyspark.sql import Window
+    from .running import running_sums
 
+    # rank by (count desc, level) with distributed running counts: a feature
+    # with millions of distinct levels never sorts in a single task
     nominal_cols = [c for c in columns if c not in order]
-    nominal = counts.where(F.col("feature").isin(nominal_cols)).withColumn(
-        "position", (F.row_number().over(Window.partitionBy("feature").orderBy(F.col("n").desc(), "level")) - 1)
-        .cast("int")).select("feature", "level", F.col("n").cast("bigint").alias("n"), "position")
+    ranked = running_sums(
+        counts.where(F.col("feature").isin(nominal_cols)).withColumn("__neg", -F.col("n")).withColumn("__one", F.lit(1)),
+        ["feature"], ["__neg", "level"], ["__one"])
+    nominal = ranked.select("feature", "level", F.col("n").cast("bigint").alias("n"),
+                            (F.col("cum___one") - 1).cast("int").alias("position"))
     return nominal if ordinal is None else ordinal.unionByName(nominal)
 
 
