@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column
@@ -24,6 +25,24 @@ def title_case(col) -> Column:
     return F.initcap(_c(col))
 
 
+def fill(template: str, **parts) -> Column:
+    """A message template as ``concat``: text pieces are literals, ``{name}``
+    takes the given Column (or a literal for plain values)."""
+    cols = []
+    for piece in re.split(r"(\{\w+\})", template):
+        if piece.startswith("{") and piece.endswith("}"):
+            v = parts[piece[1:-1]]
+            cols.append(v if isinstance(v, Column) else F.lit(str(v)))
+        elif piece:
+            cols.append(F.lit(piece))
+    return F.concat(*cols)
+
+
+def python_list(values) -> str:
+    """Render names like a Python list: ['a', 'b']."""
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
 def clean_level(col) -> Column:
     """strip + title case, as applied to every categorical value before lookup."""
     return title_case(strip_ws(col))
@@ -37,16 +56,3 @@ def map_literal(mapping: dict[str, int]) -> Column:
 def encode_level(col, mapping: dict[str, int]) -> Column:
     """Cleaned level -> code; unknown or null -> null."""
     return F.try_element_at(map_literal(mapping), clean_level(col)).cast("int")
-
-
-def allowed_levels_text(mapping: dict[str, int]) -> str:
-    """Python-list rendering of the allowed levels, as used in error texts."""
-    return "[" + ", ".join(f"'{k}'" for k in mapping) + "]"
-
-
-def category_error(col_name: str, raw: Column, mapping: dict[str, int] | None = None) -> Column:
-    """Error text for an unknown level: names the original value and the allowed list."""
-    mapping = mapping or CATEGORY_MAPS[col_name]
-    return F.concat(
-        F.lit("Invalid value '"), raw, F.lit(f"' for field '{col_name}'. Allowed: {allowed_levels_text(mapping)}")
-    )

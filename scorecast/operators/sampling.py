@@ -11,7 +11,7 @@ import random
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import CV_FOLDS, KEY_COLUMN, SPLIT_SEED, TEST_PERCENT
+from ..schema import CV_FOLDS, KEY_COLUMN, MSG_INDEX_RANGE, SPLIT_SEED, TEST_PERCENT
 from ..session import cut_lineage
 
 # Most partitions for the dense-index pass; offsets table has one row each.
@@ -87,7 +87,7 @@ def row_lookup(df: DataFrame, index: int, order_by: str = KEY_COLUMN) -> DataFra
     """The row at 0-based position ``index`` in key order; bounds are checked."""
     n = df.count()
     if index < 0 or index >= n:
-        raise IndexError(f"sample_index must be between 0 and {n - 1}")
+        raise IndexError(MSG_INDEX_RANGE.format(last=n - 1))
     return with_row_index(df, order_by).where(F.col("row_id") == F.lit(index))
 
 

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import clean_level, map_literal
-from ..schema import CATEGORY_MAPS, EXPECTED_FEATURE_COUNT, FEATURE_COLUMNS, REQUEST_RULES
+from ..functions.text import clean_level, fill, map_literal, python_list
+from ..schema import (CATEGORY_MAPS, EXPECTED_FEATURE_COUNT, FEATURE_COLUMNS, MSG_REQUEST_ABOVE, MSG_REQUEST_BELOW,
+                      MSG_REQUEST_MISSING, MSG_REQUEST_NOT_TEXT, MSG_REQUEST_UNKNOWN_LEVEL, MSG_VECTOR_COUNT,
+                      MSG_VECTOR_TYPES, REQUEST_RULES)
 
 
 def _fmt(v) -> str:
@@ -26,11 +28,11 @@ def range_checks(rules: dict | None = None) -> list[Column]:
     checks = []
     for col, (_, lo, hi) in rules.items():
         c = F.col(col)
-        checks.append(F.when(c.isNull(), F.lit(f"{col}: field required")))
+        checks.append(F.when(c.isNull(), F.lit(MSG_REQUEST_MISSING.format(field=col))))
         if lo is not None:
-            checks.append(F.when(c < F.lit(lo), F.lit(f"{col}: must be greater than or equal to {_fmt(lo)}")))
+            checks.append(F.when(c < F.lit(lo), F.lit(MSG_REQUEST_BELOW.format(field=col, bound=_fmt(lo)))))
         if hi is not None:
-            checks.append(F.when(c > F.lit(hi), F.lit(f"{col}: must be less than or equal to {_fmt(hi)}")))
+            checks.append(F.when(c > F.lit(hi), F.lit(MSG_REQUEST_ABOVE.format(field=col, bound=_fmt(hi)))))
     return checks
 
 
@@ -41,11 +43,10 @@ def category_checks(maps: dict | None = None, columns: list[str] | None = None)
     for col, mapping in maps.items():
         if columns is not None and col not in columns:
             continue
-        allowed = "[" + ", ".join(f"'{k}'" for k in mapping) + "]"
         known = F.try_element_at(map_literal(mapping), clean_level(col)).isNotNull()
         checks.append(
-            F.when(F.col(col).isNull(), F.lit(f"Invalid value for {col}. This field must be text"))
-            .when(~known, F.lit(f"Invalid value for {col}. Allowed values: {allowed}"))
+            F.when(F.col(col).isNull(), F.lit(MSG_REQUEST_NOT_TEXT.format(field=col)))
+            .when(~known, F.lit(MSG_REQUEST_UNKNOWN_LEVEL.format(field=col, allowed=python_list(mapping))))
         )
     return checks
 
@@ -78,7 +79,7 @@ def check_vector_schema(df: DataFrame, columns: list[str] | None = None) -> None
     bad = [c for c in columns if c not in types or isinstance(types[c], (T.BooleanType, T.StringType))
            or not isinstance(types[c], T.NumericType)]
     if bad:
-        raise ValueError(f"All features must be numeric (int or float): {bad}")
+        raise ValueError(f"{MSG_VECTOR_TYPES} Offending columns: {bad}")
 
 
 def feature_array(columns: list[str] | None = None) -> Column:
@@ -92,9 +93,7 @@ def validate_vector(df: DataFrame, vector_col: str = "features",
     v = F.col(vector_col)
     n = F.size(v)
     err = (F.when(v.isNull(), F.lit("Feature vector is missing."))
-           .when(n != expected, F.concat(F.lit(f"Student-habits input must contain exactly {expected} features, got "),
-                                         n.cast("string"), F.lit(".")))
-           .when(~F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x)),
-                 F.lit("All features must be numeric (int or float).")))
+           .when(n != expected, fill(MSG_VECTOR_COUNT, expected=expected, got=n.cast("string")))
+           .when(~F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(MSG_VECTOR_TYPES)))
     return df.withColumn("n_features", n.cast("int")).withColumn("error", err).withColumn(
         "is_valid", err.isNull())

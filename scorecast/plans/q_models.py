@@ -19,7 +19,11 @@ from ..sources.artifacts import log_run, runs
 from ..sources.files import read_category_maps, read_csv_typed, write_category_maps, write_csv
 from ..sources.standin import habits
 from .q_prepare import FIXED_COEF, FIXED_INTERCEPT, prepared
-from .registry import WITH_HABITS, d_code, d_hash, d_linear, d_prepared, d_strip, d_title, dr, query, rnd
+from ..functions.text import python_list
+from ..schema import (MSG_REQUEST_ABOVE, MSG_REQUEST_BELOW, MSG_REQUEST_MISSING, MSG_REQUEST_NOT_TEXT,
+                      MSG_REQUEST_UNKNOWN_LEVEL, MSG_VECTOR_TYPES)
+from .registry import (WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, d_str, d_strip, d_title, dr, query,
+                       rnd)
 from .train import SMOKE_GRIDS, prepare_split, results_frame, train
 
 _SPLIT = f"({d_hash('student_id', ':42')} % 100 < 20)"
@@ -210,23 +214,27 @@ def q_best_model(spark, sf_dir):
 # --- M13 / P11 / P13 / P15 ----------------------------------------------------
 
 
+def _bound(v) -> str:
+    return str(int(v)) if float(v).is_integer() else repr(float(v))
+
+
 def _d_range_checks() -> list[str]:
     out = []
     for col, (_, lo, hi) in REQUEST_RULES.items():
-        out.append(f"CASE WHEN {col} IS NULL THEN '{col}: field required' END")
+        out.append(f"CASE WHEN {col} IS NULL THEN {d_fill(MSG_REQUEST_MISSING, field=col)} END")
         if lo is not None:
-            out.append(f"CASE WHEN {col} < {lo} THEN '{col}: must be greater than or equal to {int(lo) if float(lo).is_integer() else lo}' END")
+            out.append(f"CASE WHEN {col} < {lo} THEN {d_fill(MSG_REQUEST_BELOW, field=col, bound=_bound(lo))} END")
         if hi is not None:
-            out.append(f"CASE WHEN {col} > {hi} THEN '{col}: must be less than or equal to {int(hi) if float(hi).is_integer() else hi}' END")
+            out.append(f"CASE WHEN {col} > {hi} THEN {d_fill(MSG_REQUEST_ABOVE, field=col, bound=_bound(hi))} END")
     return out
 
 
 def _d_category_checks() -> list[str]:
     out = []
     for col, mapping in CATEGORY_MAPS.items():
-        allowed = "[" + ", ".join(f"''{k}''" for k in mapping) + "]"
-        out.append(f"CASE WHEN {col} IS NULL THEN 'Invalid value for {col}. This field must be text' "
-                   f"WHEN {d_code(col)} IS NULL THEN 'Invalid value for {col}. Allowed values: {allowed}' END")
+        out.append(f"CASE WHEN {col} IS NULL THEN {d_fill(MSG_REQUEST_NOT_TEXT, field=col)} "
+                   f"WHEN {d_code(col)} IS NULL THEN "
+                   f"{d_fill(MSG_REQUEST_UNKNOWN_LEVEL, field=col, allowed=python_list(mapping))} END")
     return out
 
 
@@ -275,7 +283,7 @@ def q_validate_categories(spark, sf_dir):
 
 @query("validate_vector",
        f"{WITH_HABITS}, prep AS (SELECT {d_prepared()} FROM habits) SELECT student_id, CAST(14 AS INTEGER) AS n_features, "
-       f"CASE WHEN {' OR '.join(f'{c} IS NULL' for c in FEATURE_COLUMNS)} THEN 'All features must be numeric (int or float).' "
+       f"CASE WHEN {' OR '.join(f'{c} IS NULL' for c in FEATURE_COLUMNS)} THEN {d_str(MSG_VECTOR_TYPES)} "
        f"END AS error, NOT ({' OR '.join(f'{c} IS NULL' for c in FEATURE_COLUMNS)}) AS is_valid FROM prep")
 def q_validate_vector(spark, sf_dir):
     p = prepared(spark, sf_dir).withColumn("features", feature_array())

@@ -15,7 +15,9 @@ from ..streaming.monitor_stream import start_monitor_stream
 from ..streaming.score_stream import encode_message, start_scoring_stream
 from .q_monitor import D_REF, D_DRIFT, d_ks, scored_batch, scored_reference
 from .q_prepare import FIXED_COEF, FIXED_INTERCEPT, fixed_model
-from .registry import WITH_HABITS, d_code, d_hash, d_linear, d_prepared, dr, query, rnd
+from ..functions.text import python_list
+from ..schema import MSG_EVENT_MISSING_FEATURES, MSG_EVENT_UNKNOWN_LEVEL
+from .registry import WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, dr, query, rnd
 
 # --- T1 -----------------------------------------------------------------------
 
@@ -23,13 +25,12 @@ from .registry import WITH_HABITS, d_code, d_hash, d_linear, d_prepared, dr, que
 def _d_stream_error() -> str:
     cat = []
     for c, m in CATEGORY_MAPS.items():
-        allowed = "[" + ", ".join(f"''{k}''" for k in m) + "]"
-        cat.append(f"CASE WHEN {c} IS NOT NULL AND {d_code(c)} IS NULL THEN 'Invalid value ''' || {c} || "
-                   f"''' for field ''{c}''. Allowed: {allowed}' END")
+        cat.append(f"CASE WHEN {c} IS NOT NULL AND {d_code(c)} IS NULL THEN "
+                   f"{d_fill(MSG_EVENT_UNKNOWN_LEVEL, value='sql:' + c, field=c, allowed=python_list(m))} END")
     missing_items = " || ".join(f"CASE WHEN {c} IS NULL THEN '{c},' ELSE '' END" for c in FEATURE_COLUMNS)
-    missing = (f"CASE WHEN ({missing_items}) <> '' THEN 'Missing required features: [' || "
-               f"array_to_string(list_transform(list_filter(string_split(({missing_items}), ','), lambda x: x <> ''), "
-               f"lambda x: '''' || x || ''''), ', ') || ']' END")
+    names = (f"'[' || array_to_string(list_transform(list_filter(string_split(({missing_items}), ','), "
+             f"lambda x: x <> ''), lambda x: '''' || x || ''''), ', ') || ']'")
+    missing = f"CASE WHEN ({missing_items}) <> '' THEN {d_fill(MSG_EVENT_MISSING_FEATURES, names='sql:' + names)} END"
     return "coalesce(" + ", ".join(cat + [missing]) + ")"
 
 

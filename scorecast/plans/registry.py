@@ -104,6 +104,25 @@ def d_linear(coef: dict[str, float], intercept: float) -> str:
     return expr
 
 
+def d_str(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def d_fill(template: str, **parts) -> str:
+    """A message template as DuckDB text: literal pieces quoted, ``{name}``
+    either an SQL expression (``sql:`` prefix) or a plain value."""
+    import re
+
+    out = []
+    for piece in re.split(r"(\{\w+\})", template):
+        if piece.startswith("{") and piece.endswith("}"):
+            v = str(parts[piece[1:-1]])
+            out.append(v[4:] if v.startswith("sql:") else d_str(v))
+        elif piece:
+            out.append(d_str(piece))
+    return "(" + " || ".join(out) + ")"
+
+
 def d_hash(key: str, salt: str, hex_digits: int = 8) -> str:
     return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR) || '{salt}'), 1, {hex_digits})) AS BIGINT)"
 

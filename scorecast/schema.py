@@ -122,6 +122,22 @@ DRIFT_SCENARIO = {
     "social_media_hours": (-1.0, 0.0, None),
 }
 
+# Error texts of the scoring service, stream function and prediction core
+# ({...} are filled per row). Request range messages follow the request
+# schema validator's wording.
+MSG_REQUEST_UNKNOWN_LEVEL = "Invalid value for {field}. Allowed values: {allowed}"
+MSG_REQUEST_NOT_TEXT = "Invalid value for {field}. This field must be text"
+MSG_REQUEST_MISSING = "{field}: field required"
+MSG_REQUEST_BELOW = "{field}: must be greater than or equal to {bound}"
+MSG_REQUEST_ABOVE = "{field}: must be less than or equal to {bound}"
+MSG_EVENT_UNKNOWN_LEVEL = "Invalid value '{value}' for field '{field}'. Allowed: {allowed}"
+MSG_EVENT_MISSING_FEATURES = "Missing required features: {names}"
+MSG_EVENT_BAD_NUMBER = "could not convert value to float: '{value}'"
+MSG_VECTOR_COUNT = "Student-habits input must contain exactly {expected} features, got {got}."
+MSG_VECTOR_TYPES = "All features must be numeric (int or float)."
+MSG_INDEX_RANGE = "sample_index must be between 0 and {last}"
+MSG_NO_BATCHES = "No batch files found in {root}"
+
 # Search grids.
 RIDGE_ALPHAS = [0.1, 1.0, 10.0, 100.0]
 LASSO_ALPHAS = [0.001, 0.01, 0.1, 1.0]

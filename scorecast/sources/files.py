@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import CATEGORY_MAPS, METRICS_SCHEMA, NA_TOKENS, RAW_SCHEMA, SCORED_SCHEMA
+from ..schema import CATEGORY_MAPS, METRICS_SCHEMA, MSG_NO_BATCHES, NA_TOKENS, RAW_SCHEMA, SCORED_SCHEMA
 
 
 def normalize_na(df: DataFrame, columns: list[str] | None = None, tokens: list[str] | None = None) -> DataFrame:
@@ -133,7 +133,7 @@ def latest_batch(spark: SparkSession, root: str) -> tuple[str, DataFrame]:
     latest = latest_by(files, "file_time").withColumn("batch_id", batch_id_from_path(F.col("file_path")))
     first = latest.select("batch_id").limit(1).collect()
     if not first:
-        raise FileNotFoundError(f"No batch files found in {root}")
+        raise FileNotFoundError(MSG_NO_BATCHES.format(root=root))
     bid = first[0]["batch_id"]
     return bid, latest.where(F.col("batch_id") == bid).drop("file_time", "file_path", "batch_id")
 

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import clip_score, round_half_even
-from ..functions.text import clean_level, map_literal
+from ..functions.text import clean_level, fill, map_literal, python_list
 from ..operators.models.linear import LinearModel
-from ..schema import CATEGORY_MAPS, EVENT_SCHEMA, FEATURE_COLUMNS
+from ..schema import (CATEGORY_MAPS, EVENT_SCHEMA, FEATURE_COLUMNS, MSG_EVENT_BAD_NUMBER, MSG_EVENT_MISSING_FEATURES,
+                      MSG_EVENT_UNKNOWN_LEVEL)
 
 ENVELOPE_SCHEMA = T.StructType([T.StructField("message", T.StructType([
     T.StructField("data", T.StringType()), T.StructField("message_id", T.StringType())]))])
@@ -56,18 +57,17 @@ def encode_event_features(features: Column, maps: dict | None = None) -> tuple[d
         present = F.map_contains_key(feats, F.lit(c))
         if c in maps:
             code = F.try_element_at(map_literal(maps[c]), clean_level(v))
-            allowed = "[" + ", ".join(f"'{k}'" for k in maps[c]) + "]"
-            cat_errors.append(F.when(present & code.isNull(), F.concat(
-                F.lit("Invalid value '"), F.coalesce(v, F.lit("None")), F.lit(f"' for field '{c}'. Allowed: {allowed}"))))
+            cat_errors.append(F.when(present & code.isNull(), fill(
+                MSG_EVENT_UNKNOWN_LEVEL, value=F.coalesce(v, F.lit("None")), field=c, allowed=python_list(maps[c]))))
             encoded[c] = code.cast("int")
         else:
             encoded[c] = v.try_cast("double")
     cat_error = F.coalesce(*cat_errors)
     missing = F.filter(F.array(*[F.lit(c) for c in FEATURE_COLUMNS]), lambda name: ~F.map_contains_key(feats, name))
-    missing_error = F.when(F.size(missing) > 0, F.concat(F.lit("Missing required features: "), _py_list(missing)))
+    missing_error = F.when(F.size(missing) > 0, fill(MSG_EVENT_MISSING_FEATURES, names=_py_list(missing)))
     bad_numbers = F.array_compact(F.array(*[
         F.when(F.map_contains_key(feats, F.lit(c)) & encoded[c].isNull(),
-               F.concat(F.lit("could not convert value to float: '"), F.coalesce(F.try_element_at(feats, F.lit(c)), F.lit("None")), F.lit("'")))
+               fill(MSG_EVENT_BAD_NUMBER, value=F.coalesce(F.try_element_at(feats, F.lit(c)), F.lit("None"))))
         for c in FEATURE_COLUMNS if c not in maps]))
     number_error = F.try_element_at(bad_numbers, F.lit(1))
     return encoded, cat_error, F.coalesce(missing_error, number_error)
