@@ -229,3 +229,13 @@ def q_latest_batch(spark, sf_dir):
 @query("row_lookup", f"{WITH_HABITS} SELECT *, CAST(2 AS BIGINT) AS row_id FROM habits ORDER BY student_id LIMIT 1 OFFSET 2")
 def q_row_lookup(spark, sf_dir):
     return row_lookup(habits(spark, sf_dir), 2)
+
+
+@query("monitoring_cycle")
+def q_monitoring_cycle(spark, sf_dir):
+    """Reference set -> fresh-id drifted batch -> latest batch -> metrics row appended, read back."""
+    from ..session import scratch_path
+    from .monitoring import run_monitoring
+
+    h = habits(spark, sf_dir)
+    return run_monitoring(spark, h, fixed_model(), Preparer().fit(h), scratch_path(spark, "monitoring"), seed=BATCH_SEED)

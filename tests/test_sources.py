@@ -86,3 +86,25 @@ def test_short_id_and_utc_clock():
     assert len(sid) == 8
     now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
     assert now.tzinfo is None
+
+
+def test_monitoring_cycle_appends_once_per_batch(spark, tmp_out):
+    from scorecast.operators.models.linear import LinearModel
+    from scorecast.plans.monitoring import calculate_metrics, generate_batch, prepare_reference
+    from scorecast.sources.standin import habits
+
+    from conftest import SF_SMALL
+
+    raw = habits(spark, SF_SMALL)
+    prep = Preparer().fit(raw)
+    model = LinearModel(FEATURE_COLUMNS, [1.0] * 14, 10.0)
+    prepare_reference(raw, model, prep, f"{tmp_out}/ref")
+    first = generate_batch(raw, model, prep, f"{tmp_out}/b", seed=1)
+    assert calculate_metrics(spark, f"{tmp_out}/ref", f"{tmp_out}/b", f"{tmp_out}/m") == first
+    assert calculate_metrics(spark, f"{tmp_out}/ref", f"{tmp_out}/b", f"{tmp_out}/m") == first   # replay
+    time.sleep(1.2)
+    second = generate_batch(raw, model, prep, f"{tmp_out}/b", seed=2, drift=False)
+    assert calculate_metrics(spark, f"{tmp_out}/ref", f"{tmp_out}/b", f"{tmp_out}/m") == second
+    m = {r["batch_id"]: r for r in read_metrics(spark, f"{tmp_out}/m").collect()}
+    assert set(m) == {first, second} and m[first]["batch_size"] == 50
+    assert "study_hours_per_day" in (m[first]["drifted_feature_names"] or "")
