@@ -73,7 +73,7 @@ def score_requests(df: DataFrame, model, maps: dict | None = None, rules: dict |
                    clip: bool = True, places: int = 2, key: str = "request_id") -> DataFrame:
     """Per request: ``predicted_exam_score`` or ``error`` (first failing check)."""
     maps = maps or CATEGORY_MAPS
-    checks = range_checks(rules or REQUEST_RULES) + category_checks(maps)
+    checks = range_checks(rules or REQUEST_RULES) + category_checks(maps, schema=df.schema)
     v = df.withColumn("__errors", F.array_compact(F.array(*checks)))
     enc = Preparer(fills={}, maps=maps, impute_columns=[], drop_columns=[]).transform(v)
     raw = model.prediction_column() if isinstance(model, LinearModel) else None

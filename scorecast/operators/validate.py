@@ -36,16 +36,26 @@ def range_checks(rules: dict | None = None) -> list[Column]:
     return checks
 
 
-def category_checks(maps: dict | None = None, columns: list[str] | None = None) -> list[Column]:
-    """Per categorical column: null / non-text, or a level outside the map."""
+def category_checks(maps: dict | None = None, columns: list[str] | None = None,
+                    schema: T.StructType | None = None) -> list[Column]:
+    """Per categorical column: null / non-text, or a level outside the map.
+
+    With ``schema``, a categorical column that is not text (numbers, booleans)
+    fails as "must be text" on every row, as the request contract demands.
+    """
     maps = maps or CATEGORY_MAPS
+    types = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
     checks = []
     for col, mapping in maps.items():
         if columns is not None and col not in columns:
             continue
+        not_text = F.lit(MSG_REQUEST_NOT_TEXT.format(field=col))
+        if col in types and not isinstance(types[col], T.StringType):
+            checks.append(not_text)
+            continue
         known = F.try_element_at(map_literal(mapping), clean_level(col)).isNotNull()
         checks.append(
-            F.when(F.col(col).isNull(), F.lit(MSG_REQUEST_NOT_TEXT.format(field=col)))
+            F.when(F.col(col).isNull(), not_text)
             .when(~known, F.lit(MSG_REQUEST_UNKNOWN_LEVEL.format(field=col, allowed=python_list(mapping))))
         )
     return checks
@@ -63,7 +73,7 @@ def validate_ranges(df: DataFrame, rules: dict | None = None) -> DataFrame:
 
 def validate_categories(df: DataFrame, maps: dict | None = None) -> DataFrame:
     """``error`` holds the first failing column in map order (request semantics)."""
-    checks = category_checks(maps, [c for c in (maps or CATEGORY_MAPS) if c in df.columns])
+    checks = category_checks(maps, [c for c in (maps or CATEGORY_MAPS) if c in df.columns], df.schema)
     return with_errors(df, checks).withColumn("error", F.try_element_at(F.col("errors"), F.lit(1)))
 
 

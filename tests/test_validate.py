@@ -77,6 +77,13 @@ def test_request_cases(spark):
     assert out["padded"]["error"] is None
 
 
+def test_request_text_fields_must_be_text(spark):
+    df = _requests(spark, {"r1": {}}).withColumn("gender", F.lit(0))
+    out = score_requests(df, constant(75.0)).first()
+    assert out["error"] == "Invalid value for gender. This field must be text"
+    assert out["predicted_exam_score"] is None
+
+
 def test_request_prediction_is_clipped(spark):
     df = _requests(spark, {"hi": {}})
     assert score_requests(df, constant(150.0)).first()["predicted_exam_score"] == 100.0
