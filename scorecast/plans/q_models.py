@@ -98,11 +98,11 @@ def q_lasso_fit(spark, sf_dir):
 @query("feature_weights")
 def q_feature_weights(spark, sf_dir):
     """Best ridge: scaled coefficient, effect per original unit, ordered by |effect|."""
+    from ..operators.models.weights import feature_weights
+
     tr, _ = split_frames(spark, sf_dir)
     model, _, _ = search_linear(tr, "ridge", RIDGE_ALPHAS)
-    rows = [(c, float(bs), float(b)) for c, b, bs in zip(model.features, model.coef, model.coef_scaled())]
-    df = spark.createDataFrame(rows, "feature string, coef_scaled double, effect_per_original_unit double")
-    return df.withColumn("abs_effect", F.abs("effect_per_original_unit")).orderBy(F.col("abs_effect").desc())
+    return feature_weights(spark, model)
 
 
 @query("knn_predict")

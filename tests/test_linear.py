@@ -92,3 +92,25 @@ def test_fold_cv_equals_direct_refits(spark, train_rows):
         assert sse_from_stats(stats.groups[f], beta, b0, stats) == pytest.approx(np.sum(e ** 2), rel=1e-9)
     np.testing.assert_allclose(res.fold_rmse, rmses, rtol=1e-8)
     assert res.cv_rmse == pytest.approx(np.mean(rmses), rel=1e-8)
+
+
+def test_feature_weights_by_model_kind(spark, train_rows):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from scorecast.operators.models.linear import LinearModel
+    from scorecast.operators.models.weights import feature_weights
+    from scorecast.plans.train import EnsembleModel, TreeModel
+
+    tr, _ = train_rows
+    lm = LinearModel(FEATURE_COLUMNS, [float(i) for i in range(14)], 0.0, scale=[2.0] * 14)
+    w = feature_weights(spark, lm).collect()
+    assert w[0]["feature"] == FEATURE_COLUMNS[-1] and w[0]["coef_scaled"] == 26.0
+    pm = Pipeline(stages=[VectorAssembler(inputCols=FEATURE_COLUMNS, outputCol="features"),
+                          RandomForestRegressor(labelCol=TARGET_COLUMN, numTrees=5, maxDepth=3, seed=1)]).fit(tr)
+    imp = feature_weights(spark, TreeModel(pm, "RandomForest", {})).collect()
+    assert len(imp) == 14 and abs(sum(r["importance"] for r in imp) - 1.0) < 1e-9
+    assert imp[0]["feature"] == "study_hours_per_day"
+    with pytest.raises(TypeError):
+        feature_weights(spark, EnsembleModel([lm]))
