@@ -62,3 +62,24 @@ def test_row_index_splits_a_hot_key(spark):
     ranged = (df.withColumn("__tb", F.xxhash64("k", "id")).repartitionByRange(8, "k", "__tb")
               .where(F.col("k") == "hot").select(F.spark_partition_id().alias("p")).distinct().count())
     assert ranged > 1
+
+
+def test_row_lookup_bounds(spark):
+    from scorecast.operators.sampling import row_lookup
+
+    df = spark.range(10).select(F.format_string("s%02d", "id").alias("student_id"))
+    assert row_lookup(df, 2).first()["student_id"] == "s02"
+    with pytest.raises(IndexError, match="sample_index must be between 0 and 9"):
+        row_lookup(df, 10)
+    with pytest.raises(IndexError):
+        row_lookup(df, -1)
+
+
+def test_assert_no_nulls_after_imputation(spark):
+    from scorecast.operators.prepare import Preparer, impute
+    from scorecast.operators.profile import assert_no_nulls
+
+    df = spark.createDataFrame([("a", "x"), ("b", None), ("c", "x")], "student_id string, parental_education_level string")
+    with pytest.raises(AssertionError):
+        assert_no_nulls(df)
+    assert_no_nulls(impute(df, Preparer().fit(df).fills))
