@@ -239,3 +239,28 @@ def q_monitoring_cycle(spark, sf_dir):
 
     h = habits(spark, sf_dir)
     return run_monitoring(spark, h, fixed_model(), Preparer().fit(h), scratch_path(spark, "monitoring"), seed=BATCH_SEED)
+
+
+LINEITEM_KS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _d_ks_lineitem() -> str:
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, l_linestatus AS side FROM lineitem"
+        for c in LINEITEM_KS)
+    return (f"WITH long AS ({long}), cnt AS (SELECT feature, value, sum(CASE WHEN side = 'F' THEN 1 ELSE 0 END) AS nr, "
+            f"sum(CASE WHEN side = 'O' THEN 1 ELSE 0 END) AS nc FROM long WHERE value IS NOT NULL AND side IN ('F', 'O') "
+            f"GROUP BY feature, value), "
+            f"cum AS (SELECT feature, sum(nr) OVER (PARTITION BY feature ORDER BY value) AS cr, "
+            f"sum(nc) OVER (PARTITION BY feature ORDER BY value) AS cc, sum(nr) OVER (PARTITION BY feature) AS n_ref, "
+            f"sum(nc) OVER (PARTITION BY feature) AS n_cur FROM cnt) "
+            f"SELECT feature, max(abs(CAST(cr AS DOUBLE) / n_ref - CAST(cc AS DOUBLE) / n_cur)) AS d, "
+            f"CAST(max(n_ref) AS BIGINT) AS n_ref, CAST(max(n_cur) AS BIGINT) AS n_cur FROM cum GROUP BY feature")
+
+
+@query("ks_lineitem", _d_ks_lineitem())
+def q_ks_lineitem(spark, sf_dir):
+    """Two-sample KS D between shipped-and-finished (F) and open (O) line items, on the whole table."""
+    li = table(spark, sf_dir, "lineitem").select("l_linestatus", *LINEITEM_KS)
+    ks = ks_statistics(li.where(F.col("l_linestatus") == "F"), li.where(F.col("l_linestatus") == "O"), LINEITEM_KS)
+    return ks.select("feature", "d", "n_ref", "n_cur")
