@@ -126,3 +126,13 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, de
     w = decoded.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
+                   starting_offsets: str = "latest") -> DataFrame:
+    """Message source for a cluster with the Kafka connector on its classpath:
+    the record value is the base64 payload, as the file source's ``data``.
+    (Not exercised in tests here: no connector jar and no broker.)"""
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("subscribe", topic).option("startingOffsets", starting_offsets).load()
+            .select(F.col("value").cast("string").alias("data")))
