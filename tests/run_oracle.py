@@ -34,6 +34,7 @@ def main(argv):
         except Exception as e:  # report and continue
             res = {"ok": False, "error": f"{type(e).__name__}: {str(e)[:800]}"}
         res["sec"] = round(time.time() - t0, 2)
+        spark.catalog.clearCache()
         results[name] = res
         print(name, json.dumps(res, default=str), flush=True)
     bad = [k for k, v in results.items() if not v["ok"]]
