@@ -46,6 +46,7 @@ from .textops import batch_word_hashes, gram_hashes, word_hashes, words_of
 COVERS = {1: (0,), 2: (0, 1), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9)}
 
 ENTRIES_PER_BUCKET = 2_000_000
+ENTRIES_PER_BATCH = 1_000_000
 BYTES_PER_WORD = 6
 NO_ID = -(1 << 63)  # stands for a null doc_id inside the tasks
 SENT = "doc_id long, bucket int, hashes binary, docs binary"
@@ -87,15 +88,20 @@ def _flag_rows(h: np.ndarray, doc: np.ndarray):
         yield int(doc[a]), h[a:b].tobytes()
 
 
-def _send(h: np.ndarray, doc: np.ndarray, buckets: int, flagged) -> pd.DataFrame:
-    """A batch's rows: its own flags (null bucket) and one entry per hash, dealt by hash."""
+def _send(hs: list, ds: list, buckets: int, flagged, kind=np.uint64) -> pd.DataFrame:
+    """A batch's rows: its own flags (without ``docs``) and one entry per hash, dealt by hash.
+
+    Anchors travel as the low 32 bits of their hash (a chance match only costs an
+    extension), windows as all 64.
+    """
+    h, doc = np.concatenate(hs), np.concatenate(ds)
     rows = []
     if len(h):
         keep = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])))  # repeats within a run of one document
         h, doc = h[keep], doc[keep]
         h, doc, first, least = _grouped(h, doc)
         mark = flagged(h, doc, first, least)
-        rows += [(d, int(d % buckets), x, None) for d, x in _flag_rows(h[mark], doc[mark])] if mark.any() else []
+        rows += [(d, int(d % buckets), x, None) for d, x in _flag_rows(h[mark].astype(kind), doc[mark])] if mark.any() else []
         h, doc = h[first], doc[first]
         bucket = (h >> np.uint64(40)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
@@ -105,27 +111,27 @@ def _send(h: np.ndarray, doc: np.ndarray, buckets: int, flagged) -> pd.DataFrame
             b = cut[i + 1] if i + 1 < len(cut) else len(h)
             ids, index = np.unique(doc[a:b], return_inverse=True)
             small = np.uint16 if len(ids) < 1 << 16 else np.uint32
-            rows.append((NO_ID, int(bucket[a]), h[a:b].tobytes(), ids.astype(np.int64).tobytes() + index.astype(small).tobytes()))
+            rows.append((NO_ID, int(bucket[a]), h[a:b].astype(kind).tobytes(), ids.astype(np.int64).tobytes() + index.astype(small).tobytes()))
     return pd.DataFrame(rows, columns=["doc_id", "bucket", "hashes", "docs"])
 
 
-def _unpacked(hashes: bytes, docs: bytes) -> tuple[np.ndarray, np.ndarray]:
-    h = np.frombuffer(hashes, dtype=np.uint64)
+def _unpacked(hashes: bytes, docs: bytes, kind) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(hashes, dtype=kind)
     n = len(h)
-    for size, kind, limit in ((2, np.uint16, 1 << 16), (4, np.uint32, 1 << 32)):
+    for size, index in ((2, np.uint16), (4, np.uint32)):
         k, rest = divmod(len(docs) - size * n, 8)
         if rest == 0 and 0 < k <= n and (k < 1 << 16) == (size == 2):
-            return h, np.frombuffer(docs[: 8 * k], dtype=np.int64)[np.frombuffer(docs[8 * k :], dtype=kind)]
+            return h, np.frombuffer(docs[: 8 * k], dtype=np.int64)[np.frombuffer(docs[8 * k :], dtype=index)]
     raise ValueError("damaged block")
 
 
-def _resolved(sent: DataFrame, flagged, partitions: int) -> DataFrame:
+def _resolved(sent: DataFrame, flagged, kind=np.uint64) -> DataFrame:
     """Deal the entries by bucket and return every flag as ``(doc_id, hashes)``."""
 
     def bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf["docs"].isna()
         rows = [(int(d), x) for d, x in zip(pdf["doc_id"][own], pdf["hashes"][own])]
-        parts = [_unpacked(x, d) for x, d in zip(pdf["hashes"][~own], pdf["docs"][~own])]
+        parts = [_unpacked(x, d, kind) for x, d in zip(pdf["hashes"][~own], pdf["docs"][~own])]
         if parts:
             h, doc, first, least = _grouped(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
             mark = flagged(h, doc, first, least)
@@ -145,17 +151,17 @@ def _with_texts(texts: DataFrame, flags: DataFrame) -> DataFrame:
     return both.repartition(key).sortWithinPartitions("doc_id", F.col("packed").isNotNull())
 
 
-def _documents(batches):
+def _documents(batches, kind=np.uint64):
     """Yield ``(doc_id, text bytes, flagged hashes)`` from rows ordered by ``_with_texts``."""
     unzip = zstandard.ZstdDecompressor()
-    none = np.zeros(0, dtype=np.uint64)
+    none = np.zeros(0, dtype=kind)
     now, parts, flags = None, [], none
     for pdf in batches:
         for doc, packed, hashes in zip(pdf["doc_id"].tolist(), pdf["packed"], pdf["hashes"]):
             if doc != now:
                 now, parts, flags = doc, [], None
             if packed is None:
-                parts.append(np.frombuffer(hashes, dtype=np.uint64))
+                parts.append(np.frombuffer(hashes, dtype=kind))
                 flags = None
             else:
                 if flags is None:
@@ -184,28 +190,32 @@ def remove_repeats(docs: DataFrame, window: int = 13, period: int = 7) -> DataFr
     buckets2 = blocks_for(words, ENTRIES_PER_BUCKET)
 
     def anchors(batches):
+        hs, ds, size = [], [], 0
         for pdf in batches:
             pdf = pdf[pdf["doc_id"] != NO_ID]
             ids = pdf["doc_id"].to_numpy(dtype=np.int64)
-            hs, ds = [], []
             for a, b, h, at in batch_word_hashes(pdf["text"].tolist()):
                 for i in range(a, b):
                     g = gram_hashes(h[at[i - a] : at[i - a + 1]], anchor)
                     g = g[_starts(len(g), period)]
                     hs.append(g)
                     ds.append(np.full(len(g), ids[i]))
-            if hs:
-                yield _send(np.concatenate(hs), np.concatenate(ds), buckets, _shared)
+                    size += len(g)
+                if size > ENTRIES_PER_BATCH:
+                    yield _send(hs, ds, buckets, _shared, np.uint32)
+                    hs, ds, size = [], [], 0
+        if hs:
+            yield _send(hs, ds, buckets, _shared, np.uint32)
 
     def extended(batches):
         hs, ds, size = [], [], 0
-        for doc, raw, flags in _documents(batches):
+        for doc, raw, flags in _documents(batches, np.uint32):
             if doc == NO_ID or not len(flags):
                 continue
             h = word_hashes(raw)
             g = gram_hashes(h, anchor)
             at = _starts(len(g), period)
-            at = at[np.isin(g[at], flags)]
+            at = at[np.isin(g[at].astype(np.uint32), flags)]
             n = len(h) - window + 1
             if n < 1 or not len(at):
                 continue
@@ -215,15 +225,14 @@ def remove_repeats(docs: DataFrame, window: int = 13, period: int = 7) -> DataFr
             np.add.at(step, at + 1, -1)
             near = np.flatnonzero(np.cumsum(step)[:n] > 0)
             if len(near):
-                w = gram_hashes(h, window)[near]
-                hs.append(w)
-                ds.append(np.full(len(w), doc))
-                size += len(w)
-                if size > ENTRIES_PER_BUCKET:
-                    yield _send(np.concatenate(hs), np.concatenate(ds), buckets2, _later)
+                hs.append(gram_hashes(h, window)[near])
+                ds.append(np.full(len(near), doc))
+                size += len(near)
+                if size > ENTRIES_PER_BATCH:
+                    yield _send(hs, ds, buckets2, _later)
                     hs, ds, size = [], [], 0
         if hs:
-            yield _send(np.concatenate(hs), np.concatenate(ds), buckets2, _later)
+            yield _send(hs, ds, buckets2, _later)
 
     def kept(batches):
         out = []
@@ -246,8 +255,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, period: int = 7) -> DataFr
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"])
 
     texts = _packed_texts(docs)
-    shared = _resolved(docs.mapInPandas(anchors, SENT), _shared, buckets)
-    later = _resolved(_with_texts(texts, shared).mapInPandas(extended, SENT), _later, buckets2)
+    shared = _resolved(docs.mapInPandas(anchors, SENT), _shared, np.uint32)
+    later = _resolved(_with_texts(texts, shared).mapInPandas(extended, SENT), _later)
     out = _with_texts(texts, later).mapInPandas(kept, "doc_id long, n_words long, n_removed long, kept string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
