@@ -218,7 +218,8 @@ def near_links(docs: DataFrame, sketch: DataFrame, similarity: float) -> DataFra
     columns = [x.split()[0] for x in row.split(", ")]
     some = scratch(dealt(posted.join(reps, ["doc_id", "k1"])).select(*columns).mapInPandas(counted, row), "near-candidates")
     wanted = some.select("doc_id").distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInPandas(_shingle_rows, "doc_id long, k1 long, shingles binary")
+    # merged at every size: the candidates grow with the documents, so a broadcast would only hold for small inputs
+    sets = docs.join(wanted.hint("merge"), "doc_id", "left_semi").mapInPandas(_shingle_rows, "doc_id long, k1 long, shingles binary")
     sets = sets.dropDuplicates(["doc_id", "k1"])
     return dealt(some.join(sets, ["doc_id", "k1"])).select(*columns, "shingles").mapInPandas(confirmed, "a long, b long").distinct()
 
