@@ -14,6 +14,8 @@ BLOCK = 1 << 20  # bytes hashed at once: bounds the temporaries, not the text
 _MULT = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_NO_LETTER = np.ones(256, dtype=bool)  # ASCII letters and all bytes of other characters make terms
+_NO_LETTER[0x41:0x5B] = _NO_LETTER[0x61:0x7B] = _NO_LETTER[0x80:] = False
 _BYTE = np.random.Generator(np.random.PCG64(20240607)).integers(0, 1 << 63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 
 
@@ -45,9 +47,9 @@ def _powers(n: int, cache: dict) -> tuple[np.ndarray, np.ndarray]:
 _CACHE: dict = {}
 
 
-def _hash_block(raw: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def _hash_block(raw: bytes, lower: bool, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     b = np.frombuffer(raw.lower() if lower else raw, dtype=np.uint8)
-    inside = ~_SPACE[b]
+    inside = ~space[b]
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     up, down = _powers(len(b), _CACHE)
@@ -59,21 +61,31 @@ def _hash_block(raw: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return mix(h), start
 
 
-def word_hashes(raw: bytes, lower: bool = False) -> np.ndarray:
+def word_hashes(raw: bytes, lower: bool = False, space: np.ndarray = _SPACE) -> np.ndarray:
     """One 64-bit hash per word of ``raw``; equal words give equal hashes wherever they stand."""
     if len(raw) <= BLOCK:
-        return _hash_block(raw, lower)[0]
+        return _hash_block(raw, lower, space)[0]
     parts, at = [], 0
     while at < len(raw):
         end = min(len(raw), at + BLOCK)
-        while end < len(raw) and not _SPACE[raw[end]]:  # never cut a word
+        while end < len(raw) and not space[raw[end]]:  # never cut a word
             end += 1
-        parts.append(_hash_block(raw[at:end], lower)[0])
+        parts.append(_hash_block(raw[at:end], lower, space)[0])
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, dtype=U64)
 
 
-def batch_word_hashes(texts: list[str | None], lower: bool = False):
+def term_hashes(raw: bytes) -> np.ndarray:
+    """Hashes of the terms (letter runs) of ``raw``, ASCII lower-cased."""
+    return word_hashes(raw, True, _NO_LETTER)
+
+
+def batch_term_hashes(texts: list[str | None]):
+    """``batch_word_hashes`` for terms."""
+    return batch_word_hashes(texts, True, _NO_LETTER)
+
+
+def batch_word_hashes(texts: list[str | None], lower: bool = False, space: np.ndarray = _SPACE):
     """Yield ``(first, last, hashes, offsets)`` for runs of texts.
 
     Runs hold about ``BLOCK`` bytes (one text may be larger), so memory is
@@ -88,10 +100,10 @@ def batch_word_hashes(texts: list[str | None], lower: bool = False):
             size += len(raw[last]) + 1
             last += 1
         if last - first == 1:
-            h = word_hashes(raw[first], lower)
+            h = word_hashes(raw[first], lower, space)
             yield first, last, h, np.array([0, len(h)])
         else:
-            h, start = _hash_block(b"\n".join(raw[first:last]), lower)
+            h, start = _hash_block(b"\n".join(raw[first:last]), lower, space)
             edges = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw[first:last]])))
             yield first, last, h, np.searchsorted(start, edges)
         first = last
