@@ -186,17 +186,20 @@ def near_links(docs: DataFrame, sketch: DataFrame, similarity: float) -> DataFra
             run = run.reset_index(drop=True)
             sig = _matrix(run["sig"])
             sets = [np.frombuffer(x, dtype=U64) for x in run["shingles"]]
-            near: list[list] = [[] for _ in sets]
-            for i, js in _partners(run, sig, similarity, t):
-                near[i].append(js)
-                for j in js:
-                    near[j].append(np.array([i]))
-            near = [np.concatenate(x) if x else np.zeros(0, int) for x in near]
+            pairs = [np.stack([np.full(len(js), i), js]).astype(np.int32) for i, js in _partners(run, sig, similarity, t)]
+            if not pairs:
+                continue
+            pairs = np.concatenate(pairs, axis=1)
+            one, other = np.concatenate((pairs, pairs[::-1]), axis=1)
+            order = np.argsort(one, kind="stable")
+            one, other = one[order], other[order]
+            first = np.searchsorted(one, np.arange(len(sets) + 1))
             group = np.arange(len(sets))
             out = []
             doc = run["doc_id"].to_numpy()
-            for i in sorted(range(len(sets)), key=lambda i: (-len(near[i]), doc[i])):
-                js = near[i][group[near[i]] != group[i]]
+            for i in np.lexsort((doc, -np.diff(first))):
+                js = other[first[i] : first[i + 1]]
+                js = js[group[js] != group[i]]
                 if not len(js):
                     continue
                 sizes = np.array([len(sets[j]) for j in js])

@@ -92,19 +92,24 @@ def batch_word_hashes(texts: list[str | None], lower: bool = False, space: np.nd
     bounded by the longest text; ``offsets[i]:offsets[i + 1]`` are the words
     of text ``first + i``. Null texts have no words.
     """
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    first = 0
-    while first < len(raw):
-        last, size = first, 0
-        while last < len(raw) and (last == first or size + len(raw[last]) + 1 <= BLOCK):
-            size += len(raw[last]) + 1
-            last += 1
-        if last - first == 1:
-            h = word_hashes(raw[first], lower, space)
+    first, pending = 0, None
+    while first < len(texts):
+        raw, size = [], 0
+        while first + len(raw) < len(texts):
+            new = pending if pending is not None else (texts[first + len(raw)] or "").encode("utf-8", "surrogatepass")
+            pending = None
+            if raw and size + len(new) + 1 > BLOCK:
+                pending = new
+                break
+            size += len(new) + 1
+            raw.append(new)
+        last = first + len(raw)
+        if len(raw) == 1:
+            h = word_hashes(raw[0], lower, space)
             yield first, last, h, np.array([0, len(h)])
         else:
-            h, start = _hash_block(b"\n".join(raw[first:last]), lower, space)
-            edges = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw[first:last]])))
+            h, start = _hash_block(b"\n".join(raw), lower, space)
+            edges = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
             yield first, last, h, np.searchsorted(start, edges)
         first = last
 
