@@ -5,7 +5,18 @@ from __future__ import annotations
 import functools
 
 from ..session import ensure_workers_can_import
-from . import q_bitslice, q_coordjoin, q_langid, q_latticelm, q_mixing, q_omh, q_packing, q_sanitise, q_substring  # noqa: F401
+from . import (  # noqa: F401
+    q_bitslice,
+    q_coordjoin,
+    q_htmltemplate,
+    q_langid,
+    q_latticelm,
+    q_mixing,
+    q_omh,
+    q_packing,
+    q_sanitise,
+    q_substring,
+)
 from .registry import ORACLE, QUERIES
 
 
