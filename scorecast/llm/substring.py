@@ -21,7 +21,7 @@ positions are hashed, any two equal windows share an aligned anchor hash.
 A hot passage costs one entry per batch in a round, because a batch sends the
 smallest document of each hash only and resolves its own documents itself.
 Bucket counts grow with the input's bytes; no list of documents is gathered.
-Texts travel compressed, once per round.
+Flags travel packed by blocks of documents, texts compressed, once per round.
 
 Defined cases: null text has no words; fewer words than ``window`` repeat
 nothing; rows with null ``doc_id`` are neither earlier nor later than others and
@@ -49,8 +49,9 @@ ENTRIES_PER_BUCKET = 2_000_000
 ENTRIES_PER_BATCH = 1_000_000
 BYTES_PER_WORD = 6
 NO_ID = -(1 << 63)  # stands for a null doc_id inside the tasks
-SENT = "doc_id long, bucket int, hashes binary, docs binary"
-FLAGS = "doc_id long, hashes binary"
+DOCS_PER_BLOCK = 4096
+SENT = "bucket int, block int, hashes binary, docs binary, counts binary"
+FLAGS = "block int, hashes binary, docs binary, counts binary"
 
 
 def _starts(n: int, period: int) -> np.ndarray:
@@ -78,18 +79,27 @@ def _later(h, doc, first, least):
     return doc != least
 
 
-def _flag_rows(h: np.ndarray, doc: np.ndarray):
-    """One row per document with its flagged hashes."""
-    order = np.argsort(doc, kind="stable")
-    h, doc = h[order], doc[order]
-    cut = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
+def _prime(n: int) -> int:
+    """The least prime from n on: ids with a common step still spread over that many blocks."""
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def _flag_rows(h: np.ndarray, doc: np.ndarray, blocks: int):
+    """One row per block of documents, with its documents, how many hashes each has, and these."""
+    block = doc % blocks
+    order = np.lexsort((doc, block))
+    h, doc, block = h[order], doc[order], block[order]
+    cut = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
     for i, a in enumerate(cut):
         b = cut[i + 1] if i + 1 < len(cut) else len(doc)
-        yield int(doc[a]), h[a:b].tobytes()
+        ids, counts = np.unique(doc[a:b], return_counts=True)
+        yield int(block[a]), h[a:b].tobytes(), ids.astype(np.int64).tobytes(), counts.astype(np.int32).tobytes()
 
 
-def _send(hs: list, ds: list, buckets: int, flagged, kind=np.uint64) -> pd.DataFrame:
-    """A batch's rows: its own flags (without ``docs``) and one entry per hash, dealt by hash.
+def _send(hs: list, ds: list, buckets: int, blocks: int, flagged, kind=np.uint64) -> pd.DataFrame:
+    """A batch's rows: its own flags (with ``counts``) and one entry per hash, dealt by hash.
 
     Anchors travel as the low 32 bits of their hash (a chance match only costs an
     extension), windows as all 64.
@@ -101,7 +111,7 @@ def _send(hs: list, ds: list, buckets: int, flagged, kind=np.uint64) -> pd.DataF
         h, doc = h[keep], doc[keep]
         h, doc, first, least = _grouped(h, doc)
         mark = flagged(h, doc, first, least)
-        rows += [(d, int(d % buckets), x, None) for d, x in _flag_rows(h[mark].astype(kind), doc[mark])] if mark.any() else []
+        rows += [(row[0] % buckets, *row) for row in _flag_rows(h[mark].astype(kind), doc[mark], blocks)] if mark.any() else []
         h, doc = h[first], doc[first]
         bucket = (h >> np.uint64(40)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
@@ -111,8 +121,9 @@ def _send(hs: list, ds: list, buckets: int, flagged, kind=np.uint64) -> pd.DataF
             b = cut[i + 1] if i + 1 < len(cut) else len(h)
             ids, index = np.unique(doc[a:b], return_inverse=True)
             small = np.uint16 if len(ids) < 1 << 16 else np.uint32
-            rows.append((NO_ID, int(bucket[a]), h[a:b].astype(kind).tobytes(), ids.astype(np.int64).tobytes() + index.astype(small).tobytes()))
-    return pd.DataFrame(rows, columns=["doc_id", "bucket", "hashes", "docs"])
+            rows.append((int(bucket[a]), None, h[a:b].astype(kind).tobytes(), ids.astype(np.int64).tobytes() + index.astype(small).tobytes(), None))
+    out = pd.DataFrame(rows, columns=["bucket", "block", "hashes", "docs", "counts"])
+    return out.astype({"block": "Int32"})
 
 
 def _unpacked(hashes: bytes, docs: bytes, kind) -> tuple[np.ndarray, np.ndarray]:
@@ -125,48 +136,49 @@ def _unpacked(hashes: bytes, docs: bytes, kind) -> tuple[np.ndarray, np.ndarray]
     raise ValueError("damaged block")
 
 
-def _resolved(sent: DataFrame, flagged, kind=np.uint64) -> DataFrame:
-    """Deal the entries by bucket and return every flag as ``(doc_id, hashes)``."""
+def _resolved(sent: DataFrame, flagged, blocks: int, kind=np.uint64) -> DataFrame:
+    """Deal the entries by bucket and return every flag, packed by blocks of documents."""
 
     def bucket(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf["docs"].isna()
-        rows = [(int(d), x) for d, x in zip(pdf["doc_id"][own], pdf["hashes"][own])]
+        own = pdf["counts"].notna()
+        rows = list(pdf[own][["block", "hashes", "docs", "counts"]].itertuples(index=False, name=None))
         parts = [_unpacked(x, d, kind) for x, d in zip(pdf["hashes"][~own], pdf["docs"][~own])]
         if parts:
             h, doc, first, least = _grouped(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
             mark = flagged(h, doc, first, least)
             if mark.any():
-                rows += list(_flag_rows(h[mark], doc[mark]))
-        return pd.DataFrame(rows, columns=["doc_id", "hashes"])
+                rows += list(_flag_rows(h[mark], doc[mark], blocks))
+        return pd.DataFrame(rows, columns=["block", "hashes", "docs", "counts"]).astype({"block": "int32"})
 
     return sent.groupBy("bucket").applyInPandas(bucket, FLAGS)
 
 
-def _with_texts(texts: DataFrame, flags: DataFrame) -> DataFrame:
-    """Texts and flags of a document side by side: flags first, then its rows."""
-    both = texts.select("doc_id", "packed", F.lit(None).cast("binary").alias("hashes")).unionByName(
-        flags.select("doc_id", F.lit(None).cast("binary").alias("packed"), "hashes"))
+def _with_texts(texts: DataFrame, flags: DataFrame, blocks: int) -> DataFrame:
+    """Blocks of documents: first their flags, then their texts."""
     # rows without an id need no company: spread them
-    key = F.when(F.col("doc_id") == NO_ID, F.xxhash64("packed")).otherwise(F.xxhash64("doc_id"))
-    return both.repartition(key).sortWithinPartitions("doc_id", F.col("packed").isNotNull())
+    block = F.pmod(F.when(F.col("doc_id") == NO_ID, F.xxhash64("packed")).otherwise(F.col("doc_id")), F.lit(blocks)).cast("int")
+    none = F.lit(None).cast("binary")
+    both = texts.select(block.alias("block"), "doc_id", "packed", none.alias("hashes"), none.alias("docs"), none.alias("counts")).unionByName(
+        flags.select("block", F.lit(NO_ID).alias("doc_id"), none.alias("packed"), "hashes", "docs", "counts"))
+    return both.repartition("block").sortWithinPartitions("block", F.col("packed").isNotNull())
 
 
 def _documents(batches, kind=np.uint64):
     """Yield ``(doc_id, text bytes, flagged hashes)`` from rows ordered by ``_with_texts``."""
     unzip = zstandard.ZstdDecompressor()
     none = np.zeros(0, dtype=kind)
-    now, parts, flags = None, [], none
+    now, flags = None, {}
     for pdf in batches:
-        for doc, packed, hashes in zip(pdf["doc_id"].tolist(), pdf["packed"], pdf["hashes"]):
-            if doc != now:
-                now, parts, flags = doc, [], None
+        for block, doc, packed, hashes, docs, counts in pdf.itertuples(index=False, name=None):
+            if block != now:
+                now, flags = block, {}
             if packed is None:
-                parts.append(np.frombuffer(hashes, dtype=kind))
-                flags = None
+                ends = np.cumsum(np.frombuffer(counts, dtype=np.int32))
+                for d, part in zip(np.frombuffer(docs, dtype=np.int64).tolist(), np.split(np.frombuffer(hashes, dtype=kind), ends[:-1])):
+                    flags.setdefault(d, []).append(part)
             else:
-                if flags is None:
-                    flags = np.unique(np.concatenate(parts)) if parts else none
-                yield doc, unzip.decompress(packed), flags
+                parts = flags.get(doc)
+                yield doc, unzip.decompress(packed), np.unique(np.concatenate(parts)) if parts else none
 
 
 def _packed_texts(docs: DataFrame) -> DataFrame:
@@ -184,8 +196,8 @@ def remove_repeats(docs: DataFrame, window: int = 13, period: int = 7) -> DataFr
         raise ValueError(f"period must be one of {sorted(COVERS)} and at most the window")
     anchor = window - period + 1
     docs = prepared(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    words = total // BYTES_PER_WORD
+    total, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    words, blocks = total // BYTES_PER_WORD, _prime(blocks_for(rows, DOCS_PER_BLOCK))
     buckets = blocks_for(words * len(COVERS[period]) // period, ENTRIES_PER_BUCKET)
     buckets2 = blocks_for(words, ENTRIES_PER_BUCKET)
 
@@ -202,10 +214,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, period: int = 7) -> DataFr
                     ds.append(np.full(len(g), ids[i]))
                     size += len(g)
                 if size > ENTRIES_PER_BATCH:
-                    yield _send(hs, ds, buckets, _shared, np.uint32)
+                    yield _send(hs, ds, buckets, blocks, _shared, np.uint32)
                     hs, ds, size = [], [], 0
         if hs:
-            yield _send(hs, ds, buckets, _shared, np.uint32)
+            yield _send(hs, ds, buckets, blocks, _shared, np.uint32)
 
     def extended(batches):
         hs, ds, size = [], [], 0
@@ -229,10 +241,10 @@ def remove_repeats(docs: DataFrame, window: int = 13, period: int = 7) -> DataFr
                 ds.append(np.full(len(near), doc))
                 size += len(near)
                 if size > ENTRIES_PER_BATCH:
-                    yield _send(hs, ds, buckets2, _later)
+                    yield _send(hs, ds, buckets2, blocks, _later)
                     hs, ds, size = [], [], 0
         if hs:
-            yield _send(hs, ds, buckets2, _later)
+            yield _send(hs, ds, buckets2, blocks, _later)
 
     def kept(batches):
         out = []
@@ -255,9 +267,9 @@ def remove_repeats(docs: DataFrame, window: int = 13, period: int = 7) -> DataFr
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept"])
 
     texts = _packed_texts(docs)
-    shared = _resolved(docs.mapInPandas(anchors, SENT), _shared, np.uint32)
-    later = _resolved(_with_texts(texts, shared).mapInPandas(extended, SENT), _later)
-    out = _with_texts(texts, later).mapInPandas(kept, "doc_id long, n_words long, n_removed long, kept string")
+    shared = _resolved(docs.mapInPandas(anchors, SENT), _shared, blocks, np.uint32)
+    later = _resolved(_with_texts(texts, shared, blocks).mapInPandas(extended, SENT), _later, blocks)
+    out = _with_texts(texts, later, blocks).mapInPandas(kept, "doc_id long, n_words long, n_removed long, kept string")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != NO_ID, F.col("doc_id")))
 
 
