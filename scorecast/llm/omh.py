@@ -105,10 +105,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     cut = F.floor(F.col("n_chars") / 4)
     heads = order.join(sizes, ["id", "th"]).select("id", "th", "next_id", "next_th", "n_chars", "rows", cut.cast("int").alias("cut"))
     texts = docs.dropDuplicates(["id", "th"]) if sizes.where("rows > 1").head(1) else docs
-    of_next = texts.select(F.col("id").alias("next_id"), F.col("th").alias("next_th"), F.col("text").alias("next_text"))
-    heads = heads.join(of_next, ["next_id", "next_th"]).select(
-        "id", "th", "n_chars", "cut", F.expr("substring(next_text, 1, cut)").alias("head"))
-    both = texts.join(heads, ["id", "th"]).withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - cut AS int)), head)"))
+    # both joins read the same columns by the same key, so that the texts are shuffled once and reused
+    texts = texts.select("id", "th", "text")
+    heads = heads.withColumnsRenamed({"id": "of_id", "th": "of_th"}).join(
+        texts, (F.col("next_id") == F.col("id")) & (F.col("next_th") == F.col("th")))
+    heads = heads.select("of_id", "of_th", "n_chars", "cut", F.expr("substring(text, 1, cut)").alias("head"))
+    both = heads.join(texts, (F.col("of_id") == texts["id"]) & (F.col("of_th") == texts["th"]))
+    both = both.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - cut AS int)), head)"))
     both = both.select("id", "th", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
                        F.explode(F.expr("array(struct(0 AS side, text AS t), struct(1 AS side, edited AS t))")).alias("x"))
     keys = ["id", "th", "n_chars", "edited_sha256", "side"]
