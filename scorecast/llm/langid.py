@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -125,26 +126,28 @@ def _em_step(words: DataFrame, p: np.ndarray, path: str, smoothing: float) -> np
     return np.stack([reestimated(out[:, m], smoothing) for m in range(p.shape[1])], axis=1)
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` instead of ``text``."""
-    keep = [c for c in docs.columns if c != "text"]
+def predict(docs: DataFrame, model: LanguageModel, drop_text: bool = True) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``; other columns pass through as Arrow columns, unchanged."""
+    keep = [c for c in docs.columns if not (drop_text and c == "text")]
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # pieces x languages numbers
 
     def judged(batches):
-        for pdf in batches:
-            at, texts = 0, pdf["text"].tolist()
+        for batch in batches:
+            texts, at, names, scores = batch.column("text").to_pylist(), 0, [], []
             while at < len(texts):
                 end, size = at, 0
                 while end < len(texts) and (end == at or size + len(texts[end] or "") <= CHUNK):
                     size += len(texts[end] or "")
                     end += 1
-                out = pdf.iloc[at:end][keep].copy()
-                out["lang_pred"], out["score"] = shared.value.judge(texts[at:end])
-                yield out
+                got = shared.value.judge(texts[at:end])
+                names += got[0]
+                scores += got[1]
                 at = end
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in keep] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
 
-    return prepared(docs).mapInPandas(judged, schema)
+    return prepared(docs).mapInArrow(judged, schema)
 
 
 def accepted(pred: Column, score: Column, least: float = 0.3) -> Column:

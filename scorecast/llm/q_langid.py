@@ -14,6 +14,4 @@ from .shared import text_crc
 def op2(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(F.pmod(text_crc(), F.lit(4)) == 2, F.lit(False)))
     model = fit(docs.where("NOT held_out"), key=F.col("doc_id"))
-    # ids as text: a batch with a null id stays exact
-    out = predict(docs.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text"), model)
-    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "lang_pred", "score")
+    return predict(docs.select("doc_id", "held_out", "text"), model)
