@@ -44,8 +44,17 @@ def purge_scratch() -> None:
 atexit.register(purge_scratch)
 
 
+#: Bytes of an Arrow batch where the session sets no bound: long texts must not meet in one batch by the thousand.
+BATCH_BYTES = 8 << 20
+
+
 def prepared(df: DataFrame) -> DataFrame:
-    ensure_workers_can_import(df.sparkSession)
+    """``df`` in a session whose workers can run the operators' Python parts within bounded batches."""
+    spark = df.sparkSession
+    ensure_workers_can_import(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key, str(2**31 - 1))) >= 2**31 - 1:
+        spark.conf.set(key, str(BATCH_BYTES))
     return df
 
 
