@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lattice import Pieces, reestimated, vocabulary_path
+from .lattice import Pieces, in_chunks, reestimated, vocabulary_path
 from .shared import prepared, scratch
 
 PER_LANGUAGE = 1500
@@ -114,7 +114,7 @@ def _em_step(words: DataFrame, p: np.ndarray, path: str, smoothing: float) -> np
     """One EM step over counted words ``model, word, n``; returns at most pieces x models sums to the driver."""
 
     def expected(batches):
-        for pdf in batches:
+        for pdf in in_chunks(batches):
             for model, part in pdf.groupby("model"):
                 e = Pieces.at(path).expected_counts([w.encode("utf-8", "surrogatepass") for w in part["word"]], part["n"].to_numpy(float), p[:, model])
                 used = np.flatnonzero(e)

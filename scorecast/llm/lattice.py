@@ -20,12 +20,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 
 from .textops import U64
 
 MARK = b"\x01"
 LONGEST = 128
 LONGEST_PIECE = 12
+SHORT = 24
 
 _R = U64(0x9E3779B97F4A7C15 | 1)
 _T = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 62, 256, dtype=np.int64).astype(U64)
@@ -64,8 +66,8 @@ class Pieces:
         keys = np.array([self._hash(p) for p in self.pieces], dtype=U64)
         order = np.argsort(keys)
         self.keys, self.index = keys[order], order.astype(np.int32)
-        self.seen = np.zeros(1 << 22, dtype=bool)
-        self.seen[(keys >> U64(42)).astype(np.int64)] = True
+        self.seen = np.zeros(1 << 20, dtype=bool)
+        self.seen[(keys >> U64(44)).astype(np.int64)] = True
         with np.errstate(over="ignore"):
             self.power = np.multiply.accumulate(np.concatenate(([U64(1)], np.full(LONGEST_PIECE, _R))))
 
@@ -88,7 +90,7 @@ class Pieces:
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece numbers of hashes, ``len(self)`` where there is none."""
         out = np.full(len(h), len(self.pieces), dtype=np.int32)
-        maybe = np.flatnonzero(self.seen[(h >> U64(42)).astype(np.int64)])
+        maybe = np.flatnonzero(self.seen[(h >> U64(44)).astype(np.int64)])
         at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
         hit = self.keys[at] == h[maybe]
         out[maybe[hit]] = self.index[at[hit]]
@@ -162,6 +164,20 @@ class Pieces:
         for rows, raw in self._matrices(words):
             arcs = self._arcs(raw)
             n, w = raw.shape[1], len(rows)
+            if n <= SHORT:  # products of so few probabilities stay far above the smallest double
+                a = [np.ones(w)]
+                for j in range(1, n + 1):
+                    a.append(sum(a[j - k] * p[ids] for k, ids in arcs[j]))
+                b = [np.zeros(w) for _ in range(n)] + [counts[rows] / a[n]]
+                every, share = [], []
+                for j in range(n, 0, -1):
+                    for k, ids in arcs[j]:
+                        used = b[j] * p[ids]
+                        b[j - k] += used
+                        every.append(ids)
+                        share.append(a[j - k] * used)
+                out += np.bincount(np.concatenate(every), np.concatenate(share), len(self) + 1)
+                continue
             a, sa = np.zeros((n + 1, w)), np.zeros((n + 1, w))  # values and exponents of two
             a[0] = 1.0
             for j in range(1, n + 1):
@@ -187,6 +203,19 @@ class Pieces:
         return out[:-1]
 
 
+def in_chunks(batches, rows: int = 100_000):
+    """Batches put together until they hold ``rows``: the lattices work on many words at once."""
+    held, n = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if n:
+        yield pd.concat(held, ignore_index=True)
+
+
 def reestimated(expected: np.ndarray, smoothing: float) -> np.ndarray:
     """Probabilities from expected counts, with ``smoothing`` added to every piece."""
     p = expected + smoothing

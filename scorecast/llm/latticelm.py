@@ -12,11 +12,11 @@ re-estimated on the training documents by ``rounds`` EM steps over their distinc
 words. The end token has its discounted share of the training tokens.
 
 Nothing is capped. All words of all documents are counted by Spark, after
-counting within batches. The ``FREQUENT`` most frequent words go to the tasks as
-a broadcast table of that many rows at most; every other word of a document is
-joined by the word itself. A word beyond the first ``FREQUENT`` cannot be hot
-(it holds less than one in ``FREQUENT`` of all tokens), so that join has no heavy
-key, and together the two paths score every token.
+counting within batches. The most frequent words, ``FREQUENT`` at most, go to the
+tasks as a broadcast table; every other word of a document is joined by the word
+itself. Such a word cannot be hot (with all more frequent ones it would need more
+than one in ``FREQUENT / 2`` of all tokens), so that join has no heavy key, and
+together the two paths score every token.
 
 Words are ``[^\x20\x09-\x0D]+`` of the text with A-Z in lower case. Defined
 cases: a null or empty text has the end token only; without training rows pieces
@@ -34,11 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lattice import Pieces, reestimated, vocabulary_path
+from .lattice import Pieces, in_chunks, reestimated, vocabulary_path
 from .shared import prepared, scratch
 from .textops import words_of
 
-FREQUENT = 1 << 18
+FREQUENT = 1 << 17
 ROUNDS = 3
 SMOOTHING = 0.05
 DISCOUNT = 0.75
@@ -79,7 +79,7 @@ def fit_pieces(words: DataFrame, path: str, rounds: int = ROUNDS, smoothing: flo
     p = Pieces.at(path).start()
     for _ in range(rounds):
         def expected(batches, p=p):
-            for pdf in batches:
+            for pdf in in_chunks(batches):
                 e = Pieces.at(path).expected_counts([w.encode("utf-8", "surrogatepass") for w in pdf["word"]], pdf["c"].to_numpy(float), p)
                 used = np.flatnonzero(e)
                 yield pd.DataFrame({"piece": used, "e": e[used]})
@@ -93,6 +93,18 @@ def fit_pieces(words: DataFrame, path: str, rounds: int = ROUNDS, smoothing: flo
     return p
 
 
+def _least_count(words: DataFrame, frequent: int) -> float:
+    """The least count that at most ``frequent`` words reach, to an eighth of a binary order."""
+    order = F.floor(8 * F.log2("n"))
+    kinds = {r[0]: r[1] for r in words.groupBy(order).count().collect()}  # at most 8 * 63 rows
+    total = 0
+    for k in sorted(kinds, reverse=True):
+        total += kinds[k]
+        if total > frequent:
+            return 2 ** ((k + 1) / 8)
+    return 0.0
+
+
 def score(docs: DataFrame, training, path: str | None = None, rounds: int = ROUNDS, frequent: int = FREQUENT) -> DataFrame:
     """``doc_id, training, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``.
 
@@ -113,7 +125,7 @@ def score(docs: DataFrame, training, path: str | None = None, rounds: int = ROUN
     stop = (ends - DISCOUNT) / tokens if tokens else 0.5
 
     def weighed(batches):
-        for pdf in batches:
+        for pdf in in_chunks(batches):
             lp = Pieces.at(path).log_probabilities([w.encode("utf-8", "surrogatepass") for w in pdf["word"]], p[:, None])[:, 0]
             whole = np.maximum(pdf["c"].to_numpy(float) - DISCOUNT, 0.0) / max(tokens, 1)
             with np.errstate(divide="ignore"):  # in the log domain: a long word's lattice is far below the smallest double
@@ -122,9 +134,10 @@ def score(docs: DataFrame, training, path: str | None = None, rounds: int = ROUN
                                 "base": np.log10((pdf["c"] + 1.0) / (tokens + kinds + 1.0)), "lp": lp / np.log(10.0)})
 
     weighed_words = scratch(words.mapInPandas(weighed, "word string, n long, known long, base double, lp double"), "lm-weights")
-    top = weighed_words.orderBy(F.desc("n"), "word").limit(frequent).toPandas()
-    numbers = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(top["word"])}
-    table = spark.sparkContext.broadcast((numbers, top[["known", "base", "lp"]].to_numpy(float)))
+    top = weighed_words.where(F.col("n") >= _least_count(words, frequent)).toArrow()
+    numbers = {w.encode("utf-8", "surrogatepass"): i for i, w in enumerate(top.column("word").to_pylist())}
+    weights = np.stack([top.column(c).to_numpy().astype(float) for c in ("known", "base", "lp")], axis=1)
+    table = spark.sparkContext.broadcast((numbers, weights))
     end = (1 if ends else 0, float(np.log10((ends + 1.0) / (tokens + kinds + 1.0))), float(np.log10(stop)))
 
     def scored(batches):
