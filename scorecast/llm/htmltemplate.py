@@ -3,9 +3,9 @@ r"""Main text of pages by equivalence-class template deduction.
 A page is a sequence of tokens: element starts, named by their path from the root
 (tag, classes and id without digits), and runs of text, named by path and text.
 Within a host, a token's *occurrence vector* says how often it stands on each
-page; tokens with equal vectors form an equivalence class. A class is large and
-frequent - part of what generates the pages - if it has ``LARGE`` tokens or more
-and stands on at least ``SUPPORT`` of the host's pages; because elements are named by path, valid classes
+page; tokens with equal vectors form an equivalence class. A class is valid -
+part of what generates the pages - if it stands on at least ``SUPPORT`` of the
+host's pages; because elements are named by path, valid classes
 nest by their paths and together form the host's template. What is left are the
 slots: the text below a template element.
 
@@ -53,7 +53,6 @@ from .shared import prepared, scratch
 
 SUPPORT = 0.5
 PAGES = 5
-LARGE = 2
 DEPTH = 64
 
 #: Element names and the words by which boilerplate names itself.
@@ -240,9 +239,7 @@ def classes(counted: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``host, vector, pages, of, members``: the valid equivalence classes; ``of`` is the host's number of pages."""
     total = counted.where("token = 0").select("host", F.col("pages").alias("of"))
     frequent = counted.where("token <> 0").join(total, "host").where(F.col("pages") >= support * F.col("of"))
-    found = frequent.groupBy("host", "vector", "pages", "of").agg(F.collect_list(F.struct("token", "text", "chars", "linked")).alias("members"))
-    return found.where(F.size("members") >= LARGE)
-
+    return frequent.groupBy("host", "vector", "pages", "of").agg(F.collect_list(F.struct("token", "text", "chars", "linked")).alias("members"))
 
 def templates(pages: DataFrame) -> DataFrame:
     """``host, paths, constants, links``: one row per host."""
