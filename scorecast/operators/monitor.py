@@ -24,7 +24,9 @@ from .running import running_sums
 
 
 def _long(df: DataFrame, features: list[str], side: str) -> DataFrame:
-    items = [F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+    # NaN is a missing value, as in pandas
+    items = [F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"),
+                      F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value"))
              for i, c in enumerate(features)]
     return df.select(F.explode(F.array(*items)).alias("s")).select(
         "s.pos", "s.feature", "s.value", F.lit(side).alias("side"))
@@ -81,7 +83,8 @@ def ks_statistics(reference, current: DataFrame, features: list[str] | None = No
     cum = running_sums(counts, ["feature"], ["value"], ["nr", "nc"], partitions=partitions)
     # totals: one row per feature, broadcast
     cum = cum.join(F.broadcast(nulls.select("feature", "n_ref", "n_cur")), "feature")
-    gap = F.abs(F.col("cum_nr") / F.col("n_ref") - F.col("cum_nc") / F.col("n_cur"))
+    # an all-null side has no distribution: its gap is null, so D and p are null and nothing is flagged
+    gap = F.abs(F.try_divide("cum_nr", "n_ref") - F.try_divide("cum_nc", "n_cur"))
     d = cum.groupBy("feature").agg(F.max(gap).alias("d"))
     return nulls.join(d, "feature", "left").select("pos", "feature", "d", "n_ref", "n_cur", "null_ref", "null_cur")
 
@@ -90,15 +93,15 @@ def ks_critical_d(alpha: float = DRIFT_P_THRESHOLD):
     """Asymptotic critical value c(alpha) * sqrt((n+m)/(n m)) as a column."""
     c = math.sqrt(-math.log(alpha / 2.0) / 2.0)
     n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
-    return F.lit(c) * F.sqrt((n + m) / (n * m))
+    return F.lit(c) * F.sqrt(F.try_divide(n + m, n * m))
 
 
 def ks_drift(reference: DataFrame, current: DataFrame, features: list[str] | None = None,
              method: str = "pvalue", alpha: float = DRIFT_P_THRESHOLD) -> DataFrame:
     """KS per feature with the drift decision.
 
-    ``method="pvalue"``: exact p when max(n) <= 10000, else asymptotic, drift
-    when p < alpha (strict). ``method="critical"``: drift when D exceeds the
+    ``method="pvalue"``: the public ``ks_2samp`` rule (``functions.stats.ks_p_value``),
+    drift when p < alpha (strict). ``method="critical"``: drift when D exceeds the
     asymptotic critical value. Features with missing values get no p and
     are not flagged (a warning says why).
     """
