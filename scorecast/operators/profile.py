@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_level
 from ..schema import (CATEGORY_MAPS, HIST_BINS_FEATURE, KDE_GRID_POINTS, LEVEL_ORDER, TARGET_COLUMN, TUKEY_K)
+from ..session import cut_lineage
 from .running import quantiles
 
 
@@ -232,12 +233,8 @@ def box_stats(df: DataFrame, columns: list[str], y: str = TARGET_COLUMN, k: floa
     )
     qs = qs.withColumn("lo_fence", F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))).withColumn(
         "hi_fence", F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1")))
-    # one row per (feature, level): broadcast only when the level count is small
-    from .running import MAX_BROADCAST_OFFSETS
-
-    if qs.count() <= MAX_BROADCAST_OFFSETS:
-        qs = F.broadcast(qs)
-    joined = long.join(qs, ["feature", "level"])
+    # one row per (feature, level), computed once; Spark broadcasts it when it is small
+    joined = long.join(cut_lineage(qs), ["feature", "level"])
     inside = (F.col("y") >= F.col("lo_fence")) & (F.col("y") <= F.col("hi_fence"))
     return joined.groupBy("feature", "level", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("y"))).alias("whisker_lo"),

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Offsets table rows (partition x group) broadcast to every task at most.
-MAX_BROADCAST_OFFSETS = 2_000_000
-
-
 def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[str], sum_cols: list[str],
                  prefix: str = "cum_", partitions: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of ``c`` within the group, in order.
@@ -25,12 +21,10 @@ def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[str], su
     Rows that tie on (group, order) are summed in an arbitrary but fixed
     order, so callers pass distinct keys (e.g. value counts).
     """
-    spark = df.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = df.repartitionByRange(max(1, partitions), *group_cols, *order_cols).withColumn(
-        "__pid", F.spark_partition_id()
-    )
+    keys = [*group_cols, *order_cols]
+    # without a number the partitions follow the session's setting and AQE's sizes
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged = ranged.withColumn("__pid", F.spark_partition_id())
     ranged = cut_lineage(ranged)
     w_local = (Window.partitionBy("__pid", *group_cols).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -41,9 +35,6 @@ def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[str], su
         "__pid", *group_cols,
         *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0)).alias(f"__off_{c}") for c in sum_cols],
     )
-    n_off = offsets.count()
-    if n_off <= MAX_BROADCAST_OFFSETS:
-        offsets = F.broadcast(offsets)
     joined = local.join(offsets, ["__pid", *group_cols])
     keep = [c for c in df.columns]
     return joined.select(
@@ -57,14 +48,57 @@ def value_counts(df: DataFrame, group_cols: list[str], value_col: str) -> DataFr
             .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("n")))
 
 
+# Accuracy of the sketch that brackets exact quantiles; a bracket holds about 5 / SKETCH of the rows.
+SKETCH = 10_000
+
+
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
                     partitions: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group (numpy/pandas 'linear').
 
-    Returns (group..., p, q). Works on distinct-value counts, so memory per
-    task is bounded by the partition size, never by a group's cardinality.
+    Returns (group..., p, q). Two passes and no full sort: a sketch brackets
+    every quantile, then one aggregate counts the rows between brackets and the
+    distinct values inside them, and only the latter are put in order. Should a
+    bracket miss its ranks (the sketch's error bound says it does not), all
+    values are ordered instead.
     """
-    counts = value_counts(df, group_cols, value_col)
+    rows = df.where(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("__v"))
+    edges = [e for p in probs for e in (max(0.0, p - 2.5 / SKETCH), min(1.0, p + 2.5 / SKETCH))]
+    sketch = cut_lineage(rows.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("__N"), F.percentile_approx("__v", edges, SKETCH).alias("__e")))
+    lows, highs = [F.col("__e")[2 * i] for i in range(len(probs))], [F.col("__e")[2 * i + 1] for i in range(len(probs))]
+
+    inside = F.lit(False)
+    zone = F.lit(0)
+    for lo, hi in zip(lows, highs):
+        inside = inside | F.col("__v").between(lo, hi)
+        zone = zone + (F.col("__v") > lo).cast("int") + (F.col("__v") > hi).cast("int")
+    # rows of one zone outside all brackets lie on the same side of every edge: one of them stands for all
+    counted = cut_lineage(
+        rows.join(sketch, group_cols).select(*group_cols, "__v", zone.alias("__zone"), F.when(inside, F.col("__v")).alias("__in"))
+        .groupBy(*group_cols, "__zone", "__in").agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("__v")))
+    brackets = F.array(*[F.struct(F.lit(float(p)).alias("p"), lo.alias("lo"), hi.alias("hi")) for p, lo, hi in zip(probs, lows, highs)])
+    targets = sketch.select(*group_cols, "__N", F.explode(brackets).alias("b")).select(*group_cols, "__N", "b.*")
+    targets = targets.withColumn("__h", (F.col("__N") - 1).cast("double") * F.col("p"))
+    targets = targets.withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h"))
+    each = counted.join(targets, group_cols)
+    spans = each.groupBy(*group_cols, "p", "__h", "__lo", "__hi").agg(
+        F.sum(F.when(F.col("__v") < F.col("lo"), F.col("n")).otherwise(0)).alias("__below"),
+        F.sum(F.when(F.col("__v").between(F.col("lo"), F.col("hi")), F.col("n")).otherwise(0)).alias("__within"))
+    spans = cut_lineage(spans)
+    missed = (F.col("__below") > F.col("__lo")) | (F.col("__below") + F.col("__within") <= F.col("__hi"))
+    if spans.where(missed).head(1):
+        return _ordered_quantiles(df, group_cols, value_col, probs, partitions)
+    near = each.where(F.col("__v").between(F.col("lo"), F.col("hi"))).select(*group_cols, "p", F.col("__v").alias("v"), "n")
+    cum = running_sums(near, [*group_cols, "p"], ["v"], ["n"], partitions=partitions)
+    cum = cum.join(spans, [*group_cols, "p"]).withColumn("cum_n", F.col("cum_n") + F.col("__below"))
+    return _interpolated(cum.withColumn("__before", F.col("cum_n") - F.col("n")), group_cols, "v")
+
+
+def _ordered_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
+                       partitions: int | None = None) -> DataFrame:
+    """The same from running sums over all distinct values."""
+    counts = cut_lineage(value_counts(df, group_cols, value_col))
     cum = running_sums(counts, group_cols, [value_col], ["n"], partitions=partitions)
     cum = cum.withColumn("__before", F.col("cum_n") - F.col("n"))
     totals = counts.groupBy(*group_cols).agg(F.sum("n").alias("__N"))
@@ -72,10 +106,12 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
         *group_cols, F.col("__N"), F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
     ).withColumn("__h", (F.col("__N") - 1).cast("double") * F.col("p"))
     targets = targets.withColumn("__lo", F.floor("__h")).withColumn("__hi", F.ceil("__h"))
-    # One row per group x prob: broadcast only when that count is small.
-    if targets.count() <= MAX_BROADCAST_OFFSETS:
-        targets = F.broadcast(targets)
-    hits = cum.join(targets, group_cols).where(
+    return _interpolated(cum.join(targets, group_cols), group_cols, value_col)
+
+
+def _interpolated(cum: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
+    """(group..., p, q) from values with their running counts and the wanted positions."""
+    hits = cum.where(
         ((F.col("__before") <= F.col("__lo")) & (F.col("__lo") < F.col("cum_n")))
         | ((F.col("__before") <= F.col("__hi")) & (F.col("__hi") < F.col("cum_n")))
     )

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from ..schema import CV_FOLDS, KEY_COLUMN, MSG_INDEX_RANGE, SPLIT_SEED, TEST_PERCENT
 from ..session import cut_lineage
 
-# Most partitions for the dense-index pass; offsets table has one row each.
-MAX_INDEX_PARTITIONS = 20_000
-
-
 def hash_unit(key, salt: str, hex_digits: int = 8) -> Column:
     """Unsigned integer from the first ``hex_digits`` of md5(key || salt)."""
     k = F.col(key) if isinstance(key, str) else key
@@ -59,16 +55,13 @@ def with_row_index(df: DataFrame, order_by: list[str] | str = KEY_COLUMN, name:
     count). No global single-task window.
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    spark = df.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    partitions = max(1, min(partitions, MAX_INDEX_PARTITIONS))
     # A deterministic tie-break (hash of the whole row) lets the range
     # partitioner split a key value shared by many rows across partitions.
     base = df.withColumn("__tb", F.xxhash64(*[F.col(c) for c in df.columns]))
     keys = [*order_by, "__tb"]
+    # without a number the partitions follow the session's setting and AQE's sizes
     tagged = (
-        base.repartitionByRange(partitions, *keys)
+        (base.repartitionByRange(partitions, *keys) if partitions else base.repartitionByRange(*keys))
         .sortWithinPartitions(*keys)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
@@ -78,7 +71,7 @@ def with_row_index(df: DataFrame, order_by: list[str] | str = KEY_COLUMN, name:
     per_part = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    out = tagged.join(F.broadcast(offsets.select("__pid", "__off", "__m0")), "__pid")
+    out = tagged.join(offsets.select("__pid", "__off", "__m0"), "__pid")
     out = out.withColumn(name, (F.col("__off") + F.col("__mid") - F.col("__m0")).cast("bigint"))
     return out.drop("__pid", "__mid", "__off", "__m0")
 
@@ -99,26 +92,19 @@ def draw_positions(spark, n: int, population: int, seed: int) -> DataFrame:
     )
 
 
-def bootstrap_sample(df: DataFrame, n: int, seed: int | None = SPLIT_SEED, key: str = KEY_COLUMN,
-                     broadcast_limit: int = 1_000_000) -> DataFrame:
+def bootstrap_sample(df: DataFrame, n: int, seed: int | None = SPLIT_SEED, key: str = KEY_COLUMN) -> DataFrame:
     """Exactly ``n`` rows drawn uniformly with replacement (``draw_id`` 0..n-1).
 
-    Only the key column is indexed; the drawn keys are joined back to the full
-    rows. The draw table is broadcast when ``n`` is within ``broadcast_limit``.
-    ``seed=None`` draws a fresh seed once on the driver.
+    Positions are those of the rows in key order (rows that share a key are told
+    apart by a hash of the whole row), so a repeated key neither multiplies nor
+    hides rows. Draws meet the indexed rows by position; Spark broadcasts them
+    when they are small. ``seed=None`` draws a fresh seed once on the driver.
     """
     if seed is None:
         seed = random.SystemRandom().randrange(1 << 30)
-    spark = df.sparkSession
-    population = df.count()
+    index = with_row_index(df, key)
+    population = index.count()
     if population == 0:
         raise ValueError("cannot sample from an empty table")
-    index = with_row_index(df.select(key), key)
-    draws = draw_positions(spark, n, population, seed)
-    if n <= broadcast_limit:
-        draws = F.broadcast(draws)
-    picked = draws.join(index, "row_id").select("draw_id", key)
-    rows = df
-    if n <= broadcast_limit:
-        picked = F.broadcast(picked)
-    return picked.join(rows, key).drop("row_id")
+    draws = draw_positions(df.sparkSession, n, population, seed)
+    return index.join(draws, "row_id").select("draw_id", *df.columns)

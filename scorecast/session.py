@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -50,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that the driver "
+                               "and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="scorecast-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -63,10 +67,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scorecast", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared scratch folder and read it back.
+
+    Cuts the lineage with files every executor can reach (a lost executor loses
+    nothing), stays column-prunable and gives the planner a known size. The files
+    go with ``purge_scratch()`` or when the driver ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    _WRITTEN.append((spark, path))
+    return spark.read.parquet(path)
+
+
+def purge_scratch() -> None:
+    """Delete the scratch tables written so far; results that still read them must be done."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session has ended: the shared folder's owner clears it
+            return
+
+
+atexit.register(purge_scratch)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` materialised in the shared folder (survives executor loss)."""
+    return scratch_table(df, "cut")
 
 
 _SHIPPED: set = set()
