@@ -95,9 +95,11 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_root: str, n_samples: int
     (run_id, best_name, metrics), _ = train_fixed_models(spark, raw, runs_path, models_root, seed)
     batch = generate_batch(raw, n_samples, seed)
     bundle = load_run_model(spark, runs_path, run_id)           # hand-over through the runs table
-    scored = score_batch(batch, bundle["model"], bundle["preparer"], key="draw_id")
+    scored = score_batch(batch, bundle["model"], bundle["preparer"])
     pred_path = write_predictions(scored, f"{out_root}/predictions", run_id)
-    result = spark.read.parquet(f"{out_root}/predictions").where(F.col("run_id") == run_id)
+    # the id comes back as text whatever it looks like
+    written = spark.read.schema(scored.withColumn("run_id", F.lit(run_id)).schema).parquet(f"{out_root}/predictions")
+    result = written.where(F.col("run_id") == run_id)
     return BatchRun(run_id, best_name, metrics, pred_path, quality), result
 
 

@@ -17,7 +17,7 @@ from .q_monitor import D_REF, D_DRIFT, d_ks, scored_batch, scored_reference
 from .q_prepare import FIXED_COEF, FIXED_INTERCEPT, fixed_model
 from ..functions.text import python_list
 from ..schema import MSG_EVENT_MISSING_FEATURES, MSG_EVENT_UNKNOWN_LEVEL
-from .registry import WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, dr, query, rnd
+from .registry import WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, d_round_python, dr, query, rnd
 
 # --- T1 -----------------------------------------------------------------------
 
@@ -35,12 +35,13 @@ def _d_stream_error() -> str:
 
 
 _ENC = ", ".join(f"{d_code(c)} AS {c}" if c in CATEGORY_MAPS else c for c in FEATURE_COLUMNS)
-_SCORE = dr(f"greatest(least({d_linear(FIXED_COEF, FIXED_INTERCEPT)}, 1e2), 0e0)", 2)
+_RAW = f"greatest(least({d_linear(FIXED_COEF, FIXED_INTERCEPT)}, 1e2), 0e0)"
 
 
 @query("stream_score",
        f"{WITH_HABITS}, e AS (SELECT student_id, {_d_stream_error()} AS error, {_ENC} FROM habits), "
-       f"s AS (SELECT student_id, error, CASE WHEN error IS NULL THEN {_SCORE} END AS predicted_exam_score FROM e) "
+       f"p AS (SELECT student_id, error, {_RAW} AS raw FROM e), "
+       f"s AS (SELECT student_id, error, CASE WHEN error IS NULL THEN {d_round_python('raw')} END AS predicted_exam_score FROM p) "
        f"SELECT student_id, predicted_exam_score, error, "
        f"'{{\"prediction\":{{\"student_id\":' || to_json(student_id) || CASE WHEN error IS NULL THEN "
        f"',\"predicted_exam_score\":' || CAST(predicted_exam_score AS VARCHAR) ELSE ',\"error\":' || CAST(to_json(error) AS VARCHAR) END "
@@ -50,7 +51,7 @@ def q_stream_score(spark, sf_dir):
     base = scratch_path(spark, "stream-score")
     msgs = encode_message(habits(spark, sf_dir)).select(
         F.struct(F.col("data"), F.lit(None).cast("string").alias("message_id")).alias("message"))
-    msgs.repartition(4).write.mode("overwrite").json(f"{base}/in")
+    msgs.write.mode("overwrite").json(f"{base}/in")
     q = start_scoring_stream(spark, f"{base}/in", f"{base}/out", f"{base}/dead", f"{base}/ckpt", fixed_model())
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("student_id", "predicted_exam_score", "error", "response")

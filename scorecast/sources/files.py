@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,17 +104,15 @@ def write_reference_set(df: DataFrame, path: str) -> None:
 
 
 def write_batch(df: DataFrame, root: str, batch_id: str) -> str:
-    """Scored batch as ``root/<batch_id>.csv/`` (a CSV folder named by the id)."""
+    """Scored batch as ``root/<batch_id>.csv/``: a CSV folder named by the id, with a file per task."""
     path = f"{root.rstrip('/')}/{batch_id}.csv"
-    write_csv(df.select(*[f.name for f in SCORED_SCHEMA.fields]).coalesce(1), path)
+    write_csv(df.select(*[f.name for f in SCORED_SCHEMA.fields]), path)
     return path
 
 
-def batch_files(spark: SparkSession, root: str, schema: T.StructType = SCORED_SCHEMA) -> DataFrame:
-    """All batch rows with their file's modification time and batch id."""
-    df = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(root)
-    return df.select("*", F.col("_metadata.file_modification_time").alias("file_time"),
-                     F.col("_metadata.file_path").alias("file_path"))
+def read_batch(spark: SparkSession, path: str, schema: T.StructType = SCORED_SCHEMA) -> DataFrame:
+    """All rows of one batch: every file of its folder."""
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def batch_id_from_path(col) -> "F.Column":
@@ -127,15 +126,29 @@ def latest_by(df: DataFrame, order_col: str) -> DataFrame:
     return df.where(F.col(order_col) == top)
 
 
+def batch_folder_from_path(col) -> "F.Column":
+    """``.../<id>.csv/part-...`` or ``.../<id>.csv`` -> ``.../<id>.csv``."""
+    return F.regexp_extract(col, r"^(.*?\.csv)(/[^/]*)?$", 1)
+
+
 def latest_batch(spark: SparkSession, root: str) -> tuple[str, DataFrame]:
-    """(batch_id, rows) of the most recently written batch; raises when none."""
-    files = batch_files(spark, root)
-    latest = latest_by(files, "file_time").withColumn("batch_id", batch_id_from_path(F.col("file_path")))
-    first = latest.select("batch_id").limit(1).collect()
-    if not first:
+    """(batch_id, rows) of the most recently written batch; raises when there is none.
+
+    The batch is chosen first, from file names and times alone (contents are not
+    read); then all its files are read. Of batches with the same time the greatest
+    id counts as newest.
+    """
+    try:
+        names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "modificationTime")
+    except AnalysisException as missing:
+        raise FileNotFoundError(MSG_NO_BATCHES.format(root=root)) from missing
+    batches = names.select(batch_folder_from_path(F.col("path")).alias("folder"), "modificationTime").where("folder <> ''")
+    newest = batches.groupBy("folder").agg(F.max("modificationTime").alias("time")).orderBy(
+        F.desc("time"), batch_id_from_path(F.col("folder")).desc()).first()
+    if newest is None:
         raise FileNotFoundError(MSG_NO_BATCHES.format(root=root))
-    bid = first[0]["batch_id"]
-    return bid, latest.where(F.col("batch_id") == bid).drop("file_time", "file_path", "batch_id")
+    folder = newest["folder"]
+    return folder.rsplit("/", 1)[-1][: -len(".csv")], read_batch(spark, folder)
 
 
 def append_metrics(row: DataFrame, path: str) -> None:
@@ -146,4 +159,5 @@ def append_metrics(row: DataFrame, path: str) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*[f.name for f in METRICS_SCHEMA.fields])
+    # the schema keeps ids text: "00123456" or "1234e567" would be read as numbers
+    return spark.read.schema(METRICS_SCHEMA).parquet(path).select(*[f.name for f in METRICS_SCHEMA.fields])

@@ -16,18 +16,24 @@ from pyspark.sql import functions as F
 
 from ..operators.monitor import monitoring_row, reference_profile
 from ..schema import SCORED_SCHEMA
-from ..sources.files import append_metrics, batch_id_from_path
+from ..sources.files import append_metrics, batch_folder_from_path, batch_id_from_path, read_batch
 
 
 def monitor_micro_batch(batch: DataFrame, reference: DataFrame, metrics_path: str, method: str = "pvalue",
                         clock=None) -> list[str]:
-    batch = batch.withColumn("batch_id", batch_id_from_path(F.col("file_path"))).persist()
-    ids = [r[0] for r in batch.select("batch_id").distinct().orderBy("batch_id").collect()]  # files in this trigger
-    for bid in ids:
-        current = batch.where(F.col("batch_id") == bid).drop("batch_id", "file_path")
+    """One metrics row for every batch that has a file in this trigger.
+
+    A batch may have several files, also in several triggers: its folder is read
+    as a whole each time, and the append replaces the batch's own row.
+    """
+    found = batch.select(batch_id_from_path(F.col("file_path")).alias("batch_id"),
+                         batch_folder_from_path(F.col("file_path")).alias("folder")).distinct()
+    ids = []
+    for bid, folder in sorted(tuple(r) for r in found.collect()):  # at most the files of one trigger
+        ids.append(bid)
+        current = read_batch(batch.sparkSession, folder)
         ts = (clock or (lambda: datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)))()
         append_metrics(monitoring_row(reference, current, bid, timestamp=ts, method=method), metrics_path)
-    batch.unpersist()
     return ids
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import clip_score, round_half_even
+from ..functions.numeric import clip_score, round_python
 from ..functions.text import clean_level, fill, map_literal, python_list
 from ..operators.models.linear import LinearModel
 from ..schema import (CATEGORY_MAPS, EVENT_SCHEMA, FEATURE_COLUMNS, MSG_EVENT_BAD_NUMBER, MSG_EVENT_MISSING_FEATURES,
@@ -88,7 +88,7 @@ def score_events(decoded: DataFrame, model, maps: dict | None = None, places: in
         scored = model.transform(ok, output="__raw").unionByName(bad, allowMissingColumns=True)
     out = scored.select(
         "student_id",
-        F.when(F.col("error").isNull(), round_half_even(clip_score(F.col("__raw")), places)).alias("predicted_exam_score"),
+        F.when(F.col("error").isNull(), round_python(clip_score(F.col("__raw")), places)).alias("predicted_exam_score"),
         "error")
     return out.withColumn("response", F.to_json(F.struct(F.struct("student_id", "predicted_exam_score", "error")
                                                          .alias("prediction"))))
@@ -105,6 +105,43 @@ def encode_message(df: DataFrame, key: str = "student_id", features: list[str] |
     return df.select(F.base64(F.encode(payload, "UTF-8")).alias("data"))
 
 
+def start_message_stream(messages: DataFrame, sink, checkpoint: str, model, available_now: bool = True,
+                         interval: str = "10 seconds"):
+    """Score any stream of messages (a streaming DataFrame with a base64 ``data`` column).
+
+    ``sink(responses, dead, epoch)`` gets each micro-batch's scored rows, its dead
+    letters and its number; a repeated number is the same micro-batch again, so a
+    sink that writes by it delivers once.
+    """
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        sink(score_events(batch, model), dead_letters(batch), epoch)
+        batch.unpersist()
+
+    w = decode_messages(messages).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+def parquet_sink(responses_dir: str, dead_dir: str):
+    """Sink that keeps responses and dead letters as Parquet, a partition per micro-batch."""
+    def write(responses: DataFrame, dead: DataFrame, epoch: int) -> None:
+        for df, path in ((responses, responses_dir), (dead, dead_dir)):
+            df.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path)
+
+    return write
+
+
+def kafka_sink(bootstrap_servers: str, topic: str):
+    """Sink that sends the response JSON to a topic (needs the Kafka connector on the cluster)."""
+    def write(responses: DataFrame, dead: DataFrame, epoch: int) -> None:
+        (responses.select(F.col("student_id").cast("string").alias("key"), F.col("response").alias("value"))
+         .write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
+
+    return write
+
+
 def start_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, dead_dir: str, checkpoint: str,
                          model, available_now: bool = True, max_files_per_trigger: int | None = None):
     """File-source stream of envelope JSON lines -> scored responses (Parquet)
@@ -112,26 +149,14 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, sink_dir: str, de
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    msgs = reader.json(source_dir).select(F.col("message.data").alias("data"))
-    decoded = decode_messages(msgs)
-
-    def sink(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
-        score_events(batch, model).withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(sink_dir)
-        dead_letters(batch).withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(dead_dir)
-        batch.unpersist()
-
-    w = decoded.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    messages = reader.json(source_dir).select(F.col("message.data").alias("data"))
+    return start_message_stream(messages, parquet_sink(sink_dir, dead_dir), checkpoint, model, available_now)
 
 
 def kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
                    starting_offsets: str = "latest") -> DataFrame:
-    """Message source for a cluster with the Kafka connector on its classpath:
-    the record value is the base64 payload, as the file source's ``data``.
+    """Message source for ``start_message_stream`` on a cluster with the Kafka
+    connector on its classpath: the record value is the base64 payload.
     (Not exercised in tests here: no connector jar and no broker.)"""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
             .option("subscribe", topic).option("startingOffsets", starting_offsets).load()

@@ -51,7 +51,7 @@ def test_latest_batch_and_metrics(spark, tmp_out):
     write_batch(spark.createDataFrame(rows * 3, cols), f"{tmp_out}/b", "bbbb2222")
     bid, batch = latest_batch(spark, f"{tmp_out}/b")
     assert bid == "bbbb2222" and batch.count() == 3
-    with pytest.raises(Exception):
+    with pytest.raises(FileNotFoundError):
         latest_batch(spark, f"{tmp_out}/empty")
     row = spark.createDataFrame([(datetime.datetime(2020, 1, 1), bid, 3, 0, 0.0, None, 1.0, 1.0, 0.0, 71.0, 0.0, 71.0,
                                   71.0)], METRICS_SCHEMA)
