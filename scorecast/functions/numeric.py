@@ -23,6 +23,27 @@ def round_half_even(col, places: int = 2) -> Column:
     return F.rint(_c(col) * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
 
 
+def round_python(col, places: int = 2) -> Column:
+    """Python's ``round(x, places)``: the exact binary value decides, ties go to even.
+
+    ``x * 10^places`` is split into its rounded product and the rounding error
+    (both exact, by splitting x into two halves of its digits), so that 2.675,
+    which lies below the tie, gives 2.67 where scale-and-round gives 2.68. Values
+    from 2^52 / 10^places on have no such digits and stay as they are.
+    """
+    x, scale = _c(col), F.lit(float(10 ** places))
+    wide = x * F.lit(134217729.0)   # 2^27 + 1
+    high = wide - (wide - x)
+    low = x - high
+    product = x * scale
+    error = (high * scale - product) + low * scale
+    whole = F.floor(product).cast("double")
+    part = product - whole
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 != 0))))
+    rounded = F.when(up, whole + 1.0).otherwise(whole) / scale + F.lit(0.0)
+    return F.when(F.abs(product) < F.lit(2.0 ** 52), rounded).otherwise(x)
+
+
 def clip(col, lo: float | None = None, hi: float | None = None) -> Column:
     """Bound a value; nulls stay null (``greatest``/``least`` would skip them)."""
     c = _c(col)

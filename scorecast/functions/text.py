@@ -16,13 +16,14 @@ def _c(col) -> Column:
 
 
 def strip_ws(col) -> Column:
-    """Remove ASCII whitespace (blank, tab, newline, CR, VT, FF) at both ends."""
+    """Remove white space at both ends, all that Python's ``str.strip()`` removes."""
     return F.btrim(_c(col), F.lit(STRIP_CHARS))
 
 
 def title_case(col) -> Column:
-    """Upper-case the first letter of each blank-separated word, lower the rest."""
-    return F.initcap(_c(col))
+    """Python's ``str.title()``: upper-case each letter that no letter precedes, lower the rest."""
+    runs = F.regexp_extract_all(F.lower(_c(col)), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
+    return F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))), "")
 
 
 def fill(template: str, **parts) -> Column:

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clip_score, round_half_even
-from ..schema import CATEGORY_MAPS, FEATURE_COLUMNS, KEY_COLUMN, REQUEST_RULES
+from ..functions.numeric import clip_score, round_half_even, round_python
+from ..schema import CATEGORY_MAPS, FEATURE_COLUMNS, REQUEST_RULES
 from .models.linear import LinearModel
 from .prepare import Preparer, mode_values
 from .validate import category_checks, range_checks
@@ -20,8 +20,7 @@ def _missing_error(features: list[str]):
     return F.when(F.size(names) > 0, F.concat(F.lit("missing or unknown value in: "), F.array_join(names, ", ")))
 
 
-def predict(model, df: DataFrame, features: list[str] | None = None, key: str = KEY_COLUMN,
-            output: str = "prediction") -> DataFrame:
+def predict(model, df: DataFrame, features: list[str] | None = None, output: str = "prediction") -> DataFrame:
     """Model prediction with error rows: rows with a null feature get a null
     prediction and an ``error`` text (a linear model is one projection; other
     models score only complete rows, the rest are unioned back)."""
@@ -33,15 +32,12 @@ def predict(model, df: DataFrame, features: list[str] | None = None, key: str =
     flagged = df.withColumn("error", err)
     ok = flagged.where(F.col("error").isNull())
     bad = flagged.where(F.col("error").isNotNull()).withColumn(output, F.lit(None).cast("double"))
-    from ..operators.models.knn import KnnModel
-
-    scored = model.transform(ok, key=key, output=output) if isinstance(model, KnnModel) else model.transform(ok, output=output)
+    scored = model.transform(ok, output=output)
     return scored.unionByName(bad, allowMissingColumns=True)
 
 
 def score_batch(df: DataFrame, model, preparer: Preparer, places: int = 2, clip: bool = False,
-                recompute_mode: bool = False, output: str = "predicted_exam_score",
-                key: str = KEY_COLUMN) -> DataFrame:
+                recompute_mode: bool = False, output: str = "predicted_exam_score") -> DataFrame:
     """Raw columns kept, prediction appended (rounded; clipped only if asked).
 
     ``recompute_mode=True`` imputes with the mode of this batch instead of the
@@ -64,7 +60,7 @@ def score_batch(df: DataFrame, model, preparer: Preparer, places: int = 2, clip:
         enc.append((encode_level(src, prep.maps[c]) if c in prep.maps else src).alias(c))
     # raw columns kept under temporary names; encoded features take the model's names
     work = df.select(*[F.col(c).alias(f"__raw_{c}") for c in raw_cols], *enc)
-    scored = predict(model, work, key=f"__raw_{key}" if key in raw_cols else key, output="__p")
+    scored = predict(model, work, output="__p")
     pred = round_half_even(clip_score(F.col("__p")) if clip else F.col("__p"), places)
     return scored.select(*[F.col(f"__raw_{c}").alias(c) for c in raw_cols], pred.alias(output), "error")
 
@@ -76,12 +72,13 @@ def score_requests(df: DataFrame, model, maps: dict | None = None, rules: dict |
     checks = range_checks(rules or REQUEST_RULES) + category_checks(maps, schema=df.schema)
     v = df.withColumn("__errors", F.array_compact(F.array(*checks)))
     enc = Preparer(fills={}, maps=maps, impute_columns=[], drop_columns=[]).transform(v)
-    raw = model.prediction_column() if isinstance(model, LinearModel) else None
-    if raw is None:
-        scored = predict(model, enc.where(F.size("__errors") == 0), key=key, output="__p")
-        enc = enc.join(scored.select(key, "__p"), key, "left")
+    if isinstance(model, LinearModel):
+        raw = model.prediction_column()
+    else:  # rows with an error are not scored; requests may share an id, so nothing is joined by it
+        ok = model.transform(enc.where(F.size("__errors") == 0), output="__p")
+        enc = ok.unionByName(enc.where(F.size("__errors") > 0).withColumn("__p", F.lit(None).cast("double")))
         raw = F.col("__p")
     p = clip_score(raw) if clip else raw
     return enc.select(
-        key, F.when(F.size("__errors") == 0, round_half_even(p, places)).alias("predicted_exam_score"),
+        key, F.when(F.size("__errors") == 0, round_python(p, places)).alias("predicted_exam_score"),
         F.try_element_at(F.col("__errors"), F.lit(1)).alias("error"))

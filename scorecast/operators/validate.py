@@ -99,11 +99,11 @@ def feature_array(columns: list[str] | None = None) -> Column:
 
 def validate_vector(df: DataFrame, vector_col: str = "features",
                     expected: int = EXPECTED_FEATURE_COUNT) -> DataFrame:
-    """Checks an array column: exactly ``expected`` entries, none null."""
+    """Checks an array column: exactly ``expected`` entries, none null (NaN is a number)."""
     v = F.col(vector_col)
     n = F.size(v)
     err = (F.when(v.isNull(), F.lit("Feature vector is missing."))
            .when(n != expected, fill(MSG_VECTOR_COUNT, expected=expected, got=n.cast("string")))
-           .when(~F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(MSG_VECTOR_TYPES)))
+           .when(~F.forall(v, lambda x: x.isNotNull()), F.lit(MSG_VECTOR_TYPES)))
     return df.withColumn("n_features", n.cast("int")).withColumn("error", err).withColumn(
         "is_valid", err.isNull())

@@ -41,7 +41,7 @@ def scored_frame(raw: DataFrame, model, preparer: Preparer, key: str = KEY_COLUM
     ``draw_id``).
     """
     enc = preparer.transform(raw, keep=[key])
-    scored = predict(model, enc, key=key, output="__p")
+    scored = predict(model, enc, output="__p")
     return scored.select(*MONITOR_FEATURES, TARGET_COLUMN, round_half_even(F.col("__p"), 2).alias("prediction"))
 
 

@@ -22,7 +22,7 @@ from .q_prepare import FIXED_COEF, FIXED_INTERCEPT, prepared
 from ..functions.text import python_list
 from ..schema import (MSG_REQUEST_ABOVE, MSG_REQUEST_BELOW, MSG_REQUEST_MISSING, MSG_REQUEST_NOT_TEXT,
                       MSG_REQUEST_UNKNOWN_LEVEL, MSG_VECTOR_TYPES)
-from .registry import (WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, d_str, d_strip, d_title, dr, query,
+from .registry import (WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, d_str, d_strip, d_title, d_round_python, dr, query,
                        rnd)
 from .train import SMOKE_GRIDS, prepare_split, results_frame, train
 
@@ -248,9 +248,9 @@ def _d_requests() -> str:
 
 
 @query("score_requests",
-       f"{WITH_HABITS}, {_d_requests()} SELECT request_id, CASE WHEN error IS NULL THEN "
-       f"{dr('greatest(least(' + d_linear(FIXED_COEF, FIXED_INTERCEPT) + ', 1e2), 0e0)', 2)} END AS predicted_exam_score, "
-       f"error FROM v")
+       f"{WITH_HABITS}, {_d_requests()}, p AS (SELECT request_id, error, "
+       f"{'greatest(least(' + d_linear(FIXED_COEF, FIXED_INTERCEPT) + ', 1e2), 0e0)'} AS raw FROM v) "
+       f"SELECT request_id, CASE WHEN error IS NULL THEN {d_round_python('raw')} END AS predicted_exam_score, error FROM p")
 def q_score_requests(spark, sf_dir):
     from .q_prepare import fixed_model
 

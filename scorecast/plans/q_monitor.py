@@ -105,6 +105,29 @@ def q_bootstrap_sample(spark, sf_dir):
     return s.select("draw_id", *RAW_COLUMNS)
 
 
+@query("bootstrap_dup_key",
+       "WITH idx AS (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) - 1 AS row_id, count(*) OVER () AS n FROM lineitem), "
+       f"draws AS (SELECT range AS draw_id, {d_hash('range', f':draw:{SAMPLE_SEED}', 15)} % (SELECT max(n) FROM idx) AS row_id "
+       f"FROM range({SAMPLE_N})) SELECT draw_id, l_orderkey FROM draws JOIN idx USING (row_id)")
+def q_bootstrap_dup_key(spark, sf_dir):
+    """A bootstrap over a key that several rows share."""
+    return bootstrap_sample(table(spark, sf_dir, "lineitem"), SAMPLE_N, SAMPLE_SEED, key="l_orderkey").select("draw_id", "l_orderkey")
+
+
+@query("latest_batch_files", f"{WITH_HABITS}, {D_REF} SELECT '1234e567' AS batch_id, * FROM ref")
+def q_latest_batch_files(spark, sf_dir):
+    """Two batches of several files each, written one after the other: the whole newer one comes back."""
+    from ..session import scratch_path
+    from ..sources.files import latest_batch, write_batch
+
+    root = scratch_path(spark, "batches")
+    rows = scored_reference(spark, sf_dir)
+    write_batch(rows.where("exam_score > 50"), root, "00123456")
+    write_batch(rows.repartition(4), root, "1234e567")
+    batch_id, newest = latest_batch(spark, root)
+    return newest.select(F.lit(batch_id).alias("batch_id"), "*")
+
+
 @query("scored_batch", f"{WITH_HABITS}, {D_BATCH} SELECT * FROM cur")
 def q_scored_batch(spark, sf_dir):
     return scored_batch(spark, sf_dir)

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_even
-from ..schema import CATEGORY_MAPS
+from ..schema import CATEGORY_MAPS, STRIP_CHARS
 from ..sources.standin import HABITS_SQL
 
 QUERIES: dict[str, Callable] = {}
@@ -54,13 +54,25 @@ def dr(expr: str, places: int = 6) -> str:
 
 
 def d_strip(x: str) -> str:
-    return f"trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
+    return f"trim({x}, {' || '.join(f'chr({ord(c)})' for c in STRIP_CHARS)})"
 
 
 def d_title(x: str) -> str:
-    """Title case of blank-separated words."""
-    return (f"array_to_string(list_transform(string_split({x}, ' '), "
-            f"lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')")
+    """``str.title()``: runs of letters get a capital."""
+    return (f"array_to_string(list_transform(regexp_extract_all(lower({x}), '\\p{{L}}+|[^\\p{{L}}]+'), "
+            f"lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '')")
+
+
+def d_round_python(x: str, places: int = 2) -> str:
+    """Python's ``round``, by the exact product of ``round_python``."""
+    s = f"1e{places}"
+    high = f"(({x}) * 134217729e0 - (({x}) * 134217729e0 - ({x})))"
+    product = f"(({x}) * {s})"
+    error = f"(({high} * {s} - {product}) + (({x}) - {high}) * {s})"
+    whole = f"floor({product})"
+    part = f"({product} - {whole})"
+    up = f"({part} > 0.5e0 OR ({part} = 0.5e0 AND ({error} > 0 OR ({error} = 0 AND {whole} % 2 <> 0))))"
+    return f"((CASE WHEN {up} THEN {whole} + 1e0 ELSE {whole} END) / {s} + 0e0)"
 
 
 def d_code(col: str, src: str | None = None) -> str:

@@ -89,7 +89,8 @@ NA_TOKENS = [
 ]
 
 # Whitespace removed by str.strip() for ASCII text.
-STRIP_CHARS = " \t\n\r\x0b\x0c"
+STRIP_CHARS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
 
 SCORE_MIN = 0.0
 SCORE_MAX = 100.0
