@@ -1,48 +1,18 @@
-"""Helpers for the operators: working columns, scratch tables, sizing."""
+"""Helpers for the operators: scratch tables, bounded batches, sizing."""
 
 from __future__ import annotations
 
-import atexit
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_workers_can_import, scratch_path
+from ..session import ensure_workers_can_import
+from ..session import scratch_table as scratch
 
-WORD = r"[^\x20\x09-\x0D]+"
-
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
-
-def scratch(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared ``spark.checkpoint.dir`` and read it back.
-
-    Cuts the lineage with files that every executor can reach, keeps the
-    columns prunable, and gives the planner a known size. The files go at
-    ``purge_scratch()`` or when the driver ends.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    _WRITTEN.append((spark, path))
-    return spark.read.parquet(path)
-
-
-def purge_scratch() -> None:
-    """Delete the scratch tables written so far; results that still read them must be done."""
-    while _WRITTEN:
-        spark, path = _WRITTEN.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session has ended: the shared folder's owner clears it
-            return
-
-
-atexit.register(purge_scratch)
+__all__ = ["WORD", "blocks_for", "prepared", "scratch", "text_crc"]
 
+WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of an Arrow batch where the session sets no bound: long texts must not meet in one batch by the thousand.
 BATCH_BYTES = 8 << 20
