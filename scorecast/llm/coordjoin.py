@@ -45,7 +45,8 @@ from .shared import prepared, scratch
 from .textops import U64, batch_word_hashes, gram_hashes, mix
 
 M = 64
-RUN = 2048
+RUN = 1024
+VALUES = 1 << 18
 SHINGLE = 5
 MISS = 1e-6
 _RNG = np.random.Generator(np.random.PCG64(97))
@@ -199,21 +200,28 @@ def near_links(docs: DataFrame, sketch: DataFrame, similarity: float) -> DataFra
             doc = run["doc_id"].to_numpy()
             for i in np.lexsort((doc, -np.diff(first))):
                 js = other[first[i] : first[i + 1]]
-                js = js[group[js] != group[i]]
-                if not len(js):
-                    continue
-                sizes = np.array([len(sets[j]) for j in js])
-                values = np.concatenate([sets[j] for j in js])
-                at = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
-                common = np.add.reduceat((sets[i][at] == values).astype(np.int64), np.concatenate(([0], np.cumsum(sizes)[:-1])))
-                # compare as integers where the threshold is a whole per cent
-                percent = round(similarity * 100)
-                union = sizes + len(sets[i]) - common
-                ok = 100 * common >= percent * union if abs(similarity * 100 - percent) < 1e-9 else common >= similarity * union
-                for j in js[ok]:
-                    if group[j] != group[i]:
-                        group[group == group[j]] = group[i]
-                        out.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
+                at = 0
+                while at < len(js):  # as many partners at once as hold about VALUES shingles
+                    more, size = [], 0
+                    while at < len(js) and size < VALUES:
+                        if group[js[at]] != group[i]:
+                            more.append(js[at])
+                            size += len(sets[js[at]])
+                        at += 1
+                    if not more:
+                        continue
+                    sizes = np.array([len(sets[j]) for j in more])
+                    values = np.concatenate([sets[j] for j in more])
+                    place = np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)
+                    common = np.add.reduceat((sets[i][place] == values).astype(np.int64), np.concatenate(([0], np.cumsum(sizes)[:-1])))
+                    union = sizes + len(sets[i]) - common
+                    # compare as integers where the threshold is a whole per cent
+                    percent = round(similarity * 100)
+                    ok = 100 * common >= percent * union if abs(similarity * 100 - percent) < 1e-9 else common >= similarity * union
+                    for j in np.array(more)[ok]:
+                        if group[j] != group[i]:
+                            group[group == group[j]] = group[i]
+                            out.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
