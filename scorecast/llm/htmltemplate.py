@@ -54,6 +54,7 @@ from .shared import prepared, scratch
 SUPPORT = 0.5
 PAGES = 5
 DEPTH = 64
+SALTS = 64
 
 #: Element names and the words by which boilerplate names itself.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -237,8 +238,10 @@ def tokens(pages: DataFrame) -> DataFrame:
 
 def classes(counted: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``host, vector, pages, of, members``: the valid equivalence classes; ``of`` is the host's number of pages."""
-    total = counted.where("token = 0").select("host", F.col("pages").alias("of"))
-    frequent = counted.where("token <> 0").join(total, "host").where(F.col("pages") >= support * F.col("of"))
+    # a host's tokens grow with its pages: they meet its total in SALTS parts
+    total = counted.where("token = 0").select("host", F.col("pages").alias("of"), F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("salt"))
+    salted = counted.where("token <> 0").withColumn("salt", F.pmod("token", F.lit(SALTS)).cast("int"))
+    frequent = salted.join(total, ["host", "salt"]).where(F.col("pages") >= support * F.col("of"))
     return frequent.groupBy("host", "vector", "pages", "of").agg(F.collect_list(F.struct("token", "text", "chars", "linked")).alias("members"))
 
 def templates(pages: DataFrame) -> DataFrame:
