@@ -82,3 +82,11 @@ def score_requests(df: DataFrame, model, maps: dict | None = None, rules: dict |
     return enc.select(
         key, F.when(F.size("__errors") == 0, round_python(p, places)).alias("predicted_exam_score"),
         F.try_element_at(F.col("__errors"), F.lit(1)).alias("error"))
+
+
+def predict_row(df: DataFrame, index: int, model, preparer: Preparer, target: str, key: str) -> DataFrame:
+    """The stored row at a position in key order: key, unclipped prediction and actual value side by side."""
+    from .sampling import row_lookup
+
+    row = preparer.transform(row_lookup(df, index, key), keep=[key])
+    return predict(model, row, output="prediction").select(key, "prediction", F.col(target).alias("actual"), "error")

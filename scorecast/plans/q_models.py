@@ -8,7 +8,7 @@ import json
 from pyspark.sql import functions as F
 
 from ..operators.models.knn import build_knn_index, fold_scales, knn_neighbors, knn_predictions
-from ..operators.models.linear import LinearModel, gram_frame, standardize
+from ..operators.models.linear import LinearModel, gram_stats, standardize
 from ..operators.models.search import search_linear, search_trees
 from ..operators.score import score_requests
 from ..operators.validate import feature_array, validate_categories, validate_ranges, validate_vector
@@ -24,7 +24,7 @@ from ..schema import (MSG_REQUEST_ABOVE, MSG_REQUEST_BELOW, MSG_REQUEST_MISSING,
                       MSG_REQUEST_UNKNOWN_LEVEL, MSG_VECTOR_TYPES)
 from .registry import (WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, d_str, d_strip, d_title, d_round_python, dr, query,
                        rnd)
-from .train import SMOKE_GRIDS, prepare_split, results_frame, train
+from .train import SMOKE_GRIDS, prepare_split, run_training
 
 _SPLIT = f"({d_hash('student_id', ':42')} % 100 < 20)"
 _FOLD = f"CAST({d_hash('student_id', ':fold:42')} % 5 AS INTEGER)"
@@ -46,15 +46,24 @@ GRAM_COLS = FEATURE_COLUMNS + [TARGET_COLUMN]
 _GRAM_PAIRS = [(i, j) for i in range(len(GRAM_COLS)) for j in range(i, len(GRAM_COLS))]
 
 
-@query("gram_matrix", f"{WITH_HABITS}, {D_TRAIN} " + " UNION ALL ".join(
-    f"SELECT fold, {i} AS i, {j} AS j, '{GRAM_COLS[i]}' AS feature_a, '{GRAM_COLS[j]}' AS feature_b, "
-    f"CAST(count(*) AS BIGINT) AS n, CAST(CAST(sum(CAST(CAST({GRAM_COLS[i]} AS DOUBLE) * CAST({GRAM_COLS[j]} AS DOUBLE) "
-    f"AS DECIMAL(38, 10))) AS DECIMAL(38, 6)) AS VARCHAR) AS sum_prod FROM tr GROUP BY fold" for i, j in _GRAM_PAIRS))
+_GRAM_CENTRE = "c AS (SELECT " + ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}" for i, c in enumerate(GRAM_COLS)) + " FROM tr)"
+
+
+@query("gram_matrix", f"{WITH_HABITS}, {D_TRAIN}, {_GRAM_CENTRE} " + " UNION ALL ".join(
+    f"SELECT fold, {i} AS i, {j} AS j, '{GRAM_COLS[i]}' AS feature_a, '{GRAM_COLS[j]}' AS feature_b, CAST(count(*) AS BIGINT) AS n, "
+    f"{dr(f'sum((CAST({GRAM_COLS[i]} AS DOUBLE) - m{i}) * (CAST({GRAM_COLS[j]} AS DOUBLE) - m{j}))', 3)} AS sum_prod FROM tr, c GROUP BY fold"
+    for i, j in _GRAM_PAIRS))
 def q_gram_matrix(spark, sf_dir):
+    """The centred Gram sums that every linear fit starts from, per fold."""
     tr, _ = split_frames(spark, sf_dir)
-    g = gram_frame(tr, GRAM_COLS, group_col="fold", exact=True)   # order-independent decimal sums
-    return g.select("fold", "i", "j", "feature_a", "feature_b", "n",
-                    F.col("sum").cast("decimal(38,6)").cast("string").alias("sum_prod"))
+    stats = gram_stats(tr, FEATURE_COLUMNS, TARGET_COLUMN, group_col="fold")
+    p, rows = len(FEATURE_COLUMNS), []
+    for fold, g in stats.groups.items():
+        for i, j in _GRAM_PAIRS:
+            value = g["syy"] if i == p else g["sxy"][i] if j == p else g["sxx"][i, j]
+            rows.append((int(fold), i, j, GRAM_COLS[i], GRAM_COLS[j], int(g["n"]), float(value)))
+    out = spark.createDataFrame(rows, "fold int, i int, j int, feature_a string, feature_b string, n long, sum_prod double")
+    return out.withColumn("sum_prod", rnd("sum_prod", 3))
 
 
 @query("standardize", f"{WITH_HABITS} SELECT student_id, " + ", ".join(
@@ -105,7 +114,17 @@ def q_feature_weights(spark, sf_dir):
     return feature_weights(spark, model)
 
 
-@query("knn_predict")
+_KNN_SCALE = "sc AS (SELECT " + ", ".join(f"stddev_pop(CAST({c} AS DOUBLE)) AS s{i}" for i, c in enumerate(FEATURE_COLUMNS)) + " FROM tr)"
+_KNN_DIST = " + ".join(f"power((q.{c} - p.{c}) / CASE WHEN s{i} > 0 THEN s{i} ELSE 1e0 END, 2)" for i, c in enumerate(FEATURE_COLUMNS))
+
+
+@query("knn_predict",
+       f"{WITH_HABITS}, {D_TRAIN}, {_KNN_SCALE}, "
+       f"d AS (SELECT q.student_id, p.exam_score AS y, round_even(sqrt({_KNN_DIST}), 9) AS dist, p.student_id AS other FROM te q, tr p, sc), "
+       "r AS (SELECT *, row_number() OVER (PARTITION BY student_id ORDER BY dist, other) AS n FROM d QUALIFY n <= 5) "
+       f"SELECT student_id, {dr('avg(y)', 4)} AS pred_uniform, "
+       f"{dr('CASE WHEN min(dist) = 0 THEN avg(CASE WHEN dist = 0 THEN y END) ELSE sum(y / dist) / sum(1 / dist) END', 4)} AS pred_distance "
+       "FROM r GROUP BY student_id")
 def q_knn_predict(spark, sf_dir):
     """Exact 5-NN predictions (uniform and 1/d) for every test row."""
     from pyspark import StorageLevel
@@ -116,8 +135,8 @@ def q_knn_predict(spark, sf_dir):
     index = build_knn_index(tr, FEATURE_COLUMNS, TARGET_COLUMN, KEY_COLUMN, "fold")
     nb = knn_neighbors(index, te.select(KEY_COLUMN, *FEATURE_COLUMNS), 5, {-1: scale}, qid=KEY_COLUMN)
     p = knn_predictions(nb, [5], ["uniform", "distance"], KEY_COLUMN)
-    return p.select(KEY_COLUMN, F.col("pred_k5_uniform").alias("pred_uniform"),
-                    F.col("pred_k5_distance").alias("pred_distance"))
+    return p.select(KEY_COLUMN, rnd("pred_k5_uniform", 4).alias("pred_uniform"),
+                    rnd("pred_k5_distance", 4).alias("pred_distance"))
 
 
 def _tree_query(spark, sf_dir, family):
@@ -143,9 +162,11 @@ def q_gbt_fit(spark, sf_dir):
 
 @query("cv_results")
 def q_cv_results(spark, sf_dir):
-    """All five families tuned (trees on the smoke grid), ensemble added, sorted by test RMSE."""
-    result = train(habits(spark, sf_dir), grids=SMOKE_GRIDS)
-    return results_frame(spark, result)
+    """The training job: all five families tuned (trees on the smoke grid), ensemble added, every run
+    logged with its bundle; the report sorted by test RMSE."""
+    out = scratch_path(spark, "training")
+    run_training(spark, habits(spark, sf_dir), out, grids=SMOKE_GRIDS)
+    return spark.read.parquet(f"{out}/report").orderBy("rmse", "position")
 
 
 # --- M10 / M11 / O4 ----------------------------------------------------------
@@ -162,11 +183,6 @@ def _member_models():
             for n, (b0, coef) in FIXED_MEMBERS.items()}
 
 
-def _ensemble_expr():
-    ms = list(_member_models().values())
-    return (ms[0].prediction_column() + ms[1].prediction_column() + ms[2].prediction_column()) / F.lit(3.0)
-
-
 _D_ENS = "(" + " + ".join(d_linear(coef, b0) for b0, coef in FIXED_MEMBERS.values()) + ") / 3e0"
 
 
@@ -174,8 +190,10 @@ _D_ENS = "(" + " + ".join(d_linear(coef, b0) for b0, coef in FIXED_MEMBERS.value
        f"{WITH_HABITS}, prep AS (SELECT {d_prepared()} FROM habits) "
        f"SELECT student_id, {dr(_D_ENS)} AS prediction FROM prep")
 def q_ensemble_average(spark, sf_dir):
-    p = prepared(spark, sf_dir)
-    return p.select(KEY_COLUMN, rnd(_ensemble_expr()).alias("prediction"))
+    from .train import EnsembleModel
+
+    p = EnsembleModel(list(_member_models().values())).transform(prepared(spark, sf_dir))
+    return p.select(KEY_COLUMN, rnd("prediction").alias("prediction"))
 
 
 def _metrics_sql(pred: str, name: str, pos: int) -> str:
@@ -191,24 +209,17 @@ def _metrics_sql(pred: str, name: str, pos: int) -> str:
        + f") SELECT model_name, {dr('rmse')} AS rmse, {dr('mae')} AS mae, {dr('r2')} AS r2 FROM r "
          f"ORDER BY rmse, pos LIMIT 1")
 def q_best_model(spark, sf_dir):
-    from ..operators.metrics import regression_metric_columns
-
-    _, te = split_frames(spark, sf_dir)
-    scored = te
-    names = list(FIXED_MEMBERS) + ["ensemble"]
-    for n, m in _member_models().items():
-        scored = scored.withColumn(f"p_{n}", m.prediction_column())
-    scored = scored.withColumn("p_ensemble", _ensemble_expr())
-    aggs = []
-    for n in names:
-        aggs += regression_metric_columns(TARGET_COLUMN, f"p_{n}", prefix=f"{n}__")
-    wide = scored.agg(*aggs)
-    long = wide.select(F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("model_name"),
-                                                    F.col(f"{n}__rmse").alias("rmse"), F.col(f"{n}__mae").alias("mae"),
-                                                    F.col(f"{n}__r2").alias("r2")) for i, n in enumerate(names)]))
-                       .alias("s")).select("s.*")
-    best = long.agg(F.min_by(F.struct("model_name", "rmse", "mae", "r2"), F.struct("rmse", "pos")).alias("b"))
-    return best.select("b.model_name", rnd("b.rmse").alias("rmse"), rnd("b.mae").alias("mae"), rnd("b.r2").alias("r2"))
+    from .train import EnsembleModel, evaluate, pick_best
+
+    _, scored = split_frames(spark, sf_dir)
+    members = _member_models()
+    for n, m in {**members, "ensemble": EnsembleModel(list(members.values()))}.items():
+        scored = m.transform(scored, output=f"p_{n}")
+    results = [{"model_name": n, "cv_rmse": None, **m} for n, m in evaluate(scored, [*members, "ensemble"]).items()]
+    best = pick_best(results)
+    row = spark.createDataFrame([(best["model_name"], best["rmse"], best["mae"], best["r2"])],
+                                "model_name string, rmse double, mae double, r2 double")
+    return row.select("model_name", *[rnd(c).alias(c) for c in ("rmse", "mae", "r2")])
 
 
 # --- M13 / P11 / P13 / P15 ----------------------------------------------------

@@ -10,7 +10,7 @@ from ..operators.models.linear import LinearModel
 from ..operators.prepare import (Preparer, category_map_frame, encode_categories, encode_categories_join, impute,
                                  mode_values)
 from ..operators.sampling import split_column, with_split_and_fold
-from ..schema import CATEGORICAL_COLUMNS, CATEGORY_MAPS, FEATURE_COLUMNS
+from ..schema import CATEGORICAL_COLUMNS, CATEGORY_MAPS, FEATURE_COLUMNS, TARGET_COLUMN
 from ..sources.standin import habits
 from .registry import (D_MODE_PARENT, WITH_HABITS, d_code, d_hash, d_linear, d_prepared, dr, query, rnd)
 
@@ -104,7 +104,21 @@ def q_encode_join(spark, sf_dir):
 
 @query("score_linear", f"{D_SCORED_FIXED} SELECT student_id, exam_score, prediction FROM scored")
 def q_score_linear(spark, sf_dir):
-    return scored_fixed(spark, sf_dir).select("student_id", "exam_score", "prediction")
+    from ..operators.score import score_batch
+
+    h = habits(spark, sf_dir)
+    return score_batch(h, fixed_model(), Preparer().fit(h), output="prediction").select("student_id", "exam_score", "prediction")
+
+
+@query("predict_row", f"{D_SCORED_FIXED} SELECT student_id, prediction, exam_score AS actual, CAST(NULL AS VARCHAR) AS error FROM "
+       "(SELECT *, row_number() OVER (ORDER BY student_id) - 1 AS i FROM scored) WHERE i = 7")
+def q_predict_row(spark, sf_dir):
+    """One stored row by position: its prediction beside the actual score."""
+    from ..operators.score import predict_row
+
+    h = habits(spark, sf_dir)
+    r = predict_row(h, 7, fixed_model(), Preparer().fit(h), TARGET_COLUMN, "student_id")
+    return r.withColumn("prediction", round_half_even("prediction", 2))
 
 
 _SPLIT = f"({d_hash('student_id', ':42')} % 100 < 20)"
