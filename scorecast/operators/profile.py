@@ -276,11 +276,14 @@ def histogram(df: DataFrame, columns: list[str], bins: int | dict[str, int] = HI
     )
 
 
+KDE_REACH = 9.0
+
+
 def kde_curve(df: DataFrame, columns: list[str], points: int = KDE_GRID_POINTS) -> DataFrame:
     """Gaussian KDE (Scott bandwidth std * n^-1/5) on ``points`` grid points
     from min to max. Distinct values are counted first; each then adds its
-    weighted kernel to every grid point inside the partial aggregate, so the
-    grid expansion never crosses the shuffle. Returns (feature, i, x, density).
+    weighted kernel to the grid points within ``KDE_REACH`` bandwidths, inside the
+    partial aggregate. Returns (feature, i, x, density).
     """
     long = unpivot_numeric(df, columns).where(F.col("value").isNotNull())
     stats = long.groupBy("feature").agg(
@@ -289,17 +292,23 @@ def kde_curve(df: DataFrame, columns: list[str], points: int = KDE_GRID_POINTS)
     stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("N").cast("double"), F.lit(-0.2)))
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
     step = (F.col("vmax") - F.col("vmin")) / F.lit(float(points - 1))
-    expanded = counts.join(F.broadcast(stats), "feature").select(
-        "feature", "value", "c", "vmin", "bw", "N", step.alias("step"),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    # beyond REACH bandwidths a kernel is below the rounding error of a double: values add to near points only
+    reach = F.lit(KDE_REACH) * F.col("bw")
+    first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach - F.col("vmin")) / F.col("step")))
+    last = F.least(F.lit(points - 1), F.floor((F.col("value") + reach - F.col("vmin")) / F.col("step")))
+    stats = stats.withColumn("step", step).where("bw > 0 AND step > 0")
+    near = counts.join(F.broadcast(stats), "feature").withColumns({"first": first, "last": last}).where("first <= last")
+    expanded = near.select("feature", "value", "c", "vmin", "bw", "step",
+                           F.explode(F.sequence(F.col("first").cast("int"), F.col("last").cast("int"))).alias("i"))
     x = F.col("vmin") + F.col("i") * F.col("step")
     z = (x - F.col("value")) / F.col("bw")
     contrib = F.col("c") * F.exp(F.lit(-0.5) * z * z)
-    dens = expanded.where(F.col("bw") > 0).groupBy("feature", "i", "vmin", "step", "bw", "N").agg(
-        F.sum(contrib).alias("s"))
+    dens = expanded.groupBy("feature", "i").agg(F.sum(contrib).alias("s"))
     norm = F.col("N") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi))
-    return dens.select("feature", F.col("i").cast("int").alias("i"), (F.col("vmin") + F.col("i") * F.col("step")).alias("x"),
-                       (F.col("s") / norm).alias("density"))
+    grid = stats.select("feature", "vmin", "step", "bw", "N", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    return grid.join(dens, ["feature", "i"], "left").select(
+        "feature", F.col("i").cast("int").alias("i"), (F.col("vmin") + F.col("i") * F.col("step")).alias("x"),
+        (F.coalesce("s", F.lit(0.0)) / norm).alias("density"))
 
 
 # ---------------------------------------------------------------------------
