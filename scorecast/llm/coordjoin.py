@@ -237,8 +237,8 @@ def near_links(docs: DataFrame, sketch: DataFrame, similarity: float) -> DataFra
 
 def components(links: DataFrame) -> DataFrame:
     """``(doc_id, component_id)`` of the vertices of the links; the id is the smallest vertex."""
-    edges = scratch(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-        links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "links")
+    links = scratch(links, "links")  # read in both directions
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     label = edges.select(F.col("u").alias("doc_id")).distinct().withColumn("component_id", F.col("doc_id"))
     while True:
         least = edges.join(label, edges.u == label.doc_id).groupBy("v").agg(F.min("component_id").alias("m"))
