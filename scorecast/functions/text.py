@@ -8,7 +8,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import CATEGORY_MAPS, STRIP_CHARS
+from ..schema import STRIP_CHARS
 
 
 def _c(col) -> Column:

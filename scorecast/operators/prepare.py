@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_level, encode_level
-from ..schema import CATEGORY_MAPS, FEATURE_COLUMNS, IMPUTE_COLUMNS, KEY_COLUMN
+from ..schema import CATEGORY_MAPS, IMPUTE_COLUMNS, KEY_COLUMN
 
 # Largest code-map table that is broadcast to every task; larger maps shuffle.
 MAX_BROADCAST_MAP_ROWS = 1_000_000
@@ -143,10 +143,6 @@ class Preparer:
                 cols.append(src.alias(c) if c in fills else F.col(c))
         return df.select(*cols)
 
-    def feature_frame(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-        out = self.transform(df, keep=keep)
-        return out.select(*(keep or []), *FEATURE_COLUMNS, *[c for c in out.columns if c not in FEATURE_COLUMNS and c not in (keep or [])])
-
     def to_json(self) -> str:
         return json.dumps({"fills": self.fills, "maps": self.maps, "impute_columns": self.impute_columns,
                            "drop_columns": self.drop_columns})

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_level
-from ..schema import (CATEGORY_MAPS, HIST_BINS_FEATURE, KDE_GRID_POINTS, LEVEL_ORDER, TARGET_COLUMN, TUKEY_K)
+from ..schema import (HIST_BINS_FEATURE, KDE_GRID_POINTS, LEVEL_ORDER, TARGET_COLUMN, TUKEY_K)
 from ..session import cut_lineage
 from .running import quantiles
 
@@ -370,7 +370,3 @@ def corr_ranked(df: DataFrame, columns: list[str], y: str = TARGET_COLUMN, guide
         (F.abs(F.col("r")) >= F.lit(guide)).alias("above_guide"),
         F.row_number().over(w).cast("int").alias("rank"),
     )
-
-
-def derived_category_levels() -> dict[str, list[str]]:
-    return {c: list(m) for c, m in CATEGORY_MAPS.items()}

@@ -77,11 +77,6 @@ def validate_categories(df: DataFrame, maps: dict | None = None) -> DataFrame:
     return with_errors(df, checks).withColumn("error", F.try_element_at(F.col("errors"), F.lit(1)))
 
 
-def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows) from a frame that has ``is_valid``."""
-    return df.where(F.col("is_valid")), df.where(~F.col("is_valid"))
-
-
 def check_vector_schema(df: DataFrame, columns: list[str] | None = None) -> None:
     """Reject non-numeric feature columns (Boolean, text) before assembling."""
     columns = columns or FEATURE_COLUMNS

@@ -222,7 +222,3 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("_corrupt_record", T.StringType(), True),
     ]
 )
-
-
-def raw_type(column: str) -> T.DataType:
-    return _RAW_TYPES[column]

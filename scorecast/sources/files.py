@@ -4,7 +4,6 @@ latest-batch pick, metrics append.
 
 from __future__ import annotations
 
-import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,10 +78,6 @@ def maps_to_dict(map_df: DataFrame) -> dict:
     return ordered
 
 
-def maps_json(maps: dict | None = None) -> str:
-    return json.dumps(maps or CATEGORY_MAPS, indent=2)
-
-
 # ---------------------------------------------------------------------------
 # Scored tables, batches, metrics
 # ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scorecast.operators.models.linear import LinearModel
 from scorecast.operators.prepare import Preparer
 from scorecast.schema import CATEGORY_MAPS, FEATURE_COLUMNS, METRICS_SCHEMA, RAW_COLUMNS
-from scorecast.sources.artifacts import load_bundle, load_run_model, log_run, save_best_model
+from scorecast.sources.artifacts import load_run_model, log_run, save_best_model
 from scorecast.sources.files import (append_metrics, latest_batch, maps_to_dict, read_category_maps, read_csv_typed,
                                      read_metrics, write_batch)
 
@@ -80,12 +80,12 @@ def test_model_bundle_and_runs(spark, tmp_out):
 
 
 def test_short_id_and_utc_clock():
-    import uuid
+    from scorecast.plans.monitoring import new_batch_id, utc_now
 
-    sid = str(uuid.uuid4())[:8]
-    assert len(sid) == 8
-    now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
-    assert now.tzinfo is None
+    ids = {new_batch_id() for _ in range(50)}
+    assert len(ids) == 50 and all(len(i) == 8 and int(i, 16) >= 0 for i in ids)
+    before = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    assert utc_now().tzinfo is None and 0 <= (utc_now() - before).total_seconds() < 60
 
 
 def test_monitoring_cycle_appends_once_per_batch(spark, tmp_out):
