@@ -114,7 +114,7 @@ def _shingle_rows(batches):
             yield pd.DataFrame({"doc_id": ids[a:b], "k1": [_set_key(x) for x in sets], "shingles": [x.tobytes() for x in sets]})
 
 
-def _runs(batches, columns):
+def _runs(batches):
     """Rows of one ``(key, lo, hi)`` together; the input is ordered by them."""
     rest = None
     for pdf in batches:
@@ -173,7 +173,7 @@ def near_links(docs: DataFrame, sketch: DataFrame, similarity: float) -> DataFra
         return df.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "doc_id")
 
     def counted(batches):
-        for run in _runs(batches, None):
+        for run in _runs(batches):
             sig = _matrix(run["sig"])
             has = np.zeros(len(run), dtype=bool)
             for i, js in _partners(run, sig, similarity, t):
@@ -183,7 +183,7 @@ def near_links(docs: DataFrame, sketch: DataFrame, similarity: float) -> DataFra
                 yield run[has]
 
     def confirmed(batches):
-        for run in _runs(batches, None):
+        for run in _runs(batches):
             run = run.reset_index(drop=True)
             sig = _matrix(run["sig"])
             sets = [np.frombuffer(x, dtype=U64) for x in run["shingles"]]
