@@ -34,8 +34,8 @@ def _long(df: DataFrame, features: list[str], side: str) -> DataFrame:
 
 @dataclass
 class ReferenceProfile:
-    """Reference-side KS inputs computed once: per-(feature, value) counts and
-    per-feature non-null / null totals (checkpointed, reused by every batch)."""
+    """One side's KS inputs from one counting pass (kept in a scratch table):
+    per-(feature, value) counts and per-feature non-null / null totals."""
 
     counts: DataFrame     # feature, value, nr
     totals: DataFrame     # pos, feature, n_ref, null_ref
@@ -44,12 +44,12 @@ class ReferenceProfile:
 
 def reference_profile(reference: DataFrame, features: list[str] | None = None) -> ReferenceProfile:
     features = features or MONITOR_FEATURES
-    long = _long(reference, features, "r")
-    counts = cut_lineage(long.where(F.col("value").isNotNull()).groupBy("feature", "value")
-                         .agg(F.count(F.lit(1)).alias("nr")))
-    totals = cut_lineage(long.groupBy("pos", "feature").agg(
-        F.count("value").alias("n_ref"), F.count_if(F.col("value").isNull()).alias("null_ref")))
-    return ReferenceProfile(counts, totals, list(features))
+    # missing values are counted as a value of their own, so one pass gives counts and totals
+    counted = cut_lineage(_long(reference, features, "r").groupBy("pos", "feature", "value").agg(F.count(F.lit(1)).alias("nr")))
+    known = F.col("value").isNotNull()
+    totals = counted.groupBy("pos", "feature").agg(
+        F.sum(F.when(known, F.col("nr")).otherwise(0)).alias("n_ref"), F.sum(F.when(known, 0).otherwise(F.col("nr"))).alias("null_ref"))
+    return ReferenceProfile(counted.where(known).select("feature", "value", "nr"), totals, list(features))
 
 
 def ks_statistics(reference, current: DataFrame, features: list[str] | None = None,
@@ -59,20 +59,11 @@ def ks_statistics(reference, current: DataFrame, features: list[str] | None = No
     ``reference`` is a DataFrame of reference rows or a ``ReferenceProfile``.
     """
     features = features or (reference.features if isinstance(reference, ReferenceProfile) else MONITOR_FEATURES)
-    prof = reference if isinstance(reference, ReferenceProfile) else None
-    cur_long = _long(current, features, "c")
-    cur_tot = cur_long.groupBy("pos", "feature").agg(
-        F.count("value").alias("n_cur"), F.count_if(F.col("value").isNull()).alias("null_cur"))
-    cur_counts = cur_long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("nc"))
-    if prof is None:
-        ref_long = _long(reference, features, "r")
-        ref_tot = ref_long.groupBy("pos", "feature").agg(
-            F.count("value").alias("n_ref"), F.count_if(F.col("value").isNull()).alias("null_ref"))
-        ref_counts = ref_long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
-            F.count(F.lit(1)).alias("nr"))
-    else:
-        ref_tot, ref_counts = prof.totals, prof.counts
+    ref = reference if isinstance(reference, ReferenceProfile) else reference_profile(reference, features)
+    cur = reference_profile(current, features)
+    ref_tot, ref_counts = ref.totals, ref.counts
+    cur_tot = cur.totals.withColumnsRenamed({"n_ref": "n_cur", "null_ref": "null_cur"})
+    cur_counts = cur.counts.withColumnRenamed("nr", "nc")
     nulls = ref_tot.join(cur_tot.drop("pos"), "feature", "full").select(
         F.coalesce(ref_tot["pos"], F.lit(None)).alias("pos"), "feature",
         F.coalesce("n_ref", F.lit(0)).alias("n_ref"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
