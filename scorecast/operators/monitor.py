@@ -42,10 +42,15 @@ class ReferenceProfile:
     features: list
 
 
+def counted_values(df: DataFrame, features: list[str]) -> DataFrame:
+    """(pos, feature, value, nr): the one pass over a side, combined before it is shuffled."""
+    return _long(df, features, "r").groupBy("pos", "feature", "value").agg(F.count(F.lit(1)).alias("nr"))
+
+
 def reference_profile(reference: DataFrame, features: list[str] | None = None) -> ReferenceProfile:
     features = features or MONITOR_FEATURES
     # missing values are counted as a value of their own, so one pass gives counts and totals
-    counted = cut_lineage(_long(reference, features, "r").groupBy("pos", "feature", "value").agg(F.count(F.lit(1)).alias("nr")))
+    counted = cut_lineage(counted_values(reference, features))
     known = F.col("value").isNotNull()
     totals = counted.groupBy("pos", "feature").agg(
         F.sum(F.when(known, F.col("nr")).otherwise(0)).alias("n_ref"), F.sum(F.when(known, 0).otherwise(F.col("nr"))).alias("null_ref"))

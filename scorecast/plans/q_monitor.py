@@ -281,9 +281,13 @@ def _d_ks_lineitem() -> str:
             f"CAST(max(n_ref) AS BIGINT) AS n_ref, CAST(max(n_cur) AS BIGINT) AS n_cur FROM cum GROUP BY feature")
 
 
+def lineitem_sides(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select("l_linestatus", *LINEITEM_KS)
+    return li.where(F.col("l_linestatus") == "F"), li.where(F.col("l_linestatus") == "O")
+
+
 @query("ks_lineitem", _d_ks_lineitem())
 def q_ks_lineitem(spark, sf_dir):
     """Two-sample KS D between shipped-and-finished (F) and open (O) line items, on the whole table."""
-    li = table(spark, sf_dir, "lineitem").select("l_linestatus", *LINEITEM_KS)
-    ks = ks_statistics(li.where(F.col("l_linestatus") == "F"), li.where(F.col("l_linestatus") == "O"), LINEITEM_KS)
+    ks = ks_statistics(*lineitem_sides(spark, sf_dir), LINEITEM_KS)
     return ks.select("feature", "d", "n_ref", "n_cur")
