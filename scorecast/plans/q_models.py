@@ -8,7 +8,7 @@ import json
 from pyspark.sql import functions as F
 
 from ..operators.models.knn import build_knn_index, fold_scales, knn_neighbors, knn_predictions
-from ..operators.models.linear import LinearModel, gram_stats, standardize
+from ..operators.models.linear import LinearModel, gram_stats, lasso_from_stats, ridge_from_stats, standardize
 from ..operators.models.search import search_linear, search_trees
 from ..operators.score import score_requests
 from ..operators.validate import feature_array, validate_categories, validate_ranges, validate_vector
@@ -88,6 +88,39 @@ _LIN_SCHEMA = ("model_name string, alpha double, cv_rmse double, position int, f
                "coef_scaled double, intercept double")
 
 
+_PAIR = ["study_hours_per_day", "mental_health_rating"]
+_D_PAIR = ("s AS (SELECT CAST(count(*) AS DOUBLE) AS n, " + ", ".join(
+    f"avg(CAST({c} AS DOUBLE)) AS m{i}, stddev_pop(CAST({c} AS DOUBLE)) AS s{i}, covar_pop(CAST({c} AS DOUBLE), exam_score) AS c{i}"
+    for i, c in enumerate(_PAIR)) + f", covar_pop(CAST({_PAIR[0]} AS DOUBLE), CAST({_PAIR[1]} AS DOUBLE)) AS c01, avg(exam_score) AS my FROM tr)")
+
+
+@query("ridge_pair",
+       f"{WITH_HABITS}, {D_TRAIN}, {_D_PAIR}, "
+       "z AS (SELECT *, n * c01 / (s0 * s1) AS z01, n * c0 / s0 AS y0, n * c1 / s1 AS y1, n + 10e0 AS d FROM s), "
+       "w AS (SELECT *, (d * y0 - z01 * y1) / (d * d - z01 * z01) / s0 AS b0, (d * y1 - z01 * y0) / (d * d - z01 * z01) / s1 AS b1 FROM z) "
+       f"SELECT {dr('b0')} AS coef_0, {dr('b1')} AS coef_1, {dr('my - b0 * m0 - b1 * m1')} AS intercept FROM w")
+def q_ridge_pair(spark, sf_dir):
+    """Ridge (alpha 10) on two features, which SQL can solve in closed form."""
+    tr, _ = split_frames(spark, sf_dir)
+    stats = gram_stats(tr, _PAIR, TARGET_COLUMN, group_col="fold")
+    beta, intercept, *_ = ridge_from_stats(stats.total(), 10.0, stats)
+    out = spark.createDataFrame([(float(beta[0]), float(beta[1]), float(intercept))], "coef_0 double, coef_1 double, intercept double")
+    return out.select(*[rnd(c).alias(c) for c in out.columns])
+
+
+@query("lasso_single",
+       f"{WITH_HABITS}, {D_TRAIN}, {_D_PAIR}, "
+       "w AS (SELECT *, sign(c0 / s0) * greatest(abs(c0 / s0) - 1e0, 0e0) / s0 AS b0 FROM s) "
+       f"SELECT {dr('b0')} AS coef_0, {dr('my - b0 * m0')} AS intercept FROM w")
+def q_lasso_single(spark, sf_dir):
+    """Lasso (alpha 1) on one feature: its soft threshold in closed form."""
+    tr, _ = split_frames(spark, sf_dir)
+    stats = gram_stats(tr, _PAIR[:1], TARGET_COLUMN, group_col="fold")
+    beta, intercept, *_ = lasso_from_stats(stats.total(), 1.0, stats)
+    out = spark.createDataFrame([(float(beta[0]), float(intercept))], "coef_0 double, intercept double")
+    return out.select(*[rnd(c).alias(c) for c in out.columns])
+
+
 @query("ridge_fit")
 def q_ridge_fit(spark, sf_dir):
     """Ridge over the alpha grid (5-fold CV from fold Gram sums), refit on all training rows."""

@@ -15,7 +15,7 @@ from ..operators.profile import (anova_stats, box_stats, corr_matrix, corr_ranke
 from ..schema import (CATEGORICAL_COLUMNS, CORR_COLUMNS, HIST_BINS_FEATURE, HIST_BINS_TARGET, LEVEL_ORDER,
                       OUTLIER_COLUMNS, PROFILE_NUMERIC, SCATTER_FEATURES, TARGET_COLUMN)
 from ..session import table
-from ..sources.standin import habits
+from ..sources.standin import HABITS_SQL, habits
 from .registry import D_MODE_PARENT, WITH_HABITS, d_lerp, d_strip, d_title, dlit, dr, query, rnd
 
 DESCRIBE_COLUMNS = OUTLIER_COLUMNS + ["total_screen_time", "study_to_leisure_ratio"]
@@ -337,7 +337,11 @@ def q_derived_features(spark, sf_dir):
     return hd(spark, sf_dir).select("student_id", "total_screen_time", "study_to_leisure_ratio")
 
 
-@query("schema_report")
+@query("schema_report",
+       "SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, CASE column_type WHEN 'INTEGER' THEN 'int' "
+       "WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS data_type, "
+       f"(SELECT count(*) FROM ({HABITS_SQL})) AS n_rows, CAST(count(*) OVER () AS INTEGER) AS n_columns "
+       f"FROM (DESCRIBE SELECT * FROM ({HABITS_SQL}))")
 def q_schema_report(spark, sf_dir):
     return schema_report(habits(spark, sf_dir))
 
