@@ -39,7 +39,9 @@ def monitor_micro_batch(batch: DataFrame, reference: DataFrame, metrics_path: st
 
 def start_monitor_stream(spark: SparkSession, batches_dir: str, reference: DataFrame, metrics_path: str,
                          checkpoint: str, method: str = "pvalue", available_now: bool = True,
-                         max_files_per_trigger: int = 1, clock=None):
+                         max_files_per_trigger: int = 1000, clock=None):
+    """Monitor every batch that arrives below ``batches_dir``; a trigger takes up to ``max_files_per_trigger`` files
+    and measures each batch among them once."""
     # the reference set is static: its value counts are computed once, not in every micro-batch
     reference = reference_profile(reference)
     stream = (spark.readStream.schema(SCORED_SCHEMA).option("header", True)
