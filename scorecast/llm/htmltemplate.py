@@ -12,14 +12,22 @@ slots: the text below a template element.
 Per host the template keeps
 
 * its element paths, one list per nesting of valid classes,
-* its constant texts, if the host has ``PAGES`` pages or more, and
+* its constant texts, if they stand on ``PAGES`` different pages or more, inside
+  ``article`` and ``main`` on ``MAIN_PAGES``, and
 * slots that hold mostly links.
 
+Pages differ when their text outside boilerplate differs, so copies of one article
+are one page and prove no constant. Every token keeps a bitmap of ``CELLS`` cells
+of its pages' text hashes; the cells set never exceed the different pages.
+
 A page's text belongs to the slot of its deepest template element. Slots under an
 element that names itself a menu, header, footer, side bar, notice, advert, form,
-comment section, script or style are left out. If the page has text in slots
-under ``article`` or ``main``, those are the main text, constant or not; otherwise
-all other slots are, without constant texts and link slots.
+comment section, script or style are left out, and so are constant texts and link
+slots, under ``article`` and ``main`` as elsewhere (there a block goes with its slot
+if it is mostly links itself). Of the slots that remain, those under ``article`` or
+``main`` come first: they are the main text unless the others hold more than
+``OUTWEIGH`` times their text; then all are. If nothing remains, the constant texts
+under ``article`` or ``main`` are the main text.
 
 Vectors are compared by hash: every page adds hash(page, count) of each of its
 tokens with exclusive or, so a host's pages are never gathered - a batch sends one
@@ -53,6 +61,9 @@ from .shared import prepared, scratch
 
 SUPPORT = 0.5
 PAGES = 5
+MAIN_PAGES = 8  # of CELLS: a constant needs more pages where the markup says main text
+CELLS = 63
+OUTWEIGH = 2
 DEPTH = 64
 SALTS = 64
 
@@ -102,16 +113,20 @@ _ROOT = _Element("", "", False, False, False, False)
 
 
 def walk(page: str):
-    """Yield ``(element, text)``: ``text`` is None at an element's start, else one block of text with the element it began in."""
+    """Yield ``(element, text, linked)``: ``text`` is None at an element's start, else one block of text with the element
+    it began in; ``linked`` is how much of it stands in links."""
     stack = [_ROOT]
     parts: list[str] = []
+    links: list[str] = []
     began = _ROOT
     at, n = 0, len(page)
 
     def flushed():
         text = " ".join("".join(parts).split())
+        linked = min(len(text), sum(len(" ".join(x.split())) for x in links))
         parts.clear()
-        return text
+        links.clear()
+        return text, linked
 
     while at < n:
         lt = page.find("<", at)
@@ -121,6 +136,8 @@ def walk(page: str):
                 began = stack[-1]
             piece = page[at:end]
             parts.append(html.unescape(piece) if "&" in piece else piece)
+            if stack[-1].linked:
+                links.append(parts[-1])
         if lt < 0:
             break
         m = _TAG.match(page, lt)
@@ -145,9 +162,9 @@ def walk(page: str):
                 continue
             block = tag in BLOCK
             if block and parts:
-                text = flushed()
+                text, linked = flushed()
                 if text:
-                    yield began, text
+                    yield began, text, linked
             if tag in VOID:
                 continue
             if block:
@@ -170,21 +187,21 @@ def walk(page: str):
                 headed = up.headed and tag not in HEADINGS
             path = f"{up.path}>{name}" if len(stack) <= DEPTH else up.path
             stack.append(_Element(tag, path, up.boilerplate or boilerplate, main, up.linked or tag == "a", headed))
-            yield stack[-1], None
+            yield stack[-1], None, 0
         elif m.group(1):
             tag = m.group(1).lower()
             if tag in BLOCK and parts:
-                text = flushed()
+                text, linked = flushed()
                 if text:
-                    yield began, text
+                    yield began, text, linked
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
     if parts:
-        text = flushed()
+        text, linked = flushed()
         if text:
-            yield began, text
+            yield began, text, linked
 
 
 def _h(x: str) -> int:
@@ -200,12 +217,13 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url.cast("string"), r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-TOKENS = "host string, token long, pages long, vector long, text boolean, chars long, linked long"
+TOKENS = "host string, token long, pages long, vector long, text boolean, main boolean, seen long, chars long, linked long"
 TEMPLATE = "paths array<long>, constants array<long>, links array<long>"
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """Per batch, host and token: pages, the vector's hash, and for elements the text in them and the linked part of it."""
+    """Per host and token: pages, the vector's hash, the cells of its different pages, and for elements the text in them
+    and the linked part of it."""
 
     def counted(batches):
         row = TaskContext.get().partitionId() << 40
@@ -214,43 +232,52 @@ def tokens(pages: DataFrame) -> DataFrame:
             for host, page in zip(pdf["host"], pdf["html"]):
                 row += 1
                 count: dict[int, list] = {}
-                total = sums.setdefault((host, 0), [0, 0, False, 0, 0])
-                total[0] += 1
-                for element, text in walk(page or ""):
+                page_text = xxhash.xxh64()
+                for element, text, linked in walk(page or ""):
                     token = _h(element.path) if text is None else _text_token(element.path, text)
-                    one = count.setdefault(token, [0, text is not None, 0, 0])
+                    one = count.setdefault(token, [0, text is not None, element.main, 0, 0])
                     one[0] += 1
                     if text is not None:
-                        of = count.setdefault(_h(element.path), [0, False, 0, 0])
-                        of[2] += len(text)
-                        of[3] += len(text) * element.linked
-                for token, (n, is_text, chars, linked) in count.items():
-                    one = sums.setdefault((host, token), [0, 0, is_text, 0, 0])
+                        of = count.setdefault(_h(element.path), [0, False, element.main, 0, 0])
+                        of[3] += len(text)
+                        of[4] += linked
+                        if not element.boilerplate:
+                            page_text.update(text)
+                            page_text.update("\0")
+                cell = 1 << page_text.intdigest() % CELLS
+                count[0] = [1, False, False, 0, 0]
+                for token, (n, is_text, main, chars, linked) in count.items():
+                    one = sums.setdefault((host, token), [0, 0, is_text, main, 0, 0, 0])
                     one[0] += 1
                     one[1] ^= _h(f"{row}:{n}")
-                    one[3] += chars
-                    one[4] += linked
+                    one[4] |= cell
+                    one[5] += chars
+                    one[6] += linked
             yield pd.DataFrame([(h, t, *x) for (h, t), x in sums.items()], columns=[x.split()[0] for x in TOKENS.split(", ")])
 
     return pages.mapInPandas(counted, TOKENS).groupBy("host", "token", "text").agg(
-        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.max("main").alias("main"), F.bit_or("seen").alias("seen"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
 
 
 def classes(counted: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """``host, vector, pages, of, members``: the valid equivalence classes; ``of`` is the host's number of pages."""
+    """``host, vector, pages, of, seen, members``: the valid equivalence classes; ``of`` is the host's number of pages."""
     # a host's tokens grow with its pages: they meet its total in SALTS parts
     total = counted.where("token = 0").select("host", F.col("pages").alias("of"), F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("salt"))
     salted = counted.where("token <> 0").withColumn("salt", F.pmod("token", F.lit(SALTS)).cast("int"))
     frequent = salted.join(total, ["host", "salt"]).where(F.col("pages") >= support * F.col("of"))
-    return frequent.groupBy("host", "vector", "pages", "of").agg(F.collect_list(F.struct("token", "text", "chars", "linked")).alias("members"))
+    return frequent.groupBy("host", "vector", "pages", "of").agg(
+        F.bit_or("seen").alias("seen"),
+        F.collect_list(F.struct("token", "text", "main", "chars", "linked")).alias("members"))
+
 
 def templates(pages: DataFrame) -> DataFrame:
     """``host, paths, constants, links``: one row per host."""
     valid = classes(scratch(tokens(pages), "html-tokens"))
-    member = valid.select("host", "of", F.explode("members").alias("m")).select("host", "of", "m.*")
+    member = valid.select("host", F.bit_count("seen").alias("cells"), F.explode("members").alias("m")).select("host", "cells", "m.*")
+    constant = F.col("text") & (F.col("cells") >= F.when(F.col("main"), MAIN_PAGES).otherwise(PAGES))
     return member.groupBy("host").agg(
         F.collect_list(F.when(~F.col("text"), F.col("token"))).alias("paths"),
-        F.collect_list(F.when(F.col("text") & (F.col("of") >= PAGES), F.col("token"))).alias("constants"),
+        F.collect_list(F.when(constant, F.col("token"))).alias("constants"),
         F.collect_list(F.when(~F.col("text") & (2 * F.col("linked") > F.col("chars")), F.col("token"))).alias("links"))
 
 
@@ -265,15 +292,17 @@ def main_text(page: str, paths: set, constants: set, links: set) -> str:
             slots[path] = h if not path or h in paths else slot(path.rpartition(">")[0])
         return slots[path]
 
-    inside, other = [], []
-    for element, text in walk(page):
+    kept, constant = [], []  # (under article or main, text) in page order
+    for element, text, linked in walk(page):
         if text is None or element.boilerplate or element.headed:
             continue
-        if element.main:
-            inside.append(text)
-        elif not inside and slot(element.path) not in links and _text_token(element.path, text) not in constants:
-            other.append(text)
-    return "\n\n".join(inside or other)
+        if slot(element.path) in links and (not element.main or 2 * linked > len(text)):
+            continue
+        (constant if _text_token(element.path, text) in constants else kept).append((element.main, text))
+    inside = sum(len(t) for main, t in kept if main)
+    if inside and sum(len(t) for main, t in kept if not main) <= OUTWEIGH * inside:
+        kept = [x for x in kept if x[0]]
+    return "\n\n".join(t for _, t in kept or [x for x in constant if x[0]])
 
 
 def extract(pages: DataFrame) -> DataFrame:

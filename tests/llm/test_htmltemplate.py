@@ -46,6 +46,25 @@ def test_repeated_articles_stay(spark):
     assert {r["text"] for r in texts(spark, rows).values()} == {"The same article on every page."}
 
 
+def test_template_decides_inside_main(spark):
+    body = ("<article><p>Story {i} tells more.</p><p>Subscribe to our letter for daily news.</p><p class='more'><a href='{i}'>Read {i}</a></p>"
+            "<p><a href='x'>Link {i}</a> opens a paragraph of prose.</p></article>")
+    got = texts(spark, [(i, f"http://c.example/{i}", page(i, body.format(i=i))) for i in range(40)])
+    assert [got[i]["text"] for i in range(40)] == [f"Story {i} tells more.\n\nLink {i} opens a paragraph of prose." for i in range(40)]
+    # many copies of one article are one page and prove nothing, with or without a telling tag
+    for tag in ("main", "div"):
+        copies = [(i, f"http://c.example/{i}", page(0, f"<{tag}><p>The same article.</p></{tag}>")) for i in range(40)]
+        others = [(100 + i, f"http://c.example/o{i}", page(i, f"<{tag}><p>Article {i}</p></{tag}>")) for i in range(20)]
+        got = texts(spark, copies + others)
+        assert got[7]["text"] == "The same article." and got[107]["text"] == "Article 7"
+
+
+def test_body_outside_a_short_article(spark):
+    body = "<article><p>Teaser {i}</p></article><div class='body'><p>Story {i} tells much more than its teaser does.</p></div>"
+    got = texts(spark, [(i, f"http://b.example/{i}", page(i, body.format(i=i))) for i in range(6)])
+    assert [got[i]["text"] for i in range(6)] == [f"Teaser {i}\n\nStory {i} tells much more than its teaser does." for i in range(6)]
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, None), (2, "nonsense", ""), (None, "http://e.example", "<p>no id"), (4, "http://e.example/4", "a < b & c &lt; d"),
