@@ -20,9 +20,13 @@ Pages differ when their text outside boilerplate differs, so copies of one artic
 are one page and prove no constant. Every token keeps a bitmap of ``CELLS`` cells
 of its pages' text hashes; the cells set never exceed the different pages.
 
-A page's text belongs to the slot of its deepest template element. Slots under an
-element that names itself a menu, header, footer, side bar, notice, advert, form,
-comment section, script or style are left out, and so are constant texts and link
+A page's text belongs to the slot of its deepest template element. Slots under
+elements that are boilerplate by their tag (``BOILERPLATE_TAGS``), scripts and styles
+are left out. A form, ``noscript`` or ``object`` element, or one whose class, id or
+role names a menu, header, footer, side bar, notice, advert, form or comment section
+(every letter run of one class is such a word, but for words of place) is left out
+too, unless it is or holds an ``article`` or ``main``, or holds most of the page's
+text while next to no text under such a tag stands outside it. Left out are also constant texts and link
 slots, under ``article`` and ``main`` as elsewhere (there a block goes with its slot
 if it is mostly links itself). Of the slots that remain, those under ``article`` or
 ``main`` come first: they are the main text unless the others hold more than
@@ -40,8 +44,8 @@ Text: character references are decoded, white space in a block becomes one blank
 blocks are trimmed and joined in page order by an empty line.
 
 Defined cases: null html is empty; pages without a usable url share one host;
-unclosed and stray tags are tolerated, an unclosed comment or script runs to the
-end; element depth beyond ``DEPTH`` counts as the last one; repeated rows are pages
+unclosed and stray tags are tolerated, an unclosed comment, script or style runs to
+the end, other unclosed elements without page text end at their tag; element depth beyond ``DEPTH`` counts as the last one; repeated rows are pages
 of their own; other columns are not read.
 """
 
@@ -69,16 +73,21 @@ SALTS = 64
 
 #: Element names and the words by which boilerplate names itself.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object select textarea button".split())
+RAW = frozenset("script style template iframe svg select textarea button annotation annotation-xml".split())
+TO_END = frozenset(("script", "style"))
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
+    "head header hgroup hr html legend li main menu nav noscript object ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
 CLOSED_BY_SAME = {"li": "ul ol menu dir", "dt": "dl", "dd": "dl", "tr": "table tbody thead tfoot", "td": "tr table", "th": "tr table", "option": "datalist"}
-BOILERPLATE_TAGS = frozenset("head title nav header footer aside form menu dialog".split())
+BOILERPLATE_TAGS = frozenset("head title nav header footer aside menu dialog".split())
+TELLING_TAGS = frozenset(("form", "noscript", "object"))
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer form "
     "header login menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted related reply replies search "
     "share sharing sidebar sidebars signup social sponsor sponsored subscribe toolbar widget widgets".split())
+PLACE_WORDS = frozenset(
+    "area article bar block bottom box container content global inner item left link links list main page post primary right secondary section site top "
+    "wrap wrapper".split())
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -90,35 +99,42 @@ _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[a-z]+")
 
 
+def _telling(name: str) -> bool:
+    words = set(_WORDS.findall(name)) - PLACE_WORDS
+    return bool(words) and words <= BOILERPLATE_WORDS
+
+
 def _named(tag: str, attributes: str) -> tuple[str, bool]:
     """An element's name in paths, and whether it names itself boilerplate."""
-    name, words = tag, set()
+    name, telling = tag, tag in TELLING_TAGS
     if "=" in attributes:
         for key, a, b, c in _NAME.findall(attributes):
             value = (a or b or c).strip().lower()
-            words.update(_WORDS.findall(value))
+            telling = telling or any(map(_telling, value.split()))
             if key.lower() != "role" and value:
                 name += ("#" if key.lower() == "id" else ".") + _DIGITS.sub("0", ".".join(sorted(value.split())))
-    return name, tag in BOILERPLATE_TAGS or (tag not in ("html", "body") and not BOILERPLATE_WORDS.isdisjoint(words))
+    return name, telling and tag not in ("html", "body")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "boilerplate", "main", "linked", "headed")
-
-    def __init__(self, tag, path, boilerplate, main, linked, headed):
-        self.tag, self.path, self.boilerplate, self.main, self.linked, self.headed = tag, path, boilerplate, main, linked, headed
+    """``chars`` and ``main_chars`` are of the text below, outside boilerplate tags; ``blocks`` fills them in with the flags that rest on them."""
 
+    __slots__ = ("tag", "path", "up", "telling", "main", "linked", "closed", "boilerplate", "headed", "chars", "main_chars", "holds_main")
 
-_ROOT = _Element("", "", False, False, False, False)
+    def __init__(self, tag, path, up, telling, main, linked):
+        self.tag, self.path, self.up, self.telling, self.main, self.linked = tag, path, up, telling, main, linked
+        self.closed = self.boilerplate = self.headed = False
+        self.chars = self.main_chars = 0
+        self.holds_main = tag in MAIN_TAGS
 
 
 def walk(page: str):
     """Yield ``(element, text, linked)``: ``text`` is None at an element's start, else one block of text with the element
     it began in; ``linked`` is how much of it stands in links."""
-    stack = [_ROOT]
+    stack = [_Element("", "", None, False, False, False)]
     parts: list[str] = []
     links: list[str] = []
-    began = _ROOT
+    began = stack[0]
     at, n = 0, len(page)
 
     def flushed():
@@ -157,7 +173,7 @@ def walk(page: str):
             if tag in RAW:
                 if not attributes.rstrip().endswith("/"):
                     close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                    at = close.end() if close else n
+                    at = close.end() if close else n if tag in TO_END else at
                 parts.append(" ")
                 continue
             block = tag in BLOCK
@@ -179,14 +195,9 @@ def walk(page: str):
                     if open_ in BLOCK and (stop is None or open_ in MAIN_TAGS):
                         break
             up = stack[-1]
-            name, boilerplate = _named(tag, attributes)
-            main = up.main or tag in MAIN_TAGS
-            if tag == "header" and up.main and not up.boilerplate:  # an article's own header: its headings stay
-                boilerplate, headed = False, True
-            else:
-                headed = up.headed and tag not in HEADINGS
+            name, telling = _named(tag, attributes)
             path = f"{up.path}>{name}" if len(stack) <= DEPTH else up.path
-            stack.append(_Element(tag, path, up.boilerplate or boilerplate, main, up.linked or tag == "a", headed))
+            stack.append(_Element(tag, path, up, telling, up.main or tag in MAIN_TAGS, up.linked or tag == "a"))
             yield stack[-1], None, 0
         elif m.group(1):
             tag = m.group(1).lower()
@@ -196,6 +207,7 @@ def walk(page: str):
                     yield began, text, linked
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
+                    stack[i].closed = True
                     del stack[i:]
                     break
     if parts:
@@ -204,6 +216,36 @@ def walk(page: str):
             yield began, text, linked
 
 
+def blocks(page: str) -> list[tuple[_Element, str | None, int]]:
+    """``walk`` with the elements' ``boilerplate`` and ``headed`` (in an article's header, but no heading) decided."""
+    out = list(walk(page))
+    elements = [e for e, text, _ in out if text is None]  # parents stand before their children
+    certain = {None: False}
+    for e in elements:
+        # an article's own header: its headings stay
+        certain[e] = certain.get(e.up, False) or e.tag in BOILERPLATE_TAGS and not (e.tag == "header" and e.up.main)
+    total = total_main = 0
+    for e, text, _ in out:
+        if text is not None and not certain.get(e, False):
+            e.chars += len(text)
+            e.main_chars += len(text) * e.main
+            total += len(text)
+            total_main += len(text) * e.main
+    for e in reversed(elements):
+        e.up.chars += e.chars
+        e.up.main_chars += e.main_chars
+        e.up.holds_main |= e.holds_main
+    for e in elements:
+        up = e.up
+        own_header = e.tag == "header" and up.main
+        telling = e.telling and (e.closed or e.tag not in TELLING_TAGS)  # one without an end would take the rest of the page along
+        only_named = telling and not own_header and not e.holds_main and not (
+            2 * e.chars > total and 10 * (total_main - e.main_chars) <= e.chars)
+        e.boilerplate = up.boilerplate or certain[e] or only_named
+        e.headed = own_header and not up.boilerplate or up.headed and e.tag not in HEADINGS
+    return out
+
+
 def _h(x: str) -> int:
     return xxhash.xxh64_intdigest(x) - (1 << 63)
 
@@ -233,7 +275,7 @@ def tokens(pages: DataFrame) -> DataFrame:
                 row += 1
                 count: dict[int, list] = {}
                 page_text = xxhash.xxh64()
-                for element, text, linked in walk(page or ""):
+                for element, text, linked in blocks(page or ""):
                     token = _h(element.path) if text is None else _text_token(element.path, text)
                     one = count.setdefault(token, [0, text is not None, element.main, 0, 0])
                     one[0] += 1
@@ -293,7 +335,7 @@ def main_text(page: str, paths: set, constants: set, links: set) -> str:
         return slots[path]
 
     kept, constant = [], []  # (under article or main, text) in page order
-    for element, text, linked in walk(page):
+    for element, text, linked in blocks(page):
         if text is None or element.boilerplate or element.headed:
             continue
         if slot(element.path) in links and (not element.main or 2 * linked > len(text)):

@@ -65,6 +65,35 @@ def test_body_outside_a_short_article(spark):
     assert [got[i]["text"] for i in range(6)] == [f"Teaser {i}\n\nStory {i} tells much more than its teaser does." for i in range(6)]
 
 
+def test_a_name_is_no_proof_against_the_page():
+    def text(x):
+        return H.main_text(x, set(), set(), set())
+
+    long = "A long story that holds most of the text of its page."
+    assert text(f'<main class="content has-sidebar"><p>{long}</p></main>') == long
+    assert text(f'<article class="post comments"><p>{long}</p><div class="share-links">Share</div></article>') == long
+    assert text(f'<div id="page-header-footer-wrap"><p>{long}</p><div class="site-footer">Imprint</div></div>') == long
+    assert text(f'<div class="widget"><article><p>{long}</p></article></div>') == long
+    for tag in ("form", "noscript", "object", 'div class="widget"'):
+        assert text(f"<{tag}><nav>Home</nav><p>{long}</p></{tag.split()[0]}>") == long
+    # beside the main text the same elements stay out, however long
+    for tag in ("form", "noscript", "object", 'div class="post-comments"', 'div role="navigation"'):
+        assert text(f"<article><p>{long}</p></article><{tag}>{long * 5}</{tag.split()[0]}>") == long
+        assert text(f"<article><p>{long}</p><{tag}>{long * 5}</{tag.split()[0]}></article>") == long
+
+
+def test_raw_elements():
+    def text(x):
+        return H.main_text(x, set(), set(), set())
+
+    assert text("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> hold") == "Let x=1 hold"
+    for tag in ("svg", "object", "select", "button", "iframe"):
+        assert text(f"<p>before <{tag} class='x'><p>after the open tag</p>") == "before\n\nafter the open tag"
+    for tag in ("object", "noscript", "form"):
+        assert text(f"<article><p>much text before</p><{tag}><p>as much after it</p></article>") == "much text before\n\nas much after it"
+    assert text("<p>a</p><svg><text>b</text></svg><style>c") == "a"
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, None), (2, "nonsense", ""), (None, "http://e.example", "<p>no id"), (4, "http://e.example/4", "a < b & c &lt; d"),
