@@ -34,6 +34,47 @@ def test_forward_sums_all_segmentations():
         assert math.isclose(x, all_segmentations(MARK + w, table), rel_tol=1e-9)
 
 
+def plain_forward(word: bytes, table: dict, longest: int) -> tuple[float, dict]:
+    """Log probability and expected uses over all segmentations, in exact fractions of the given doubles."""
+    from fractions import Fraction
+
+    n = len(word)
+    a, b = [Fraction(1)] + [Fraction(0)] * n, [Fraction(0)] * n + [Fraction(1)]
+    arcs = [(i, j, word[i:j]) for j in range(1, n + 1) for i in range(max(0, j - longest), j) if word[i:j] in table]
+    for i, j, x in arcs:
+        a[j] += a[i] * Fraction(table[x])
+    uses = {}
+    for i, j, x in reversed(arcs):
+        b[i] += b[j] * Fraction(table[x])
+    for i, j, x in arcs:
+        uses[x] = uses.get(x, 0) + a[i] * Fraction(table[x]) * b[j] / a[n]
+    top = a[n].numerator.bit_length() - a[n].denominator.bit_length()
+    return math.log(a[n] / Fraction(2) ** top) + top * math.log(2.0), {x: float(u) for x, u in uses.items()}
+
+
+def test_no_piece_is_left_out_and_no_word_is_cut(monkeypatch):
+    import sentencepiece
+
+    from scorecast.llm import lattice
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path())
+    file = {sp.id_to_piece(i).replace("▁", MARK.decode()).encode() for i in range(sp.get_piece_size())
+            if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i))}
+    pieces = Pieces.at(vocabulary_path())
+    assert file <= set(pieces.pieces) and pieces.longest == max(map(len, file)) == LONGEST_PIECE
+    monkeypatch.setattr(lattice, "BLOCK", 50)
+    p = pieces.start()
+    table = dict(zip(pieces.pieces, p))
+    words = [b"international", "которые".encode(), b"organizations" * 3, b"https://example.org/" + b"information/" * 12, "中文которые".encode() * 9, b"a" * 127, b"a" * 128]
+    got = pieces.log_probabilities(words, np.stack([p, p[::-1]], axis=1))[:, 0]
+    for w, x in zip(words, got):
+        want, uses = plain_forward(MARK + w, table, pieces.longest)
+        assert math.isclose(x, want, rel_tol=1e-9)
+        e = pieces.expected_counts([w], np.array([2.0]), p)
+        assert {pieces.pieces[i] for i in np.flatnonzero(e)} == set(uses)
+        assert all(math.isclose(e[pieces.pieces.index(x)], 2 * u, rel_tol=1e-8) for x, u in uses.items())
+
+
 def test_long_words_do_not_underflow():
     pieces = Pieces.at(vocabulary_path())
     p = pieces.start()[:, None]
