@@ -1,5 +1,6 @@
 """The pipeline's stages, each against what its operator says of the stage's own input."""
 
+import random
 from collections import Counter
 
 from conftest import SF_SMALL
@@ -31,6 +32,26 @@ def test_stages_on_given_documents(spark):
     assert sum(p["length"] for p in pieces) == sum(len(packing.ByteBpe.at(packing.tokenizer_path()).encode(t)) + 1 for _, t, _ in rows[4])
 
 
+def test_unlearned_languages_and_gibberish_go(spark):
+    r = random.Random(3)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    total = docs.count()
+    finnish = ("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto "
+               "ja heidän on toimittava toisiaan kohtaan veljeyden hengessä ").split()
+    greek = "όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα είναι προικισμένοι με λογική και συνείδηση".split()
+
+    def planted(words, n):
+        return " ".join(r.choice(words) for _ in range(n))
+
+    noise = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(400)]
+    rows = [(10**9 + i, planted(w, n)) for i, (w, n) in enumerate([(finnish, 300), (greek, 300), (noise, 60), (noise, 300), (noise, 3000)])]
+    more = spark.createDataFrame(rows, "doc_id long, text string")
+    out = P.language_id(spark, docs.unionByName(more, allowMissingColumns=True), SF_SMALL)
+    ids = {x["doc_id"] for x in out.collect()}
+    assert not [i for i, _ in rows if i in ids]
+    assert len(ids) >= 0.99 * total
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
