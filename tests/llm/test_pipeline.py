@@ -52,6 +52,16 @@ def test_unlearned_languages_and_gibberish_go(spark):
     assert len(ids) >= 0.99 * total
 
 
+def test_packed_sequences_can_be_rebuilt(spark):
+    texts = ["One text. " * 300, "one text, shorter", "another copy"]
+    docs = spark.createDataFrame([(7, t, "en") for t in texts], "doc_id long, text string, lang string").coalesce(1)
+    bpe = packing.ByteBpe.at(packing.tokenizer_path())
+    rows = sorted(P.pack(spark, docs, SF_SMALL).collect(), key=lambda r: (r["sequence_id"], r["offset"]))
+    stream = [i for r in rows for i in r["ids"]]
+    assert sorted(stream) == sorted(i for t in texts for i in [*bpe.encode(t).tolist(), packing.CLOSING_ID])
+    assert all(len(r["ids"]) == r["length"] for r in rows)
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
 
