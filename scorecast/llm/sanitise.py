@@ -1,23 +1,28 @@
 r"""Information-theoretic sanitisation of personal data.
 
 Protected entities are the values that the base patterns find (e-mail, IP, card,
-phone). A term - a run of letters - near an entity discloses it as far as the
-corpus makes them go together. With counts over all documents,
+phone). A term - a run of letters - discloses an entity as far as the corpus makes
+them go together. With counts over all documents,
 
     information of the entity     IC(e)   = log2(T / n(e))
-    disclosed by a term near it   I(t; e) = log2(n(t, e) * T / (n(t) * n(e)))
+    disclosed by a term           I(t; e) = log2(n(t, e) * T / (n(t) * n(e)))
 
 and a term whose share I / IC reaches ``GENERALISE`` is replaced by a general
-mark, from ``REMOVE`` on it is removed. n(t, e) counts documents with t within
-``CONTEXT`` terms of e; a pair must occur in ``SUPPORT`` different texts, so
-single documents and their exact copies are no evidence. Only terms that stand
-next to a mention are touched.
-
-Plan. One pass finds base spans and contexts in whole texts. Pairs and entities
-are counted by Spark. Document counts are needed only for terms of supported
-pairs: a Bloom bitmap of fixed size (``BITS``) lets all others drop out of the
-second pass early, what comes through is counted exactly by term and joined, so
-false positives cost rows but never change a result. Texts are not shuffled.
+mark, from ``REMOVE`` on it is removed. n(t, e) counts documents with both t and e,
+wherever they stand; a pair must occur in ``SUPPORT`` different texts, so single
+documents and their exact copies are no evidence. A disclosing term is marked at
+every place in every document of its entity. Terms of fewer than ``SHORTEST`` bytes
+count only if they are two letters of which the first is a capital (Li, Wu); single
+ASCII letters and words such as "to" disclose nobody.
+
+Plan. One pass finds base spans and entities. Entities in fewer than ``SUPPORT``
+texts cannot have a pair; a Bloom bitmap of fixed size (``BITS``) of the others tells
+the second pass whose documents give pairs, one row per pair and text, which Spark
+counts. n(t) is at least the number of those documents with t, which bounds the share
+from above: pairs whose bound misses the threshold need no exact n(t). A third pass counts the documents of the other pairs' terms, again behind a bitmap,
+and the last one finds the places of the disclosing pairs behind a bitmap of the
+pairs. What comes through a bitmap is joined exactly, so false positives cost rows
+but never change a result. Texts are not shuffled.
 
 Base patterns, leftmost and non-overlapping per kind; failing matches are dropped
 without retry. They are written so that they take linear time.
@@ -39,9 +44,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import prepared, scratch
-from .textops import batch_term_hashes, term_hashes
+from .textops import batch_term_hashes, mix, term_hashes
 
-CONTEXT = 8
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
 SHORTEST = 3
@@ -107,53 +111,106 @@ def _entity(kind: str, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def contexts(text: str, spans: list) -> list[tuple[int, int, int, int]]:
-    """``(entity, term, start, end)`` of the terms within ``CONTEXT`` terms of each span, outside all spans."""
-    out = []
-    reach = 64 * CONTEXT
-    for a, kind, b in spans:
-        near = []
-        before = [m for m in _TERM.finditer(text, max(0, a - reach), a) if len(m.group()) >= SHORTEST]
-        after = [m for m in _TERM.finditer(text, b, min(len(text), b + reach)) if len(m.group()) >= SHORTEST]
-        for m in before[-CONTEXT:] + after[:CONTEXT]:
-            if all(m.end() <= x or m.start() >= y for x, _, y in spans):
-                near.append(m)
-        if near:
-            h = term_hashes(" ".join(m.group() for m in near).encode("utf-8", "surrogatepass")).view(np.int64)
-            e = _entity(kind, text[a:b])
-            out.extend((e, int(t), m.start(), m.end()) for t, m in zip(h, near))
-    return out
+def _counts(term: str) -> bool:
+    return len(term) >= SHORTEST or len(term.encode("utf-8", "surrogatepass")) >= SHORTEST or len(term) == 2 and term[0].isupper()
+
+
+def terms_outside(text: str, spans: list) -> tuple[list, np.ndarray]:
+    """Places ``(start, end)`` of the terms outside all spans of a text, and their hashes."""
+    parts, at = [], 0
+    for a, _, b in spans:  # spans may overlap
+        a = max(a, at)
+        if b > a:
+            parts += [text[at:a], " " * (b - a)]
+            at = b
+    found = [m for m in _TERM.finditer("".join([*parts, text[at:]])) if _counts(m.group())]
+    h = term_hashes(" ".join(m.group() for m in found).encode("utf-8", "surrogatepass")).view(np.int64)
+    return [m.span() for m in found], h
+
+
+def _pair(entity: int, terms: np.ndarray) -> np.ndarray:
+    """One hash per pair of the entity and a term."""
+    return mix(terms.view(np.uint64) ^ mix(np.array([entity], dtype=np.int64).view(np.uint64))).view(np.int64)
+
+
+def _bitmap(keys: DataFrame, spark):
+    """Broadcast of ``BITS`` flags of the column ``key``; at most BITS / 64 rows come to the driver, whatever the number of keys."""
+    slot = f"pmod(key, {BITS})"
+    bits = np.zeros(BITS // 64, dtype=np.int64)
+    got = keys.selectExpr(f"{slot} div 64 AS w", f"shiftleft(1L, cast({slot} % 64 AS int)) AS bit").groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bits[got["w"].to_numpy(int)] = got["bits"]
+    return spark.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little"))
+
+
+def _entities(text: str, spans: list) -> list[int]:
+    return sorted({_entity(kind, text[a:b]) for a, kind, b in spans})
 
 
 SPANS = "array<struct<start: int, kind: string, end: int>>"
 NEAR = "array<struct<entity: long, term: long, start: int, end: int>>"
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, of, spans, near``: base spans and contexts per row; ``of`` is a hash of the text."""
-    rows = prepared(docs).select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"),
+def _rows(docs: DataFrame) -> DataFrame:
+    return prepared(docs).select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                  F.xxhash64("text").alias("of"))
 
+
+def find(docs: DataFrame, pairs=None) -> DataFrame:
+    """``row, doc_id, of, spans, entities, near``: base spans and their entities per row; ``of`` is a hash of the text.
+
+    ``near`` has the places of terms that go with an entity of the text by the bitmap ``pairs``.
+    """
+
     def found(batches):
         row = TaskContext.get().partitionId() << 40
+        seen = None if pairs is None else pairs.value.view(bool)
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
             spans = [base_spans(t) for t in texts]
+            entities = [_entities(t, s) for t, s in zip(texts, spans)]
+            near: list[list] = [[] for _ in texts]
+            for i, of in enumerate(entities if seen is not None else []):
+                if of:
+                    places, h = terms_outside(texts[i], spans[i])
+                    for e in of:
+                        near[i] += [(e, int(h[k]), *places[k]) for k in np.flatnonzero(seen[_pair(e, h) % BITS])]
             yield pd.DataFrame({"row": np.arange(row, row + len(pdf)), "doc_id": pdf["doc_id"], "of": pdf["of"], "spans": spans,
-                                "near": [contexts(t, s) if s else [] for t, s in zip(texts, spans)]})
+                                "entities": entities, "near": near})
             row += len(pdf)
 
-    return scratch(rows.mapInPandas(found, f"row long, doc_id string, of long, spans {SPANS}, near {NEAR}"), "pii-found")
+    return scratch(_rows(docs).mapInPandas(found, f"row long, doc_id string, of long, spans {SPANS}, entities array<long>, near {NEAR}"), "pii-found")
+
+
+def _pairs(docs: DataFrame, entities: DataFrame) -> DataFrame:
+    """``entity, term, n_pair, texts``: rows and different texts that hold both, for ``entities``; under a null entity
+    the rows with the term among all that were looked at, which are no more than the rows with the term."""
+    shared = _bitmap(entities.select(F.col("entity").alias("key")), docs.sparkSession)
+
+    def paired(batches):
+        seen = shared.value.view(bool)
+        for pdf in batches:
+            out, each = [], []
+            for text, of in zip(pdf["text"], pdf["of"]):
+                spans = base_spans(text or "")
+                known = [e for e in _entities(text, spans) if seen[e % BITS]] if spans else []
+                if known:
+                    terms = np.unique(terms_outside(text, spans)[1])
+                    each.append(terms)
+                    out += [pd.DataFrame({"entity": pd.array([e] * len(terms), dtype="Int64"), "term": terms, "of": of, "n": 1}) for e in known]
+            if out:
+                term, n = np.unique(np.concatenate(each), return_counts=True)
+                out.append(pd.DataFrame({"entity": pd.array([None] * len(term), dtype="Int64"), "term": term, "of": 0, "n": n}))
+                yield pd.concat(out, ignore_index=True)
+
+    rows = _rows(docs).select("text", "of").mapInPandas(paired, "entity long, term long, of long, n long")
+    by_text = rows.groupBy("entity", "term", "of").agg(F.sum("n").alias("n"))
+    both = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"))
+    return both
 
 
 def _term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, n``: number of rows of ``docs`` that contain each of ``terms``."""
-    slot = f"pmod(term, {BITS})"
-    words = terms.selectExpr(f"{slot} div 64 AS w", f"shiftleft(1L, cast({slot} % 64 AS int)) AS bit")
-    bits = np.zeros(BITS // 64, dtype=np.int64)  # at most BITS / 64 rows, whatever the number of terms
-    got = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
-    bits[got["w"].to_numpy(int)] = got["bits"]
-    shared = docs.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little"))
+    shared = _bitmap(terms.select(F.col("term").alias("key")), docs.sparkSession)
 
     def counted(batches):
         seen = shared.value.view(bool)
@@ -175,28 +232,41 @@ def _term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """``entity, term, share, action`` of the terms that disclose an entity beyond the threshold."""
     total = found.count()
-    near = found.select("row", "of", F.explode("near").alias("x")).select("row", "of", "x.entity", "x.term").distinct()
-    pairs = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"), F.count_distinct("of").alias("texts"))
-    pairs = scratch(pairs.where(F.col("texts") >= support), "pii-pairs")
-    entities = near.select("entity", "row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = _term_documents(docs, pairs.select("term").distinct())
-    both = pairs.join(terms, "term").join(entities, "entity")
+    entities = found.select("of", F.explode("entities").alias("entity")).groupBy("entity", "of").agg(F.count(F.lit(1)).alias("n"))
+    entities = entities.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
+    entities = scratch(entities.select("entity", "n_entity"), "pii-entities")
+    pairs = scratch(_pairs(docs, entities).where(F.col("entity").isNull() | (F.col("texts") >= support)), "pii-pairs")
+    least = pairs.where("entity IS NULL").select("term", F.col("n_pair").alias("n_least"))
     information = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    disclosed = F.log2(F.col("n_pair") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    both = both.withColumn("share", F.when(information > 0, disclosed / information).otherwise(F.lit(0.0)))
+
+    def share(of_term):
+        disclosed = F.log2(F.col("n_pair") * F.lit(float(total)) / (F.col(of_term) * F.col("n_entity")))
+        return F.when(information > 0, disclosed / information).otherwise(F.lit(0.0))
+
+    # terms of too many of the rows already seen stay below the threshold whatever their full count
+    able = pairs.where("entity IS NOT NULL").join(entities, "entity").join(least, "term")
+    able = scratch(able.where(share("n_least") >= generalise - 1e-9).select("entity", "term", "n_pair", "n_entity"), "pii-able")
+    terms = _term_documents(docs, able.select("term").distinct())
+    both = able.join(terms, "term").withColumn("share", share("n_term"))
     return both.where(F.col("share") >= generalise).select(
         "entity", "term", "share", F.when(F.col("share") >= remove, "removed").otherwise("generalised").alias("action"))
 
 
 def find_all(docs: DataFrame, **settings) -> DataFrame:
     """``row, doc_id, of, base, spans`` per row of ``docs``: base spans, and all spans by start, each ``start, kind, end``."""
-    found = find(docs)
-    flagged = scratch(disclosing(docs, found, **settings), "pii-flagged")
+    flagged = scratch(disclosing(docs, find(docs), **settings), "pii-flagged")
+
+    def keys(batches):
+        for pdf in batches:
+            out = [_pair(e, np.array([t], dtype=np.int64))[0] for e, t in zip(pdf["entity"], pdf["term"])]
+            yield pd.DataFrame({"key": np.array(out, dtype=np.int64)})
+
+    found = find(docs, _bitmap(flagged.select("entity", "term").mapInPandas(keys, "key long"), docs.sparkSession))
     near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
     # one mark per place: removal wins
     marks = near.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("action").alias("kind"))
     marks = marks.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("marks"))  # at most a text's own places
-    out = found.drop("near").join(marks, "row", "left")
+    out = found.drop("near", "entities").join(marks, "row", "left")
     order = F.create_map(*[F.lit(x) for i, k in enumerate((*KINDS, "generalised", "removed")) for x in (k, i)])
     every = F.concat("spans", F.coalesce("marks", F.array().cast(SPANS)))
     every = F.array_sort(F.transform(every, lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("place"), x["kind"].alias("kind"), x["end"].alias("end"))))

@@ -94,6 +94,22 @@ def test_disclosing_terms(spark):
     assert clean[100] == dict(rows)[100]
 
 
+def test_disclosing_terms_go_wherever_they_stand(spark):
+    r = random.Random(4)
+
+    def fill(n):
+        return " ".join(r.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(n))
+
+    rows = [(i, f"zorblax {fill(120)} mail jo@secret.org {fill(120)} Wu said {fill(60)} 李明 and Zorblax once more") for i in range(10)]
+    rows += [(100 + i, f"{fill(20)} mail said and once more") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {x["doc_id"]: x["text"] for x in S.sanitised(docs).collect()}
+    for i in range(10):
+        assert not [w for w in ("zorblax", "Zorblax", "Wu", "李明", "secret") if w in clean[i]]
+        assert "mail [EMAIL]" in clean[i] and "said" in clean[i]
+    assert clean[100] == dict(rows)[100]
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     out = S.report(docs).collect()
