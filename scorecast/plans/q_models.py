@@ -24,7 +24,7 @@ from ..schema import (MSG_REQUEST_ABOVE, MSG_REQUEST_BELOW, MSG_REQUEST_MISSING,
                       MSG_REQUEST_UNKNOWN_LEVEL, MSG_VECTOR_TYPES)
 from .registry import (WITH_HABITS, d_code, d_fill, d_hash, d_linear, d_prepared, d_str, d_strip, d_title, d_round_python, dr, query,
                        rnd)
-from .train import SMOKE_GRIDS, prepare_split, run_training
+from .train import FULL_GRIDS, prepare_split, run_training
 
 _SPLIT = f"({d_hash('student_id', ':42')} % 100 < 20)"
 _FOLD = f"CAST({d_hash('student_id', ':fold:42')} % 5 AS INTEGER)"
@@ -175,7 +175,7 @@ def q_knn_predict(spark, sf_dir):
 def _tree_query(spark, sf_dir, family):
     tr, te = split_frames(spark, sf_dir)
     pm, res, best = search_trees(tr.select(KEY_COLUMN, "fold", *FEATURE_COLUMNS, TARGET_COLUMN), family,
-                                 SMOKE_GRIDS[family])
+                                 FULL_GRIDS[family])
     m = pm.transform(te).agg(F.sqrt(F.avg((F.col(TARGET_COLUMN) - F.col("prediction")) ** 2)).alias("rmse")).first()
     rows = [(family, json.dumps(r.params, sort_keys=True), float(r.cv_rmse), float(m["rmse"])) for r in res]
     return spark.createDataFrame(rows, "family string, params string, cv_rmse double, test_rmse double")
@@ -195,10 +195,10 @@ def q_gbt_fit(spark, sf_dir):
 
 @query("cv_results")
 def q_cv_results(spark, sf_dir):
-    """The training job: all five families tuned (trees on the smoke grid), ensemble added, every run
+    """The training job: all five families tuned on the full grids, ensemble added, every run
     logged with its bundle; the report sorted by test RMSE."""
     out = scratch_path(spark, "training")
-    run_training(spark, habits(spark, sf_dir), out, grids=SMOKE_GRIDS)
+    run_training(spark, habits(spark, sf_dir), out, grids=FULL_GRIDS)
     return spark.read.parquet(f"{out}/report").orderBy("rmse", "position")
 
 
