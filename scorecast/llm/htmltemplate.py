@@ -5,8 +5,9 @@ A page is a sequence of tokens: element starts, named by their path from the roo
 Within a host, a token's *occurrence vector* says how often it stands on each
 page; tokens with equal vectors form an equivalence class. A class is valid -
 part of what generates the pages - if it stands on at least ``SUPPORT`` of the
-host's pages; because elements are named by path, valid classes
-nest by their paths and together form the host's template. What is left are the
+host's pages; this frequency threshold stands for a test of order and nesting, and
+classes of rarer page types are not seen. Named by path, valid classes nest by their
+paths and together form the host's template. What is left are the
 slots: the text below a template element.
 
 Per host the template keeps
