@@ -226,7 +226,8 @@ def _term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"term": term, "n": n})
 
     found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(counted, "term long, n long")
-    return found.groupBy("term").agg(F.sum("n").alias("n_term")).join(terms, "term", "left_semi")
+    # written before the join, which else runs on every batch's counts
+    return scratch(found.groupBy("term").agg(F.sum("n").alias("n_term")), "pii-terms").join(terms, "term", "left_semi")
 
 
 def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
