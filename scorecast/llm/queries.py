@@ -15,6 +15,7 @@ from . import (  # noqa: F401
     q_omh,
     q_packing,
     q_sanitise,
+    q_setm,
     q_substring,
 )
 from .registry import ORACLE, QUERIES
