@@ -8,6 +8,7 @@ from ..session import ensure_workers_can_import
 from . import (  # noqa: F401
     q_bitslice,
     q_coordjoin,
+    q_failaudit,
     q_htmltemplate,
     q_langid,
     q_latticelm,
