@@ -18,6 +18,7 @@ from . import (  # noqa: F401
     q_sanitise,
     q_setm,
     q_substring,
+    q_urltrees,
 )
 from .registry import ORACLE, QUERIES
 
