@@ -11,18 +11,21 @@ and a term whose share I / IC reaches ``GENERALISE`` is replaced by a general
 mark, from ``REMOVE`` on it is removed. n(t, e) counts documents with both t and e,
 wherever they stand; a pair must occur in ``SUPPORT`` different texts, so single
 documents and their exact copies are no evidence. A disclosing term is marked at
-every place in every document of its entity. Terms of fewer than ``SHORTEST`` bytes
-count only if they are two letters of which the first is a capital (Li, Wu); single
-ASCII letters and words such as "to" disclose nobody.
-
-Plan. One pass finds base spans and entities. Entities in fewer than ``SUPPORT``
-texts cannot have a pair; a Bloom bitmap of fixed size (``BITS``) of the others tells
-the second pass whose documents give pairs, one row per pair and text, which Spark
-counts. n(t) is at least the number of those documents with t, which bounds the share
-from above: pairs whose bound misses the threshold need no exact n(t). A third pass counts the documents of the other pairs' terms, again behind a bitmap,
-and the last one finds the places of the disclosing pairs behind a bitmap of the
-pairs. What comes through a bitmap is joined exactly, so false positives cost rows
-but never change a result. Texts are not shuffled.
+every place in every document of its entity. Terms of any length count.
+
+Plan. One pass finds base spans and entities, one counts the documents of every term;
+a task keeps its term counts over its batches and sends them at a bound, so the rows
+grow with the text. A term can disclose an entity only if n(t) <= T^(1-g) n(e)^g with g =
+``GENERALISE``, for n(t, e) is at most n(e). That drops common words before any
+pair is formed: the documents of entities with ``SUPPORT`` texts give one row per
+term (without the terms that are both above that bound for every entity and among the
+``HOT`` most common ones, which are held as a list), which meet the exact n(t), and the
+documents' entities, on the document. A document with many entities and terms is dealt
+out to many keys on both sides. Pairs are counted by Spark, and the disclosing ones
+find their places through a list of places of disclosing terms, joined by term and then
+by document and entity. Bitmaps of fixed size (``BITS``) tell the tasks what may
+matter; what comes through is joined exactly, so false positives cost rows but never
+change a result. Texts are not shuffled.
 
 Base patterns, leftmost and non-overlapping per kind; failing matches are dropped
 without retry. They are written so that they take linear time.
@@ -48,8 +51,10 @@ from .textops import batch_term_hashes, mix, term_hashes
 
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
-SHORTEST = 3
 BITS = 1 << 22
+HOT = 1 << 14  # terms, the most common first, that tasks know by heart
+DISTINCT = 1 << 20  # term counts that a task holds before it sends them
+PRODUCT = 1 << 18  # pairs of entities and terms of a document under one key
 
 #: Kinds in their order, and the marks that replace them.
 KINDS = ("email", "ip", "card", "phone")
@@ -111,10 +116,6 @@ def _entity(kind: str, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def _counts(term: str) -> bool:
-    return len(term) >= SHORTEST or len(term.encode("utf-8", "surrogatepass")) >= SHORTEST or len(term) == 2 and term[0].isupper()
-
-
 def terms_outside(text: str, spans: list) -> tuple[list, np.ndarray]:
     """Places ``(start, end)`` of the terms outside all spans of a text, and their hashes."""
     parts, at = [], 0
@@ -123,16 +124,11 @@ def terms_outside(text: str, spans: list) -> tuple[list, np.ndarray]:
         if b > a:
             parts += [text[at:a], " " * (b - a)]
             at = b
-    found = [m for m in _TERM.finditer("".join([*parts, text[at:]])) if _counts(m.group())]
+    found = list(_TERM.finditer("".join([*parts, text[at:]])))
     h = term_hashes(" ".join(m.group() for m in found).encode("utf-8", "surrogatepass")).view(np.int64)
     return [m.span() for m in found], h
 
 
-def _pair(entity: int, terms: np.ndarray) -> np.ndarray:
-    """One hash per pair of the entity and a term."""
-    return mix(terms.view(np.uint64) ^ mix(np.array([entity], dtype=np.int64).view(np.uint64))).view(np.int64)
-
-
 def _bitmap(keys: DataFrame, spark):
     """Broadcast of ``BITS`` flags of the column ``key``; at most BITS / 64 rows come to the driver, whatever the number of keys."""
     slot = f"pmod(key, {BITS})"
@@ -147,7 +143,7 @@ def _entities(text: str, spans: list) -> list[int]:
 
 
 SPANS = "array<struct<start: int, kind: string, end: int>>"
-NEAR = "array<struct<entity: long, term: long, start: int, end: int>>"
+NEAR = "array<struct<term: long, start: int, end: int>>"
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -155,15 +151,15 @@ def _rows(docs: DataFrame) -> DataFrame:
                                  F.xxhash64("text").alias("of"))
 
 
-def find(docs: DataFrame, pairs=None) -> DataFrame:
+def find(docs: DataFrame, terms=None) -> DataFrame:
     """``row, doc_id, of, spans, entities, near``: base spans and their entities per row; ``of`` is a hash of the text.
 
-    ``near`` has the places of terms that go with an entity of the text by the bitmap ``pairs``.
+    ``near`` has the places of the terms in the bitmap ``terms``, in texts with an entity.
     """
 
     def found(batches):
         row = TaskContext.get().partitionId() << 40
-        seen = None if pairs is None else pairs.value.view(bool)
+        seen = None if terms is None else terms.value.view(bool)
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
             spans = [base_spans(t) for t in texts]
@@ -172,8 +168,7 @@ def find(docs: DataFrame, pairs=None) -> DataFrame:
             for i, of in enumerate(entities if seen is not None else []):
                 if of:
                     places, h = terms_outside(texts[i], spans[i])
-                    for e in of:
-                        near[i] += [(e, int(h[k]), *places[k]) for k in np.flatnonzero(seen[_pair(e, h) % BITS])]
+                    near[i] = [(int(h[k]), *places[k]) for k in np.flatnonzero(seen[h % BITS])]
             yield pd.DataFrame({"row": np.arange(row, row + len(pdf)), "doc_id": pdf["doc_id"], "of": pdf["of"], "spans": spans,
                                 "entities": entities, "near": near})
             row += len(pdf)
@@ -181,53 +176,76 @@ def find(docs: DataFrame, pairs=None) -> DataFrame:
     return scratch(_rows(docs).mapInPandas(found, f"row long, doc_id string, of long, spans {SPANS}, entities array<long>, near {NEAR}"), "pii-found")
 
 
-def _pairs(docs: DataFrame, entities: DataFrame) -> DataFrame:
-    """``entity, term, n_pair, texts``: rows and different texts that hold both, for ``entities``; under a null entity
-    the rows with the term among all that were looked at, which are no more than the rows with the term."""
-    shared = _bitmap(entities.select(F.col("entity").alias("key")), docs.sparkSession)
+def _summed(term: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, where = np.unique(term, return_inverse=True)
+    return found, np.bincount(where, n, len(found)).astype(np.int64)
 
-    def paired(batches):
-        seen = shared.value.view(bool)
-        for pdf in batches:
-            out, each = [], []
-            for text, of in zip(pdf["text"], pdf["of"]):
-                spans = base_spans(text or "")
-                known = [e for e in _entities(text, spans) if seen[e % BITS]] if spans else []
-                if known:
-                    terms = np.unique(terms_outside(text, spans)[1])
-                    each.append(terms)
-                    out += [pd.DataFrame({"entity": pd.array([e] * len(terms), dtype="Int64"), "term": terms, "of": of, "n": 1}) for e in known]
-            if out:
-                term, n = np.unique(np.concatenate(each), return_counts=True)
-                out.append(pd.DataFrame({"entity": pd.array([None] * len(term), dtype="Int64"), "term": term, "of": 0, "n": n}))
-                yield pd.concat(out, ignore_index=True)
-
-    rows = _rows(docs).select("text", "of").mapInPandas(paired, "entity long, term long, of long, n long")
-    by_text = rows.groupBy("entity", "term", "of").agg(F.sum("n").alias("n"))
-    both = by_text.groupBy("entity", "term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"))
-    return both
-
-
-def _term_documents(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """``term, n``: number of rows of ``docs`` that contain each of ``terms``."""
-    shared = _bitmap(terms.select(F.col("term").alias("key")), docs.sparkSession)
+
+def term_documents(docs: DataFrame) -> DataFrame:
+    """``term, n_term``: the number of rows of ``docs`` that contain each term, for all terms."""
 
     def counted(batches):
-        seen = shared.value.view(bool)
+        held, size, known = [], 0, (np.zeros(0, np.int64), np.zeros(0, np.int64))
         for pdf in batches:
             for _, _, h, at in batch_term_hashes(pdf["text"].tolist()):
-                h = h.view(np.int64)
-                hit = np.flatnonzero(seen[h % BITS])
-                if not len(hit):
-                    continue
-                text = np.searchsorted(at, hit, side="right")
-                pairs = np.unique(np.stack([h[hit], text], axis=1), axis=0)
-                term, n = np.unique(pairs[:, 0], return_counts=True)
-                yield pd.DataFrame({"term": term, "n": n})
+                text = np.searchsorted(at, np.arange(len(h)), side="right")
+                order = np.lexsort((text, h.view(np.int64)))
+                h, text = h.view(np.int64)[order], text[order]
+                held.append(h[np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))] if len(h) else h)
+                size += len(held[-1])
+                if size >= DISTINCT:
+                    known = _summed(np.concatenate([known[0], *held]), np.concatenate([known[1], np.ones(size, np.int64)]))
+                    held, size = [], 0
+                    if len(known[0]) >= DISTINCT:
+                        yield pd.DataFrame({"term": known[0], "n": known[1]})
+                        known = (known[0][:0], known[1][:0])
+        known = _summed(np.concatenate([known[0], *held]), np.concatenate([known[1], np.ones(size, np.int64)]))
+        if len(known[0]):
+            yield pd.DataFrame({"term": known[0], "n": known[1]})
+
+    found = prepared(docs).select(F.col("text").cast("string").alias("text")).mapInPandas(counted, "term long, n long")
+    return scratch(found.groupBy("term").agg(F.sum("n").alias("n_term")), "pii-terms")
+
+
+def _pairs(docs: DataFrame, entities: DataFrame, terms: DataFrame, most: float, generalise: float, total: int, support: int) -> DataFrame:
+    """``entity, term, n_pair, texts, n_entity, n_term``: rows and different texts that hold both, for the pairs that can disclose.
+
+    ``most`` is the greatest number of rows of a term that can disclose any of ``entities``.
+    """
+    spark = docs.sparkSession
+    shared = _bitmap(entities.select(F.col("entity").alias("key")), spark)
+    common = terms.where(F.col("n_term") > most).orderBy(F.desc("n_term"), "term").limit(HOT)
+    common = spark.sparkContext.broadcast(np.sort(common.toPandas()["term"].to_numpy(np.int64)))
+
+    def held(batches):
+        row = TaskContext.get().partitionId() << 40
+        seen, skipped = shared.value.view(bool), common.value
+        for pdf in batches:
+            for i, (text, of) in enumerate(zip(pdf["text"], pdf["of"])):
+                spans = base_spans(text or "")
+                known = np.array([e for e in _entities(text, spans) if seen[e % BITS]] if spans else [], dtype=np.int64)
+                if len(known):
+                    found = np.setdiff1d(terms_outside(text, spans)[1], skipped)
+                    deals = 1 + len(known) * len(found) // PRODUCT
+                    deal = np.arange(len(found)) % deals
+                    for a in range(0, len(found), 1 << 17):
+                        part = found[a : a + (1 << 17)]
+                        yield pd.DataFrame({"row": row + i, "of": of, "deal": deal[a : a + (1 << 17)], "deals": deals, "term": part, "entity": pd.array([None] * len(part), dtype="Int64")})
+                    yield pd.DataFrame({"row": row + i, "of": of, "deal": 0, "deals": deals, "term": 0, "entity": pd.array(known, dtype="Int64")})
+            row += len(pdf)
+
+    rows = scratch(_rows(docs).select("text", "of").mapInPandas(held, "row long, of long, deal long, deals long, term long, entity long"), "pii-held")
+    of_term = rows.where("entity IS NULL").select("row", "deal", "term").join(terms.where(F.col("n_term").between(support, most)), "term")
+    of_entity = rows.where("entity IS NOT NULL").join(entities, "entity").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
+    both = of_entity.select("row", "of", "deal", "entity", "n_entity").join(of_term, ["row", "deal"])
+    both = both.where(F.col("n_term") <= _bound(F.col("n_entity"), generalise, total))
+    by_text = both.groupBy("entity", "term", "n_entity", "n_term", "of").agg(F.count(F.lit(1)).alias("n"))
+    return by_text.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("n").alias("n_pair"), F.count(F.lit(1)).alias("texts"))
+
 
-    found = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(counted, "term long, n long")
-    # written before the join, which else runs on every batch's counts
-    return scratch(found.groupBy("term").agg(F.sum("n").alias("n_term")), "pii-terms").join(terms, "term", "left_semi")
+def _bound(n_entity, generalise: float, total: int):
+    """Rows of a term above which it cannot disclose an entity of ``n_entity`` rows; one more for rounding."""
+    return F.pow(F.lit(float(total)), F.lit(1 - generalise)) * F.pow(n_entity.cast("double"), F.lit(generalise)) + 1
 
 
 def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
@@ -236,19 +254,12 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, genera
     entities = found.select("of", F.explode("entities").alias("entity")).groupBy("entity", "of").agg(F.count(F.lit(1)).alias("n"))
     entities = entities.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
     entities = scratch(entities.select("entity", "n_entity"), "pii-entities")
-    pairs = scratch(_pairs(docs, entities).where(F.col("entity").isNull() | (F.col("texts") >= support)), "pii-pairs")
-    least = pairs.where("entity IS NULL").select("term", F.col("n_pair").alias("n_least"))
+    # an entity of all rows carries no information; a bound below 1 share is that of the most common entity
+    most = entities.select(F.max(_bound(F.col("n_entity"), min(generalise, 1.0), max(total, 1)))).first()[0] or 0.0
+    pairs = _pairs(docs, entities, term_documents(docs), most, generalise, max(total, 1), support).where(F.col("texts") >= support)
     information = F.log2(F.lit(float(total)) / F.col("n_entity"))
-
-    def share(of_term):
-        disclosed = F.log2(F.col("n_pair") * F.lit(float(total)) / (F.col(of_term) * F.col("n_entity")))
-        return F.when(information > 0, disclosed / information).otherwise(F.lit(0.0))
-
-    # terms of too many of the rows already seen stay below the threshold whatever their full count
-    able = pairs.where("entity IS NOT NULL").join(entities, "entity").join(least, "term")
-    able = scratch(able.where(share("n_least") >= generalise - 1e-9).select("entity", "term", "n_pair", "n_entity"), "pii-able")
-    terms = _term_documents(docs, able.select("term").distinct())
-    both = able.join(terms, "term").withColumn("share", share("n_term"))
+    disclosed = F.log2(F.col("n_pair") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
+    both = pairs.withColumn("share", F.when(information > 0, disclosed / information).otherwise(F.lit(0.0)))
     return both.where(F.col("share") >= generalise).select(
         "entity", "term", "share", F.when(F.col("share") >= remove, "removed").otherwise("generalised").alias("action"))
 
@@ -256,16 +267,11 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT, genera
 def find_all(docs: DataFrame, **settings) -> DataFrame:
     """``row, doc_id, of, base, spans`` per row of ``docs``: base spans, and all spans by start, each ``start, kind, end``."""
     flagged = scratch(disclosing(docs, find(docs), **settings), "pii-flagged")
-
-    def keys(batches):
-        for pdf in batches:
-            out = [_pair(e, np.array([t], dtype=np.int64))[0] for e, t in zip(pdf["entity"], pdf["term"])]
-            yield pd.DataFrame({"key": np.array(out, dtype=np.int64)})
-
-    found = find(docs, _bitmap(flagged.select("entity", "term").mapInPandas(keys, "key long"), docs.sparkSession))
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end")
+    found = find(docs, _bitmap(flagged.select(F.col("term").alias("key")).distinct(), docs.sparkSession))
+    near = found.select("row", F.explode("near").alias("x")).select("row", "x.term", "x.start", "x.end").join(flagged, "term")
+    holds = found.select("row", F.explode("entities").alias("entity"))
     # one mark per place: removal wins
-    marks = near.join(flagged, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("action").alias("kind"))
+    marks = near.join(holds, ["row", "entity"], "left_semi").groupBy("row", "start", "end").agg(F.max("action").alias("kind"))
     marks = marks.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("marks"))  # at most a text's own places
     out = found.drop("near", "entities").join(marks, "row", "left")
     order = F.create_map(*[F.lit(x) for i, k in enumerate((*KINDS, "generalised", "removed")) for x in (k, i)])

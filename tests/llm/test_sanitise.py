@@ -84,7 +84,7 @@ def test_disclosing_terms(spark):
     def term(word):
         return int(S.term_hashes(word.encode()).view("int64")[0])
 
-    assert {t for x, t in got if x == e} == {term(w) for w in ("zorblax", "townville", "write") if share(w) >= S.GENERALISE}
+    assert {t for x, t in got if x == e} == {term(w) for w in ("zorblax", "townville", "write", "to") if share(w) >= S.GENERALISE}
     for word in ("zorblax", "townville"):
         r = got[e, term(word)]
         assert math.isclose(r["share"], share(word), rel_tol=1e-9) and r["action"] == ("removed" if share(word) >= S.REMOVE else "generalised")
@@ -122,3 +122,35 @@ def test_edges(spark):
 
 def test_overlapping_spans_are_replaced_once():
     assert S.replaced("call +1 234 567 8901 now", [(5, "phone", 20), (6, "card", 20)]) == "call [PHONE] now"
+
+
+def test_many_entities_in_one_document(spark, monkeypatch):
+    """A directory page with hundreds of addresses and names: its pairs are dealt out, and equal the plain counts."""
+    monkeypatch.setattr(S, "PRODUCT", 500)
+    r = random.Random(2)
+    people = [("".join(chr(97 + (i // 26**k) % 26) for k in range(3)) + "name", f"p{i}@x.org") for i in range(150)]
+    fill = ["alpha", "beta", "gamma", "delta", "of", "a", "to"]
+    rows = [(i, " ".join(f"{n} {m} {r.choice(fill)} page{i}" for n, m in people)) for i in range(2)]
+    rows += [(10 + 4 * i + k, f"{r.choice(fill)} {n} wrote {m} {r.choice(fill)} {k}") for i, (n, m) in enumerate(people) for k in range(3)]
+    rows += [(5000 + i, " ".join(r.choice(fill) for _ in range(8))) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    total = len(rows)
+    texts = {i: set(re.findall("[a-z]+", re.sub(r"\S+@\S+", " ", t))) for i, t in rows}
+    whole = {i: set(re.findall("[a-z]+", t)) for i, t in rows}
+    want = set()
+    for n, m in people:
+        has = [i for i, t in rows if m in t.split()]
+        for word in set().union(*(texts[i] for i in has)):
+            both = sum(word in texts[i] for i in has)
+            n_term = sum(word in w for w in whole.values())
+            if both >= S.SUPPORT and math.log2(both * total / (n_term * len(has))) / math.log2(total / len(has)) >= S.GENERALISE:
+                want.add((S._entity("email", m), int(S.term_hashes(word.encode()).view("int64")[0])))
+    got = [(x["entity"], x["term"]) for x in S.disclosing(docs, S.find(docs)).collect()]
+    assert set(got) == want and len(got) == len(want) >= 150
+
+
+def test_all_terms_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(S, "DISTINCT", 3)
+    rows = [(i, f"A b{'' if i % 2 else ' cc'} Dd dd e{i}") for i in range(40)] + [(99, None), (98, "")]
+    got = {x["term"]: x["n_term"] for x in S.term_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {w: got[int(S.term_hashes(w.encode()).view("int64")[0])] for w in ("a", "b", "cc", "dd")} == {"a": 40, "b": 40, "cc": 20, "dd": 40}
