@@ -183,13 +183,13 @@ def _tree_query(spark, sf_dir, family):
 
 @query("rf_fit")
 def q_rf_fit(spark, sf_dir):
-    """Random forest (all features per split) through CrossValidator on the fold column."""
+    """Random forests (all features per split): every candidate read off one forest per fold."""
     return _tree_query(spark, sf_dir, "rf")
 
 
 @query("gbt_fit")
 def q_gbt_fit(spark, sf_dir):
-    """Gradient-boosted trees (squared loss) through CrossValidator on the fold column."""
+    """Gradient-boosted trees (squared loss, L2 leaf penalty): all settings and folds grown together."""
     return _tree_query(spark, sf_dir, "gbt")
 
 

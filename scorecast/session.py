@@ -81,7 +81,22 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     _WRITTEN.append((spark, path))
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard_scratch(df: DataFrame) -> None:
+    """Delete the scratch table that ``df`` was read from; nothing may read it any more."""
+    path = getattr(df, "_scratch_path", None)
+    for entry in [e for e in _WRITTEN if e[1] == path]:
+        _WRITTEN.remove(entry)
+        _delete(*entry)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def purge_scratch() -> None:
@@ -89,8 +104,7 @@ def purge_scratch() -> None:
     while _WRITTEN:
         spark, path = _WRITTEN.pop()
         try:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the session has ended: the shared folder's owner clears it
             return
 

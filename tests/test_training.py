@@ -21,6 +21,10 @@ def test_training_job(spark, tmp_out):
     logged = {r["run_name"]: r for r in runs(spark, f"{tmp_out}/runs").collect()}
     assert set(logged) == names and logged[result.best_name]["run_id"] == best_run
     assert all(set(r["metrics"]) >= {"rmse", "mae", "r2"} for r in logged.values())
+    for r in logged.values():  # how the run came about
+        assert {"cv_folds", "param_grid", "train_rows", "test_rows", "n_features", "error_rows"} <= set(r["params"])
+        assert r["params"]["n_features"] == "14" and r["params"]["cv_folds"] == "5" and int(r["params"]["train_rows"]) > int(r["params"]["test_rows"]) > 0
+    assert all(r[m] == round(r[m], 4) for r in report for m in ("rmse", "mae", "r2"))
     assert load_bundle(spark, f"{tmp_out}/best")["model_info"]["best_model_name"] == result.best_name
     batch = bootstrap_sample(raw, 12, seed=5).drop("student_id", "exam_score").cache()
     for name, run in logged.items():  # all five kinds and the ensemble
