@@ -49,6 +49,7 @@ RUN = 1024
 VALUES = 1 << 18
 SHINGLE = 5
 MISS = 1e-6
+FREQUENT = 1024
 _RNG = np.random.Generator(np.random.PCG64(97))
 _A = (_RNG.integers(0, 1 << 62, M, dtype=np.int64).astype(U64) << U64(1)) | U64(1)
 _B = _RNG.integers(0, 1 << 62, M, dtype=np.int64).astype(U64)
@@ -251,14 +252,31 @@ def components(links: DataFrame) -> DataFrame:
         label = new.select("doc_id", "component_id")
 
 
+def _representatives(sketch: DataFrame, named: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, rep``: the smallest id with the same set, for every row of ``sketch``.
+
+    Sets that more than one in ``FREQUENT`` rows hold are fewer than ``FREQUENT`` and are broadcast; no key of the
+    other join is hot. Rows without a set or an id, and sets that occur once, are their own.
+    """
+    key = ["k1", "k2", "n_shingles"]
+    kind = named.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    kind = scratch(kind, "near-kinds")
+    often = F.col("rows") > max(1, named.count()) / FREQUENT
+    hot = F.broadcast(kind.where(often).drop("rows"))
+    of_set = (F.col("doc_id") != NO_ID) & (F.col("n_shingles") > 0)
+    rows = sketch.select("doc_id", *key)
+    common = rows.where(of_set).join(hot, key)
+    others = rows.where(of_set).join(hot, key, "left_anti").join(kind.where(~often).drop("rows"), key, "left")
+    out = common.unionByName(others).unionByName(rows.where(~of_set).withColumn("rep", F.col("doc_id")))
+    return out.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per input row."""
     docs = prepared(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = scratch(docs.mapInPandas(_sketches, SKETCH), "near-sketch")
     named = sketch.where(F.col("doc_id") != NO_ID)
-    kind = named.where("n_shingles > 0").groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    rep = sketch.join(kind, ["k1", "k2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", F.coalesce(F.when(F.col("doc_id") != NO_ID, F.col("rep")), F.col("doc_id")).alias("rep"))
+    rep = _representatives(sketch, named)
     # ids with several rows: their rows' representatives are one vertex
     several = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
     same = rep.join(several, "doc_id", "left_semi").where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))

@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 from conftest import SF_SMALL
-from edge import edge_docs, empty_docs
+from edge import edge_docs, empty_docs, prose
 
 import corpus_pipeline as P
 from scorecast.llm import coordjoin, packing
@@ -32,6 +32,14 @@ def test_stages_on_given_documents(spark):
     assert sum(p["length"] for p in pieces) == sum(len(packing.ByteBpe.at(packing.tokenizer_path()).encode(t)) + 1 for _, t, _ in rows[4])
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    rows = [(11, prose(4, 30)), (11, prose(4, 30)), (11, "another text under that id"), (11, prose(5, 60)), (7, prose(5, 60)), (9, prose(6, 60) + " end"),
+            (8, prose(6, 60)), (3, None), (3, ""), (None, prose(4, 30))]
+    out = P.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF_SMALL)
+    assert Counter(map(tuple, out.collect())) == Counter([(11, prose(4, 30)), (11, "another text under that id"), (7, prose(5, 60)), (8, prose(6, 60)),
+                                                          (3, None), (3, ""), (None, prose(4, 30))])
+
+
 def test_unlearned_languages_and_gibberish_go(spark):
     r = random.Random(3)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
