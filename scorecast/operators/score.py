@@ -72,15 +72,16 @@ def score_requests(df: DataFrame, model, maps: dict | None = None, rules: dict |
     checks = range_checks(rules or REQUEST_RULES) + category_checks(maps, schema=df.schema)
     v = df.withColumn("__errors", F.array_compact(F.array(*checks)))
     enc = Preparer(fills={}, maps=maps, impute_columns=[], drop_columns=[]).transform(v)
+    # a column of its own: rounding reads the score dozens of times, and must not repeat its lookups and sums
     if isinstance(model, LinearModel):
-        raw = model.prediction_column()
+        enc = enc.withColumn("__p", model.prediction_column())
     else:  # rows with an error are not scored; requests may share an id, so nothing is joined by it
         ok = model.transform(enc.where(F.size("__errors") == 0), output="__p")
         enc = ok.unionByName(enc.where(F.size("__errors") > 0).withColumn("__p", F.lit(None).cast("double")))
-        raw = F.col("__p")
-    p = clip_score(raw) if clip else raw
+    if clip:
+        enc = enc.withColumn("__p", clip_score("__p"))
     return enc.select(
-        key, F.when(F.size("__errors") == 0, round_python(p, places)).alias("predicted_exam_score"),
+        key, F.when(F.size("__errors") == 0, round_python("__p", places)).alias("predicted_exam_score"),
         F.try_element_at(F.col("__errors"), F.lit(1)).alias("error"))
 
 

@@ -14,7 +14,7 @@ from ..operators.score import score_requests
 from ..operators.validate import feature_array, validate_categories, validate_ranges, validate_vector
 from ..schema import (CATEGORY_MAPS, FEATURE_COLUMNS, KEY_COLUMN, LASSO_ALPHAS, MONITOR_FEATURES, REQUEST_RULES,
                       RIDGE_ALPHAS, TARGET_COLUMN)
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources.artifacts import log_run, runs
 from ..sources.files import read_category_maps, read_csv_typed, write_category_maps, write_csv
 from ..sources.standin import habits
@@ -167,7 +167,8 @@ def q_knn_predict(spark, sf_dir):
     scale = fold_scales(tr, FEATURE_COLUMNS, None)[-1]
     index = build_knn_index(tr, FEATURE_COLUMNS, TARGET_COLUMN, KEY_COLUMN, "fold")
     nb = knn_neighbors(index, te.select(KEY_COLUMN, *FEATURE_COLUMNS), 5, {-1: scale}, qid=KEY_COLUMN)
-    p = knn_predictions(nb, [5], ["uniform", "distance"], KEY_COLUMN)
+    p = cut_lineage(knn_predictions(nb, [5], ["uniform", "distance"], KEY_COLUMN))
+    tr.unpersist()
     return p.select(KEY_COLUMN, rnd("pred_k5_uniform", 4).alias("pred_uniform"),
                     rnd("pred_k5_distance", 4).alias("pred_distance"))
 

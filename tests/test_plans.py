@@ -26,6 +26,18 @@ def test_ks_lineitem_pushes_filters_and_prunes_columns(spark):
     assert schemas and all("l_shipdate" not in s and "l_orderkey" not in s for s in schemas)
 
 
+def test_score_requests_runs_generated_code(spark):
+    """No part of the plan is too big to compile: without the fallback to interpretation the query still runs."""
+    old = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert entry.queries()["score_requests"](spark, SF_SMALL).where("predicted_exam_score IS NOT NULL").count() > 0
+        rows = entry.queries()["score_requests"](spark, SF_SMALL).collect()
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", old)
+    assert rows
+
+
 def test_standin_reads_only_needed_columns(spark):
     plan = _plan(entry.queries()["hash_split"](spark, SF_SMALL))
     orders = [line for line in plan.splitlines() if "ReadSchema" in line and "o_" in line]
