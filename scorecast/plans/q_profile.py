@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import functions as F
 
 from ..functions.stats import f_sf_udf, pearson_p_udf
+from ..operators.gram import corr_wide
 from ..operators.prepare import Preparer, derived_features, impute
 from ..operators.profile import (anova_stats, box_stats, corr_matrix, corr_ranked, describe, duplicate_counts,
                                  group_means, histogram, kde_curve, level_counts, linear_fit, missing_report,
@@ -302,6 +304,19 @@ def q_corr_matrix(spark, sf_dir):
     return c.select("feature_a", "feature_b", rnd("r").alias("r"))
 
 
+# the measures of a line item, and their products by two and by three
+_WIDE = LINEITEM_NUMERIC + [" * ".join(c) for k in (2, 3) for c in itertools.combinations_with_replacement(LINEITEM_NUMERIC, k)]
+_WIDE_NAMES = [f"x{i}" for i in range(len(_WIDE))]
+
+
+@query("corr_wide", "WITH w AS (SELECT " + ", ".join(f"{e} AS {n}" for e, n in zip(_WIDE, _WIDE_NAMES)) + " FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {dr(f'corr({a}, {b})')} AS r FROM w" for i, a in enumerate(_WIDE_NAMES) for b in _WIDE_NAMES[:i]))
+def q_corr_wide(spark, sf_dir):
+    """Correlations of many columns from tiles of the Gram matrix."""
+    wide = table(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for e, n in zip(_WIDE, _WIDE_NAMES)])
+    return corr_wide(wide, _WIDE_NAMES, tile=16).select("feature_a", "feature_b", rnd("r").alias("r"))
+
+
 @query("corr_ranked",
        f"{WITH_HD}, c AS (" + " UNION ALL ".join(
            f"SELECT '{c}' AS feature, corr({c}, exam_score) AS r FROM hd" for c in PROFILE_NUMERIC)
