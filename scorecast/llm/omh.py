@@ -22,7 +22,8 @@ a quarter of its predecessor's length, joins that same shuffle.
 Defined cases: null text is empty; texts without a piece share one fingerprint;
 rows with equal ``doc_id`` and different text are ordered by a hash of the text,
 equal rows are one document and are returned once each; null ``doc_id`` comes
-first; a lone document is its own next; other columns are not read.
+first; a lone document is its own next; a text of more than ``2^POSITION_BITS`` pieces stops
+the job with an error; other columns are not read.
 """
 
 from __future__ import annotations
@@ -56,7 +57,9 @@ def occurrence_kmers(text: str) -> str:
     numbered = (f"flatten(transform(f, (a, r) -> transform(slice(s, a + 1, coalesce(get(f, r + 1), size(s)) - a), "
                 f"(e, o) -> (xxhash64(shiftright(e, {POSITION_BITS}), o) & {~_LOW}L) | (e & {_LOW}L))))")
     some = _let("s", f"array_sort({packed})", _let("f", first, numbered))
-    return _let("w", pieces, f"if(size(w) = 0, cast(array() AS array<bigint>), {some})")
+    # positions have POSITION_BITS bits: a longer text must not pass with positions that run into the hash
+    fits = f"if(size(w) > {1 << POSITION_BITS}, raise_error('a text has more pieces than positions can number'), {some})"
+    return _let("w", pieces, f"if(size(w) = 0, cast(array() AS array<bigint>), {fits})")
 
 
 def signatures(df: DataFrame, keys: list[str], kmers: str) -> DataFrame:

@@ -3,9 +3,11 @@
 import hashlib
 import re
 
+import pytest
 import xxhash
 from conftest import SF_SMALL
 from edge import edge_docs, edge_rows, empty_docs, prose
+from pyspark.sql import functions as F
 
 from scorecast.llm import omh
 
@@ -91,3 +93,11 @@ def test_repeats_and_order_matter():
     assert near(signature(text), signature(text)) == 1
     assert near(signature(text), signature(swapped)) < 0.8  # a set of k-mers would hardly notice
     assert signature("x x x x x") != signature("x x x x")
+
+
+def test_too_many_pieces_stop_the_job(spark, monkeypatch):
+    monkeypatch.setattr(omh, "POSITION_BITS", 3)
+    df = spark.createDataFrame([("a b c d e f g h",), ("a b c d e f g h i",)], "t string")
+    assert df.limit(1).select(F.expr(omh.occurrence_kmers("t"))).collect()
+    with pytest.raises(Exception, match="more pieces"):
+        df.select(F.expr(omh.occurrence_kmers("t"))).collect()
