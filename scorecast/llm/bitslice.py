@@ -153,7 +153,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
         F.expr(f"transform(embedding, x -> cast(floor({scale} * cast(x AS double)) AS bigint))").alias("v")).where("dim > 0")
     rows = scratch(rows, "sliced-rows")
     sizes = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("query").cast("long")).alias("m"))
-    sizes = sizes.select("dim", F.ceil(F.col("n") / ROWS).alias("blocks"), F.greatest(F.lit(1), F.ceil(F.col("m") / QUERIES)).alias("parts"))
+    # written first: the planner sees one row per dimension and broadcasts it, where an aggregate's guessed size would deal vectors by dimension
+    sizes = scratch(sizes.select("dim", F.ceil(F.col("n") / ROWS).alias("blocks"), F.greatest(F.lit(1), F.ceil(F.col("m") / QUERIES)).alias("parts")),
+                    "sliced-sizes")
 
     def packed(df: DataFrame, count: str) -> DataFrame:
         dealt = df.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col(count)))

@@ -1,8 +1,8 @@
-r"""Document probability by subword lattices over a public unigram vocabulary.
+r"""Document probability by subword lattices over the pieces of a public vocabulary.
 
 A text is its words and one end token. A word's lattice has the pieces of a
-public unigram vocabulary as arcs, and one arc for the whole word if it occurs in
-the training documents; its probability is the sum over all paths:
+public vocabulary as arcs (a byte-pair file, whose ranks stand for unigram scores to
+start from), and one arc for the whole word if it occurs in the training documents; its probability is the sum over all paths:
 
     P(word) = max(c - DISCOUNT, 0) / N  +  DISCOUNT * V / N * sum over segmentations of product of p(piece)
 
