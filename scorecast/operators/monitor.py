@@ -1,10 +1,14 @@
 """Batch monitoring: two-sample KS drift per feature, quality and prediction
 distribution, composed into one metrics row per batch.
 
-KS runs on value counts: both sides are unpivoted to (feature, value), counted
-with map-side combine, and the two empirical CDFs come from distributed
-running sums (``running.running_sums``), so neither a big reference set nor a
-feature with many distinct values lands in one task.
+KS orders few values. Quantile sketches of both sides cut every feature's range
+into brackets; the rows per bracket (counted in Arrow batches, one row per task and bracket) give both empirical CDFs exactly at the
+brackets' ends, so the largest gap there is a lower bound of D, and inside a bracket
+the gap cannot pass what the CDFs at its two ends allow. Only brackets whose
+upper bound exceeds the best lower bound have their values counted and put in
+order (``running.running_sums``); D is exact. If D is itself as small as one
+bracket's share (equal distributions), most brackets stay undecided and most values
+are ordered, still distributed.
 """
 
 from __future__ import annotations
@@ -13,7 +17,9 @@ import datetime
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import ks_p_udf
@@ -23,38 +29,136 @@ from ..session import cut_lineage
 from .running import running_sums
 
 
-def _long(df: DataFrame, features: list[str], side: str) -> DataFrame:
-    # NaN is a missing value, as in pandas
-    items = [F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"),
-                      F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("value"))
-             for i, c in enumerate(features)]
-    return df.select(F.explode(F.array(*items)).alias("s")).select(
-        "s.pos", "s.feature", "s.value", F.lit(side).alias("side"))
+def _long(df: DataFrame, features: list[str]) -> DataFrame:
+    items = [F.struct(F.lit(i).alias("pos"), F.lit(c).alias("feature"), F.col(c).alias("value")) for i, c in enumerate(features)]
+    return df.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+
+
+#: Quantiles sketched per side; both sides' edges are one bracket list of a feature (16 KB at most).
+EDGES = 1024
 
 
 @dataclass
 class ReferenceProfile:
-    """One side's KS inputs from one counting pass (kept in a scratch table):
-    per-(feature, value) counts and per-feature non-null / null totals."""
+    """One side's KS inputs: its features' columns (a scratch table) and per feature the totals and the edges of its quantile sketch."""
 
-    counts: DataFrame     # feature, value, nr
-    totals: DataFrame     # pos, feature, n_ref, null_ref
+    narrow: DataFrame     # one double column per feature
+    totals: DataFrame     # pos, feature, n_ref, null_ref, edges
     features: list
 
+    def brackets(self, edges: dict[str, np.ndarray]) -> DataFrame:
+        """(feature, bracket, n, lo, hi): one row per task and bracket that has values."""
+        features = self.features
+
+        def counted(batches):
+            sizes = {c: len(edges[c]) + 1 for c in features}
+            n = {c: np.zeros(s, dtype=np.int64) for c, s in sizes.items()}
+            lo, hi = ({c: np.full(s, at) for c, s in sizes.items()} for at in (np.inf, -np.inf))
+            for pdf in batches:
+                for c in features:
+                    v = _values(pdf[c])
+                    at = np.searchsorted(edges[c], v)
+                    n[c] += np.bincount(at, minlength=sizes[c])
+                    np.minimum.at(lo[c], at, v)
+                    np.maximum.at(hi[c], at, v)
+            for c in features:
+                at = np.flatnonzero(n[c])
+                yield pd.DataFrame({"feature": c, "bracket": at, "n": n[c][at], "lo": lo[c][at], "hi": hi[c][at]})
+
+        return self.narrow.mapInPandas(counted, "feature string, bracket long, n long, lo double, hi double")
+
+    def values(self, edges: dict[str, np.ndarray], wanted: dict[str, np.ndarray]) -> DataFrame:
+        """(feature, bracket, value, n): the values of the ``wanted`` brackets, counted per batch."""
+
+        def counted(batches):
+            chosen = {c: np.isin(np.arange(len(edges[c]) + 1), w) for c, w in wanted.items()}
+            for pdf in batches:
+                for c in wanted:
+                    v = _values(pdf[c])
+                    v, n = np.unique(v[chosen[c][np.searchsorted(edges[c], v)]], return_counts=True)
+                    yield pd.DataFrame({"feature": c, "bracket": np.searchsorted(edges[c], v), "value": v, "n": n})
+
+        return self.narrow.select(*wanted).mapInPandas(counted, "feature string, bracket long, value double, n long")
+
+
+def _values(column: pd.Series) -> np.ndarray:
+    v = column.to_numpy(dtype=np.float64)
+    return v[~np.isnan(v)]
+
 
-def counted_values(df: DataFrame, features: list[str]) -> DataFrame:
-    """(pos, feature, value, nr): the one pass over a side, combined before it is shuffled."""
-    return _long(df, features, "r").groupBy("pos", "feature", "value").agg(F.count(F.lit(1)).alias("nr"))
+def side_columns(df: DataFrame, features: list[str]) -> DataFrame:
+    """The columns of one side that the test reads."""
+    # NaN is a missing value, as in pandas
+    return df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in features])
 
 
 def reference_profile(reference: DataFrame, features: list[str] | None = None) -> ReferenceProfile:
-    features = features or MONITOR_FEATURES
-    # missing values are counted as a value of their own, so one pass gives counts and totals
-    counted = cut_lineage(counted_values(reference, features))
-    known = F.col("value").isNotNull()
-    totals = counted.groupBy("pos", "feature").agg(
-        F.sum(F.when(known, F.col("nr")).otherwise(0)).alias("n_ref"), F.sum(F.when(known, 0).otherwise(F.col("nr"))).alias("null_ref"))
-    return ReferenceProfile(counted.where(known).select("feature", "value", "nr"), totals, list(features))
+    features = list(features or MONITOR_FEATURES)
+    narrow = cut_lineage(side_columns(reference, features))
+    known = F.count("value")
+    probs = ", ".join(f"{i / (EDGES - 1)!r}D" for i in range(EDGES))
+    totals = _long(narrow, features).groupBy("pos", "feature").agg(
+        known.alias("n_ref"), (F.count(F.lit(1)) - known).alias("null_ref"),
+        F.expr(f"percentile_approx(value, array({probs}), {4 * EDGES}) AS edges"))
+    return ReferenceProfile(narrow, cut_lineage(totals), features)
+
+
+def _sides(ref: DataFrame, cur: DataFrame, keys: list[str], *more) -> DataFrame:
+    """Both sides' counts ``n`` as ``nr`` and ``nc``, added up by ``keys``."""
+    none = F.lit(0).cast("long")
+    both = ref.withColumns({"nr": F.col("n"), "nc": none}).unionByName(cur.withColumns({"nr": none, "nc": F.col("n")}))
+    return both.groupBy(*keys).agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc"), *more)
+
+
+@dataclass
+class KsBrackets:
+    """The brackets of two sides. ``bounds``: (feature, bracket, nr, nc, before_r, before_c, gap, undecided), where ``gap``
+    is exact at the bracket's end and ``undecided`` says that a larger one than all of these may lie inside."""
+
+    ref: ReferenceProfile
+    cur: ReferenceProfile
+    totals: DataFrame     # pos, feature, n_ref, n_cur, null_ref, null_cur
+    edges: dict
+    bounds: DataFrame
+
+    def undecided_values(self) -> DataFrame:
+        """(feature, bracket, value, nr, nc): the counted values of the undecided brackets, all that has to be ordered."""
+        wanted: dict[str, list] = {}
+        # at most 2 * EDGES + 1 numbers per feature
+        for feature, bracket in self.bounds.where("undecided").select("feature", "bracket").collect():
+            wanted.setdefault(feature, []).append(bracket)
+        wanted = {c: np.array(b) for c, b in wanted.items()}
+        return _sides(self.ref.values(self.edges, wanted), self.cur.values(self.edges, wanted), ["feature", "bracket", "value"])
+
+
+def ks_brackets(reference, current: DataFrame, features: list[str] | None = None) -> KsBrackets:
+    features = list(features or (reference.features if isinstance(reference, ReferenceProfile) else MONITOR_FEATURES))
+    ref = reference if isinstance(reference, ReferenceProfile) else reference_profile(reference, features)
+    cur = reference_profile(current, features)
+    ref_edges, cur_edges = ({r["feature"]: r["edges"] or [] for r in side.totals.collect()} for side in (ref, cur))  # one row per feature
+    edges = {c: np.unique(np.array([*ref_edges.get(c, []), *cur_edges.get(c, [])], dtype=np.float64)) for c in features}
+    cur_tot = cur.totals.select("feature", F.col("pos").alias("cur_pos"), F.col("n_ref").alias("n_cur"), F.col("null_ref").alias("null_cur"))
+    totals = ref.totals.join(cur_tot, "feature", "full").select(
+        F.coalesce("pos", "cur_pos").alias("pos"), "feature",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_ref", "n_cur", "null_ref", "null_cur")])
+    counted = _sides(ref.brackets(edges), cur.brackets(edges), ["feature", "bracket"], (F.min("lo") < F.max("hi")).alias("several"))
+
+    # at most 2 * EDGES + 1 rows per feature
+    upto = Window.partitionBy("feature").orderBy("bracket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counted.withColumns({"cr": F.sum("nr").over(upto), "cc": F.sum("nc").over(upto)}).join(
+        F.broadcast(totals.select("feature", "n_ref", "n_cur")), "feature")
+    before_r, before_c = F.col("cr") - F.col("nr"), F.col("cc") - F.col("nc")
+
+    def gap(r, c):
+        # an all-null side has no distribution: its gap is null, so D and p are null and nothing is flagged
+        return F.try_divide(r, F.col("n_ref")) - F.try_divide(c, F.col("n_cur"))
+
+    bounds = summed.select(
+        "feature", "bracket", "nr", "nc", "several", before_r.alias("before_r"), before_c.alias("before_c"),
+        F.abs(gap(F.col("cr"), F.col("cc"))).alias("gap"),
+        F.greatest(gap(F.col("cr"), before_c), -gap(before_r, F.col("cc"))).alias("most"))
+    bounds = bounds.withColumn("undecided", F.col("several") & (F.col("most") > F.max("gap").over(Window.partitionBy("feature"))))
+    return KsBrackets(ref, cur, totals, edges, cut_lineage(bounds.drop("several", "most")))
 
 
 def ks_statistics(reference, current: DataFrame, features: list[str] | None = None,
@@ -63,26 +167,18 @@ def ks_statistics(reference, current: DataFrame, features: list[str] | None = No
 
     ``reference`` is a DataFrame of reference rows or a ``ReferenceProfile``.
     """
-    features = features or (reference.features if isinstance(reference, ReferenceProfile) else MONITOR_FEATURES)
-    ref = reference if isinstance(reference, ReferenceProfile) else reference_profile(reference, features)
-    cur = reference_profile(current, features)
-    ref_tot, ref_counts = ref.totals, ref.counts
-    cur_tot = cur.totals.withColumnsRenamed({"n_ref": "n_cur", "null_ref": "null_cur"})
-    cur_counts = cur.counts.withColumnRenamed("nr", "nc")
-    nulls = ref_tot.join(cur_tot.drop("pos"), "feature", "full").select(
-        F.coalesce(ref_tot["pos"], F.lit(None)).alias("pos"), "feature",
-        F.coalesce("n_ref", F.lit(0)).alias("n_ref"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"),
-        F.coalesce("null_ref", F.lit(0)).alias("null_ref"), F.coalesce("null_cur", F.lit(0)).alias("null_cur"))
-    counts = (ref_counts.select("feature", "value", "nr", F.lit(0).cast("long").alias("nc"))
-              .unionByName(cur_counts.select("feature", "value", F.lit(0).cast("long").alias("nr"), "nc"))
-              .groupBy("feature", "value").agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc")))
-    cum = running_sums(counts, ["feature"], ["value"], ["nr", "nc"], partitions=partitions)
-    # totals: one row per feature, broadcast
-    cum = cum.join(F.broadcast(nulls.select("feature", "n_ref", "n_cur")), "feature")
-    # an all-null side has no distribution: its gap is null, so D and p are null and nothing is flagged
-    gap = F.abs(F.try_divide("cum_nr", "n_ref") - F.try_divide("cum_nc", "n_cur"))
-    d = cum.groupBy("feature").agg(F.max(gap).alias("d"))
-    return nulls.join(d, "feature", "left").select("pos", "feature", "d", "n_ref", "n_cur", "null_ref", "null_cur")
+    found = ks_brackets(reference, current, features)
+    bounds, totals = found.bounds, found.totals
+    gaps = bounds.select("feature", "gap")
+    if bounds.where("undecided").head(1):
+        cum = running_sums(cut_lineage(found.undecided_values()), ["feature", "bracket"], ["value"], ["nr", "nc"], partitions=partitions)
+        # at most 2 * EDGES + 1 rows per feature, and one
+        cum = cum.join(F.broadcast(bounds.where("undecided").select("feature", "bracket", "before_r", "before_c")), ["feature", "bracket"]).join(
+            F.broadcast(totals.select("feature", "n_ref", "n_cur")), "feature")
+        inside = F.abs(F.try_divide(F.col("before_r") + F.col("cum_nr"), "n_ref") - F.try_divide(F.col("before_c") + F.col("cum_nc"), "n_cur"))
+        gaps = gaps.unionByName(cum.select("feature", inside.alias("gap")))
+    d = gaps.groupBy("feature").agg(F.max("gap").alias("d"))
+    return totals.join(d, "feature", "left").select("pos", "feature", "d", "n_ref", "n_cur", "null_ref", "null_cur")
 
 
 def ks_critical_d(alpha: float = DRIFT_P_THRESHOLD):

@@ -277,33 +277,59 @@ def histogram(df: DataFrame, columns: list[str], bins: int | dict[str, int] = HI
 
 
 KDE_REACH = 9.0
+KDE_CELL = 0.25  # of a bandwidth
+KDE_MOMENTS = 12
+
+
+def _hermite(order: int) -> list[list[int]]:
+    """Coefficients (lowest power first) of the probabilists' Hermite polynomials He_0 .. He_{order - 1}."""
+    out = [[1], [0, 1]]
+    while len(out) < order:
+        n = len(out) - 1
+        shifted, earlier = [0, *out[-1]], [*out[-2], 0, 0]
+        out.append([a - n * b for a, b in zip(shifted, earlier)])
+    return out[:order]
 
 
 def kde_curve(df: DataFrame, columns: list[str], points: int = KDE_GRID_POINTS) -> DataFrame:
     """Gaussian KDE (Scott bandwidth std * n^-1/5) on ``points`` grid points
-    from min to max. Distinct values are counted first; each then adds its
-    weighted kernel to the grid points within ``KDE_REACH`` bandwidths, inside the
-    partial aggregate. Returns (feature, i, x, density).
+    from min to max. Returns (feature, i, x, density).
+
+    A fast Gauss transform: values fall into cells of ``KDE_CELL`` bandwidths and a
+    cell keeps the sums of the first ``KDE_MOMENTS`` powers of s, the distance from its
+    centre in bandwidths, all in the partial aggregate. At distance t from the centre
+    the cell adds exp(-t^2/2) * sum_k He_k(t) * sum(s^k) / k!, to grid points within ``KDE_REACH``
+    bandwidths. What is cut off is at most 1.09 * |s|^k / sqrt(k!) per value from k = 12 on, |s| <= 1/8:
+    below 1e-15 of a kernel's peak. Cells number range / bandwidth * 4, which grows
+    as n^1/5 and not with the distinct values.
     """
     long = unpivot_numeric(df, columns).where(F.col("value").isNotNull())
     stats = long.groupBy("feature").agg(
         F.min("value").alias("vmin"), F.max("value").alias("vmax"), F.count(F.lit(1)).alias("N"),
         F.stddev_samp("value").alias("sd"))
-    stats = stats.withColumn("bw", F.col("sd") * F.pow(F.col("N").cast("double"), F.lit(-0.2)))
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
     step = (F.col("vmax") - F.col("vmin")) / F.lit(float(points - 1))
-    # beyond REACH bandwidths a kernel is below the rounding error of a double: values add to near points only
-    reach = F.lit(KDE_REACH) * F.col("bw")
-    first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach - F.col("vmin")) / F.col("step")))
-    last = F.least(F.lit(points - 1), F.floor((F.col("value") + reach - F.col("vmin")) / F.col("step")))
-    stats = stats.withColumn("step", step).where("bw > 0 AND step > 0")
-    near = counts.join(F.broadcast(stats), "feature").withColumns({"first": first, "last": last}).where("first <= last")
-    expanded = near.select("feature", "value", "c", "vmin", "bw", "step",
-                           F.explode(F.sequence(F.col("first").cast("int"), F.col("last").cast("int"))).alias("i"))
-    x = F.col("vmin") + F.col("i") * F.col("step")
-    z = (x - F.col("value")) / F.col("bw")
-    contrib = F.col("c") * F.exp(F.lit(-0.5) * z * z)
-    dens = expanded.groupBy("feature", "i").agg(F.sum(contrib).alias("s"))
+    # one row per feature; without spread there is no curve
+    stats = cut_lineage(stats.withColumn("bw", F.col("sd") * F.pow(F.col("N").cast("double"), F.lit(-0.2))).withColumn("step", step).where("bw > 0 AND step > 0"))
+    width = F.col("bw") * F.lit(KDE_CELL)
+    placed = long.join(F.broadcast(stats), "feature").withColumn("cell", F.floor((F.col("value") - F.col("vmin")) / width))
+    s = placed.select("feature", "cell", ((F.col("value") - F.col("vmin")) / F.col("bw") - (F.col("cell") + 0.5) * F.lit(KDE_CELL)).alias("s"))
+    powers = [F.expr("double(count(1)) AS m0")] + [F.expr(f"sum({' * '.join(['s'] * k)}) AS m{k}") for k in range(1, KDE_MOMENTS)]
+    cells = s.groupBy("feature", "cell").agg(*powers)
+    near = cells.join(F.broadcast(stats), "feature").withColumn("centre", F.col("vmin") + (F.col("cell") + 0.5) * width)
+    # beyond REACH bandwidths a kernel is below the rounding error of a double: cells add to near points only
+    reach = F.lit(KDE_REACH + KDE_CELL) * F.col("bw")
+    first = F.greatest(F.lit(0), F.ceil((F.col("centre") - reach - F.col("vmin")) / F.col("step")))
+    last = F.least(F.lit(points - 1), F.floor((F.col("centre") + reach - F.col("vmin")) / F.col("step")))
+    near = near.withColumns({"first": first, "last": last}).where("first <= last")
+    t = (F.col("vmin") + F.col("i") * F.col("step") - F.col("centre")) / F.col("bw")
+    at = near.withColumn("i", F.explode(F.sequence(F.col("first").cast("int"), F.col("last").cast("int")))).withColumn("t", t)
+    terms = []
+    for k, coefficients in enumerate(_hermite(KDE_MOMENTS)):
+        horner = repr(float(coefficients[-1])) + "D"
+        for c in reversed(coefficients[:-1]):
+            horner = f"({horner} * t + {float(c)!r}D)"
+        terms.append(f"{horner} * (m{k} / {float(math.factorial(k))!r}D)")
+    dens = at.groupBy("feature", "i").agg(F.expr(f"sum(exp(-0.5D * t * t) * ({' + '.join(terms)})) AS s"))
     norm = F.col("N") * F.col("bw") * F.lit(math.sqrt(2.0 * math.pi))
     grid = stats.select("feature", "vmin", "step", "bw", "N", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     return grid.join(dens, ["feature", "i"], "left").select(

@@ -9,11 +9,29 @@ and add the totals of all earlier partitions from a small offsets table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+def constant_array(edges: DataFrame) -> Column:
+    """The array column ``edges`` of a one-row table as a constant, so that rows do not carry it along.
+
+    For arrays of bounded size. It passes the driver as JSON; what a bracket's
+    edges lose on the way (a timestamp's last digits, say) moves the bracket, not a result.
+    """
+    kind = edges.schema["edges"].dataType.simpleString()
+    text = edges.select(F.to_json(F.struct("edges"))).first()[0]
+    return F.from_json(F.lit(text), f"edges {kind}")["edges"]
+
+
+def below(value: Column, edges: Column, bits: int) -> Column:
+    """How many of the ascending ``edges`` (an array of at most 2^bits - 1) are smaller than ``value``; 0 for null."""
+    steps = F.array(*[F.lit(1 << b) for b in range(bits - 1, -1, -1)])
+    # past the end get() is null, and the step is not taken
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(edges, at + step - 1) < value, at + step).otherwise(at))
+
+
 def running_sums(df: DataFrame, group_cols: list[str], order_cols: list[str], sum_cols: list[str],
                  prefix: str = "cum_", partitions: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: inclusive running sum of ``c`` within the group, in order.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schema import CV_FOLDS, KEY_COLUMN, MSG_INDEX_RANGE, SPLIT_SEED, TEST_PERCENT
 from ..session import cut_lineage
+from .running import below, constant_array
 
 def hash_unit(key, salt: str, hex_digits: int = 8) -> Column:
     """Unsigned integer from the first ``hex_digits`` of md5(key || salt)."""
@@ -76,12 +77,53 @@ def with_row_index(df: DataFrame, order_by: list[str] | str = KEY_COLUMN, name:
     return out.drop("__pid", "__mid", "__off", "__m0")
 
 
+#: Ranges of the key between sampled edges; a lookup sorts and writes only the ranges that hold wanted positions.
+RANGES = 4096
+RANGE_BITS = 13
+
+
+def key_ranges(df: DataFrame, key: str, population: int) -> DataFrame:
+    """One row ``edges``: every fourth of about 4 * RANGES sampled keys, ascending. They only set how even the ranges are."""
+    sampled = df.select(F.col(key).alias("k")).where(F.rand(SPLIT_SEED) < F.lit(min(1.0, 4.0 * RANGES / max(population, 1))))
+    # the sample's size does not grow with the table
+    keys = sampled.agg(F.sort_array(F.collect_set("k")).alias("keys"))
+    return cut_lineage(keys.select(F.filter("keys", lambda k, i: i % 4 == 3).alias("edges")))
+
+
+def rows_at(df: DataFrame, wanted: DataFrame, key: str, population: int) -> DataFrame:
+    """``df``'s columns and those of ``wanted``: the rows at the positions ``wanted.row_id`` in the order of ``key``.
+
+    A sample of the key cuts it into ranges, one pass over the key column counts
+    their rows, and only the ranges that hold a wanted position are read whole, sorted and numbered.
+    """
+    ranged = "__range"
+
+    key_edges = constant_array(key_ranges(df, key, population))
+
+    def located(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(ranged, below(F.col(key), key_edges, RANGE_BITS))
+
+    counts = cut_lineage(located(df.select(key)).groupBy(ranged).agg(F.count(F.lit(1)).alias("__n")))
+    # at most 2^RANGE_BITS rows from here on to ``hit``
+    before = Window.orderBy(ranged).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    starts = cut_lineage(starts)
+    upto = constant_array(starts.agg(F.sort_array(F.collect_list("__start")).alias("edges")))
+    first = F.get(upto, below(F.col("row_id") + 1, upto, RANGE_BITS) - 1)
+    hit = starts.join(wanted.select(first.alias("__start")).distinct(), "__start")
+    hit = cut_lineage(hit.withColumn("__skipped", F.col("__start") - F.coalesce(F.sum("__n").over(before), F.lit(0))))
+    near = located(df).join(F.broadcast(hit.select(ranged, "__skipped")), ranged)
+    numbered = with_row_index(near, [ranged, key]).withColumn("row_id", F.col("row_id") + F.col("__skipped"))
+    return numbered.join(wanted, "row_id").select(*df.columns, *wanted.columns)
+
+
 def row_lookup(df: DataFrame, index: int, order_by: str = KEY_COLUMN) -> DataFrame:
     """The row at 0-based position ``index`` in key order; bounds are checked."""
     n = df.count()
     if index < 0 or index >= n:
         raise IndexError(MSG_INDEX_RANGE.format(last=n - 1))
-    return with_row_index(df, order_by).where(F.col("row_id") == F.lit(index))
+    wanted = df.sparkSession.range(1).select(F.lit(index).cast("bigint").alias("row_id"))
+    return rows_at(df, wanted, order_by, n)
 
 
 def draw_positions(spark, n: int, population: int, seed: int) -> DataFrame:
@@ -97,14 +139,12 @@ def bootstrap_sample(df: DataFrame, n: int, seed: int | None = SPLIT_SEED, key:
 
     Positions are those of the rows in key order (rows that share a key are told
     apart by a hash of the whole row), so a repeated key neither multiplies nor
-    hides rows. Draws meet the indexed rows by position; Spark broadcasts them
-    when they are small. ``seed=None`` draws a fresh seed once on the driver.
+    hides rows. Only the key ranges that hold a drawn position are sorted (``rows_at``). ``seed=None`` draws a fresh seed once on the driver.
     """
     if seed is None:
         seed = random.SystemRandom().randrange(1 << 30)
-    index = with_row_index(df, key)
-    population = index.count()
+    population = df.count()
     if population == 0:
         raise ValueError("cannot sample from an empty table")
     draws = draw_positions(df.sparkSession, n, population, seed)
-    return index.join(draws, "row_id").select("draw_id", *df.columns)
+    return rows_at(df, draws, key, population).select("draw_id", *df.columns)

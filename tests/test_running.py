@@ -5,8 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scorecast.operators.running import exact_quantiles, running_sums
+from scorecast.operators.running import below, exact_quantiles, running_sums
 from scorecast.operators.sampling import bootstrap_sample, with_row_index
+from scorecast.session import cut_lineage
 
 
 @pytest.fixture(scope="module")
@@ -83,3 +84,34 @@ def test_assert_no_nulls_after_imputation(spark):
     with pytest.raises(AssertionError):
         assert_no_nulls(df)
     assert_no_nulls(impute(df, Preparer().fit(df).fills))
+
+
+def test_below_counts_smaller_edges(spark):
+    edges = [1.0, 1.0, 2.5, 7.0]
+    df = spark.createDataFrame([(v,) for v in (None, 0.0, 1.0, 1.5, 2.5, 6.9, 7.0, 7.1, 1e9)], "v double")
+    got = df.select(below(F.col("v"), F.array(*map(F.lit, edges)), 4)).toPandas().iloc[:, 0].tolist()
+    assert got == [0, 0, 0, 2, 2, 3, 3, 4, 4]
+    assert df.select(below(F.col("v"), F.array().cast("array<double>"), 4).alias("b")).distinct().collect() == [(0,)]
+
+
+def test_positions_sort_only_the_ranges_that_are_hit(spark, monkeypatch):
+    from scorecast.operators import sampling
+
+    n = 60_000
+    # a third of the rows share one key; some keys are null
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit("k5")).when(F.col("id") % 1000 == 1, F.lit(None))
+                               .otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), "id")
+    keys = sorted((r["k"] is not None, r["k"] or "") for r in df.collect())
+    written = []
+    monkeypatch.setattr(sampling, "cut_lineage", lambda x: written.append(cut_lineage(x)) or written[-1])
+    wanted = [0, 1, 55, 20_100, 59_000, 59_999]
+    rows = sampling.rows_at(df, spark.createDataFrame([(w,) for w in wanted + [1]], "row_id long"), "k", n).collect()
+    assert sorted(r["row_id"] for r in rows) == sorted(wanted + [1])
+    assert all((r["k"] is not None, r["k"] or "") == keys[r["row_id"]] for r in rows)
+    assert len({r["id"] for r in rows}) == len(wanted)
+    # edges, counts, hit ranges and the numbered rows of six ranges of about n / 4096
+    assert written[-1].count() < 0.02 * n and all(x.count() < 5_000 for x in written)
+    # a position in the hot key costs that key's rows, and no others
+    written.clear()
+    hot = sampling.rows_at(df, spark.createDataFrame([(45_000,)], "row_id long"), "k", n).collect()
+    assert [(r["k"] is not None, r["k"] or "") for r in hot] == [keys[45_000]]
