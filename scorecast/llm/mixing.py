@@ -29,7 +29,7 @@ to rounding on the way.
 
 Defined cases: null text has size 0 and nothing is taken of it; a null source is
 a source of its own, the last; rows that repeat or share a ``doc_id`` are
-documents of their own (numbered within equal rows); an empty table gives an
+documents of their own (numbered within equal texts of an id); an empty table gives an
 empty result; other columns are not read.
 """
 
@@ -72,7 +72,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, total_share: float = 1.5,
 
 def _fold(level: int, seed: int) -> str:
     """SQL of the pivotal steps within one node: array<(key, s, x)> -> decided and the one undecided."""
-    item = "struct<key: bigint, doc_id: bigint, row: int, s: bigint, x: bigint>"
+    item = "struct<key: bigint, doc_id: bigint, of: bigint, row: int, s: bigint, x: bigint>"
     # a is the undecided one so far, b the next; up moves words from b to a, down from a to b
     step = f"""
       named_struct('done', acc.done, 'a', acc.a, 'b', b,
@@ -81,8 +81,8 @@ def _fold(level: int, seed: int) -> str:
     # after the move exactly one of the two is 0 or full; it is done and the other goes on
     moved = """
       named_struct('done', t.done,
-        'a', named_struct('key', t.a.key, 'doc_id', t.a.doc_id, 'row', t.a.row, 's', t.a.s, 'x', if(t.coin * (t.up + t.down) < t.down, t.a.x + t.up, t.a.x - t.down)),
-        'b', named_struct('key', t.b.key, 'doc_id', t.b.doc_id, 'row', t.b.row, 's', t.b.s, 'x', if(t.coin * (t.up + t.down) < t.down, t.b.x - t.up, t.b.x + t.down)))"""
+        'a', named_struct('key', t.a.key, 'doc_id', t.a.doc_id, 'of', t.a.of, 'row', t.a.row, 's', t.a.s, 'x', if(t.coin * (t.up + t.down) < t.down, t.a.x + t.up, t.a.x - t.down)),
+        'b', named_struct('key', t.b.key, 'doc_id', t.b.doc_id, 'of', t.b.of, 'row', t.b.row, 's', t.b.s, 'x', if(t.coin * (t.up + t.down) < t.down, t.b.x - t.up, t.b.x + t.down)))"""
     out = """
       if(m.a.x = 0 OR m.a.x = m.a.s,
          named_struct('done', array_append(m.done, m.a), 'a', m.b),
@@ -103,7 +103,7 @@ def pivotal(rows: DataFrame, levels: int, seed: int) -> DataFrame:
     source. ``node`` numbers the leaves of a source's tree; ``levels`` is how
     often the node numbers are divided by ``NODE`` before one node is left.
     """
-    fields = ["key", "doc_id", "row", "s", "x"]
+    fields = ["key", "doc_id", "of", "row", "s", "x"]
     decided = []
     for level in range(levels):
         nodes = rows.groupBy("source", "node").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("items"))
@@ -120,18 +120,21 @@ def pivotal(rows: DataFrame, levels: int, seed: int) -> DataFrame:
 
 
 def _numbered(docs: DataFrame, *more) -> DataFrame:
-    """``doc_id, source, size, of, row`` and ``more``: documents that share an id are numbered by source, size and text."""
+    """``doc_id, source, size, of, row`` and ``more``: documents that share id and text (by its hash ``of``) are numbered by source.
+
+    Rows without an id so meet by their texts, and one id for many texts is no hot key either.
+    """
     count = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                         count.alias("size"), F.xxhash64("text").alias("of"), *more)
-    return sized.withColumn("row", F.row_number().over(W.partitionBy("doc_id").orderBy("source", "size", "of")))
+    return sized.withColumn("row", F.row_number().over(W.partitionBy("doc_id", "of").orderBy("source")))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, total_share: float = 1.5, max_copies: float = 2.0, seed: int = 7) -> DataFrame:
-    """``doc_id, row, source, size, source_size, target, copies, taken`` per document.
+    """``doc_id, of, row, source, size, source_size, target, copies, taken`` per document.
 
-    ``copies`` are whole copies and ``taken`` the words taken; ``row`` numbers
-    documents that share a ``doc_id`` (1 if none does). The words taken of a
+    ``copies`` are whole copies and ``taken`` the words taken; ``of`` is the text's hash and ``row``
+    numbers documents that share both it and ``doc_id`` (1 if none does). The words taken of a
     source differ from its target by less than one word, and a unit per document.
     """
     sized = scratch(_numbered(docs), "mix-sizes")
@@ -149,16 +152,16 @@ def mix(docs: DataFrame, weights=WEIGHTS, total_share: float = 1.5, max_copies:
         return df.withColumn("rate", rate).withColumn("copies", F.floor("rate"))
 
     rated = with_targets(sized).withColumns({
-        "key": F.xxhash64("doc_id", "row"), "s": F.col("size") * UNIT,
+        "key": F.xxhash64("doc_id", "of", "row"), "s": F.col("size") * UNIT,
         "x": F.floor((F.col("rate") - F.col("copies")) * F.col("size") * UNIT)})
-    rated = scratch(rated.select("source", "key", "doc_id", "row", "s", "x", "docs"), "mix-rated")
+    rated = scratch(rated.select("source", "key", "doc_id", "of", "row", "s", "x", "docs"), "mix-rated")
     fractional = (F.col("x") > 0) & (F.col("x") < F.col("s"))
     leaves = rated.where(fractional).withColumn("node", F.pmod("key", F.ceil(F.col("docs") / NODE)))
     rounded = pivotal(leaves.drop("docs"), levels, seed)
-    out = with_targets(rated.where(~fractional).select("source", "doc_id", "row", "s", "x").unionByName(rounded))
+    out = with_targets(rated.where(~fractional).select("source", "doc_id", "of", "row", "s", "x").unionByName(rounded))
     size = (F.col("s") / UNIT).cast("long")
     whole = F.when((F.col("s") > 0) & (F.col("x") == F.col("s")), 1).otherwise(0)
-    return out.select("doc_id", "row", "source", size.alias("size"), "source_size", "target",
+    return out.select("doc_id", "of", "row", "source", size.alias("size"), "source_size", "target",
                       (F.col("copies") + whole).cast("int").alias("copies"),
                       (F.col("copies") * size + F.floor(F.col("x") / UNIT)).cast("long").alias("taken"))
 
@@ -168,9 +171,9 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
 
     A source's partly taken document ends with a copy of its taken words, joined by one blank.
     """
-    chosen = mix(docs, **settings).where("taken > 0").select("doc_id", "row", "size", "copies", "taken")
-    rows = _numbered(docs, F.struct(*docs.columns).alias("doc")).drop("size", "source", "of")
-    both = rows.join(chosen, rows.doc_id.eqNullSafe(chosen.doc_id) & (rows.row == chosen.row)).drop("doc_id", "row")
+    chosen = mix(docs, **settings).where("taken > 0").select("doc_id", "of", "row", "size", "copies", "taken")
+    rows = _numbered(docs, F.struct(*docs.columns).alias("doc")).drop("size", "source")
+    both = rows.join(chosen, rows.doc_id.eqNullSafe(chosen.doc_id) & (rows.of == chosen.of) & (rows.row == chosen.row)).drop("doc_id", "of", "row")
     rest = F.col("taken") - F.col("copies") * F.col("size")
     times = F.array_repeat(F.lit(None).cast("long"), F.col("copies"))
     times = F.when(rest > 0, F.array_append(times, rest)).otherwise(times)

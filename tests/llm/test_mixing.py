@@ -108,3 +108,14 @@ def test_no_python_in_the_plan(spark):
     plan = M.mix(spark.read.parquet(f"{SF_MID}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert F.lit(1) is not None
+
+
+def test_rows_without_an_id_are_numbered_within_equal_texts(spark):
+    docs = [(None, "ab"[i % 2], prose(i, 3 + i % 20)) for i in range(150)] + [(None, "a", "one and the same")] * 40 + [(7, "b", prose(i, 9)) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    rows = M.mix(df).collect()
+    assert len(rows) == len(docs) == len({(r["doc_id"], r["of"], r["row"]) for r in rows})
+    assert sum(r["row"] > 1 for r in rows) == 39  # only the repeated text needs numbers
+    check(rows, docs)
+    taken = sum(r["taken"] for r in rows)
+    assert sum(words(r["text"]) for r in M.mixed_documents(df).collect()) == taken
