@@ -3,12 +3,21 @@ r"""Main text of pages by equivalence-class template deduction.
 A page is a sequence of tokens: element starts, named by their path from the root
 (tag, classes and id without digits), and runs of text, named by path and text.
 Within a host, a token's *occurrence vector* says how often it stands on each
-page; tokens with equal vectors form an equivalence class. A class is valid -
-part of what generates the pages - if it stands on at least ``SUPPORT`` of the
-host's pages; this frequency threshold stands for a test of order and nesting, and
-classes of rarer page types are not seen. Named by path, valid classes nest by their
-paths and together form the host's template. What is left are the
-slots: the text below a template element.
+page; tokens with equal vectors form an equivalence class. The class of the most
+pages whose tokens stand there once is the host's root; those of its tokens that keep
+their order cut a page into slots. A class is valid - part of what generates the pages - if
+
+* ordered: its tokens t1..tm follow each other as (t1 .. tm)(t1 .. tm)... in the same
+  order on every page that holds them, and
+* nested: a round t1 .. tm lies in one slot of the root, or spans the same tokens of the
+  root on all those pages; then its parts in different slots are classes of their own.
+
+Tokens that break a rule become classes of one, which keep both. Valid classes are
+template if they stand on ``SUPPORT`` of the host's pages, or if they show a rarer
+page type: ``LARGE`` tokens or more, an element among them (passages that articles
+share are text alone), on ``TYPE_SUPPORT`` of the pages. Named by path, template
+classes nest by their paths. What is left are the slots: the text below a template
+element.
 
 Per host the template keeps
 
@@ -37,9 +46,14 @@ under ``article`` or ``main`` are the main text.
 Vectors are compared by hash: every page adds hash(page, count) of each of its
 tokens with exclusive or, so a host's pages are never gathered - a batch sends one
 row per host and token, whatever the size of the host - and a class is a group
-of equal sums. A host's template has at most as many tokens as fit its pages
-``1 / SUPPORT`` times over. It is joined to the pages by host, by broadcast when
-all templates are small and else by a join whose large hosts Spark splits.
+of equal sums. Order is compared by hash in a second pass: at the j-th occurrence of a
+token, the sum of its class's tokens so far less j - 1 times the sum of the whole class is the
+sum of those before it in its round, the same everywhere if the class is ordered; a
+minimum and a maximum per token decide. For slots every token keeps, as bits, the root's
+tokens that stand between its round's start and some or all of its occurrences. A host's template
+has at most as many tokens as fit its pages ``1 / TYPE_SUPPORT`` times over. It is
+joined to the pages by host, by broadcast when all templates are small and else by a
+join whose large hosts Spark splits.
 
 Text: character references are decoded, white space in a block becomes one blank,
 blocks are trimmed and joined in page order by an empty line.
@@ -65,12 +79,16 @@ from pyspark.sql import functions as F
 from .shared import prepared, scratch
 
 SUPPORT = 0.5
+TYPE_SUPPORT = 0.02  # of a page type with markup of its own; bounds a host's template
+LARGE = 3
 PAGES = 5
 MAIN_PAGES = 8  # of CELLS: a constant needs more pages where the markup says main text
 CELLS = 63
 OUTWEIGH = 2
 DEPTH = 64
 SALTS = 64
+BITS = 63  # root tokens per long
+MASKS = 100_000  # rows of a broadcast
 
 #: Element names and the words by which boilerplate names itself.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -260,13 +278,13 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url.cast("string"), r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-TOKENS = "host string, token long, pages long, vector long, text boolean, main boolean, seen long, chars long, linked long"
+TOKENS = "host string, token long, pages long, vector long, text boolean, main boolean, seen long, chars long, linked long, most long"
 TEMPLATE = "paths array<long>, constants array<long>, links array<long>"
 
 
 def tokens(pages: DataFrame) -> DataFrame:
-    """Per host and token: pages, the vector's hash, the cells of its different pages, and for elements the text in them
-    and the linked part of it."""
+    """Per host and token: pages, the vector's hash, the cells of its different pages, for elements the text in them
+    and the linked part of it, and the most occurrences on a page."""
 
     def counted(batches):
         row = TaskContext.get().partitionId() << 40
@@ -290,32 +308,136 @@ def tokens(pages: DataFrame) -> DataFrame:
                 cell = 1 << page_text.intdigest() % CELLS
                 count[0] = [1, False, False, 0, 0]
                 for token, (n, is_text, main, chars, linked) in count.items():
-                    one = sums.setdefault((host, token), [0, 0, is_text, main, 0, 0, 0])
+                    one = sums.setdefault((host, token), [0, 0, is_text, main, 0, 0, 0, 0])
                     one[0] += 1
                     one[1] ^= _h(f"{row}:{n}")
                     one[4] |= cell
                     one[5] += chars
                     one[6] += linked
+                    one[7] = max(one[7], n)
             yield pd.DataFrame([(h, t, *x) for (h, t), x in sums.items()], columns=[x.split()[0] for x in TOKENS.split(", ")])
 
     return pages.mapInPandas(counted, TOKENS).groupBy("host", "token", "text").agg(
-        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.max("main").alias("main"), F.bit_or("seen").alias("seen"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.max("main").alias("main"), F.bit_or("seen").alias("seen"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"),
+        F.max("most").alias("most"))
+
+
+def _template_like(support: float):
+    """Condition on ``pages, of, seen, members``: frequent on the host, or a page type with markup of its own."""
+    page_type = (F.size("members") >= LARGE) & F.exists("members", lambda m: ~m["text"]) & (F.bit_count("seen") >= PAGES)
+    return (F.col("pages") >= support * F.col("of")) | page_type & (F.col("pages") >= TYPE_SUPPORT * F.col("of"))
 
 
 def classes(counted: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """``host, vector, pages, of, seen, members``: the valid equivalence classes; ``of`` is the host's number of pages."""
+    """``host, vector, pages, of, seen, most, members``: equivalence classes by vector that can be template; ``of`` is the host's number of pages."""
     # a host's tokens grow with its pages: they meet its total in SALTS parts
     total = counted.where("token = 0").select("host", F.col("pages").alias("of"), F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("salt"))
     salted = counted.where("token <> 0").withColumn("salt", F.pmod("token", F.lit(SALTS)).cast("int"))
-    frequent = salted.join(total, ["host", "salt"]).where(F.col("pages") >= support * F.col("of"))
-    return frequent.groupBy("host", "vector", "pages", "of").agg(
-        F.bit_or("seen").alias("seen"),
+    often = (F.col("pages") >= support * F.col("of")) | (F.col("pages") >= TYPE_SUPPORT * F.col("of")) & (F.bit_count("seen") >= PAGES)
+    frequent = salted.join(total, ["host", "salt"]).where(often)
+    found = frequent.groupBy("host", "vector", "pages", "of").agg(
+        F.bit_or("seen").alias("seen"), F.max("most").alias("most"),
         F.collect_list(F.struct("token", "text", "main", "chars", "linked")).alias("members"))
+    return found.where(_template_like(support))
+
+
+def placements(page: str, vectors: dict, sums: dict, root: dict) -> dict:
+    """Per token of a class on the page: least and greatest place in its class's round, and the root tokens, as bits, that stand
+    between the round's start and some or every occurrence (None on pages without the root). ``sums`` has the sum of each
+    class's tokens."""
+    before = dict.fromkeys(sums, 0)
+    began: dict[int, tuple] = {}
+    count: dict[int, int] = {}
+    out: dict[int, list] = {}
+    bits = 0
+    for element, text, _ in walk(page):
+        token = _h(element.path) if text is None else _text_token(element.path, text)
+        vector = vectors.get(token)
+        if vector is None:
+            continue
+        j = count.get(token, 0)
+        count[token] = j + 1
+        place = (before[vector] - j * sums[vector]) % (1 << 64) - (1 << 63)
+        before[vector] += token
+        if began.get(vector, (-1, 0))[0] < j:
+            began[vector] = j, bits
+        between = bits ^ began[vector][1]
+        one = out.get(token)
+        if one is None:
+            out[token] = [place, place, between, between]
+        else:
+            one[:] = min(one[0], place), max(one[1], place), one[2] | between, one[3] & between
+        bits |= root.get(token, 0)
+    if not bits:
+        for one in out.values():
+            one[2:] = None, None
+    return out
+
+
+PLACES = "host string, token long, first long, last long, chunk int, some long, every long"
+
+
+def valid_classes(pages: DataFrame, found: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """``found`` with its classes tested for order and nesting on all pages: ``host, vector, pages, of, seen, members``."""
+    in_class = F.array_sort(F.col("members").getField("token"))
+    # the root: tokens that stand once on the most pages
+    root = F.max(F.when(F.col("most") == 1, F.struct("pages", F.size("members").alias("n"), "vector", in_class.alias("tokens")))).getField("tokens")
+    of_host = found.groupBy("host").agg(F.collect_list(F.struct("vector", in_class.alias("tokens"))).alias("c"), root.alias("root"))
+    of_host = of_host.select("host", F.coalesce("root", F.expr("cast(array() AS array<bigint>)")).alias("root"),
+                             F.expr("flatten(transform(c, x -> x.tokens))").alias("tokens"),
+                             F.expr("flatten(transform(c, x -> array_repeat(x.vector, size(x.tokens))))").alias("vectors"))
+    of_host = scratch(of_host, "html-hosts")
+
+    def placed(batches):
+        for pdf in batches:
+            known: dict[str, tuple] = {}
+            ends: dict[tuple, list] = {}
+            for host, page, root, of_tokens, of_vectors in zip(pdf["host"], pdf["html"], pdf["root"], pdf["tokens"], pdf["vectors"]):
+                if host not in known:
+                    vectors = dict(zip(map(int, of_tokens), map(int, of_vectors)))
+                    sums: dict[int, int] = {}
+                    for token, vector in vectors.items():
+                        sums[vector] = sums.get(vector, 0) + token
+                    known[host] = vectors, sums, {int(t): 1 << i for i, t in enumerate(root)}
+                for token, (first, last, some, every) in placements(page or "", *known[host]).items():
+                    one = ends.get((host, token))
+                    if one is None:
+                        ends[host, token] = [first, last, some, every]
+                        continue
+                    one[0], one[1] = min(one[0], first), max(one[1], last)
+                    if some is not None:
+                        one[2], one[3] = (some, every) if one[2] is None else (one[2] | some, one[3] & every)
+            out = []
+            for (host, token), (first, last, some, every) in ends.items():
+                for chunk in range(max(1, -(-len(known[host][2]) // BITS))):
+                    cut = [None if x is None else x >> chunk * BITS & (1 << BITS) - 1 for x in (some, every)]
+                    out.append((host, token, first, last, chunk, *cut))
+            yield pd.DataFrame(out, columns=[x.split()[0] for x in PLACES.split(", ")], dtype=object)
+
+    rows = pages.join(of_host, "host").select("host", "html", "root", "tokens", "vectors")
+    at = rows.mapInPandas(placed, PLACES).groupBy("host", "token", "chunk").agg(
+        (F.min("first") == F.max("last")).alias("ordered"), F.bit_or("some").alias("some"), F.bit_and("every").alias("every"))
+    at = scratch(at, "html-places")
+    # slots lie between the root's tokens that keep their order
+    of_root = of_host.select("host", F.posexplode("root").alias("i", "token"))
+    steady = of_root.join(at.where("chunk = 0 AND ordered").select("host", "token"), ["host", "token"])
+    mask = steady.groupBy("host", F.expr(f"cast(i DIV {BITS} AS int)").alias("chunk")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, i % {BITS})")).alias("mask"))
+    mask = F.broadcast(mask) if mask.count() <= MASKS else mask
+    slotted = at.join(mask, ["host", "chunk"], "left").withColumn("mask", F.coalesce("mask", F.lit(0).cast("long")))
+    some, every = F.col("some").bitwiseAND(F.col("mask")), F.col("every").bitwiseAND(F.col("mask"))
+    one = slotted.groupBy("host", "token").agg(F.min(F.col("ordered") & some.eqNullSafe(every)).alias("kept"), F.bit_xor(F.xxhash64("chunk", every)).alias("slot"))
+    member = found.select("host", "vector", "pages", "of", "seen", F.explode("members").alias("m")).withColumn("token", F.col("m.token"))
+    kept = F.col("kept")
+    return member.join(one, ["host", "token"]).groupBy(
+        "host", "vector", "pages", "of", "seen", F.when(kept, F.col("slot")).alias("slot"), F.when(~kept, F.col("token")).alias("alone")).agg(
+        F.collect_list("m").alias("members")).where(_template_like(support)).drop("slot", "alone")
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """``host, paths, constants, links``: one row per host."""
-    valid = classes(scratch(tokens(pages), "html-tokens"))
+    found = scratch(classes(scratch(tokens(pages), "html-tokens")), "html-classes")
+    valid = valid_classes(pages, found)
     member = valid.select("host", F.bit_count("seen").alias("cells"), F.explode("members").alias("m")).select("host", "cells", "m.*")
     constant = F.col("text") & (F.col("cells") >= F.when(F.col("main"), MAIN_PAGES).otherwise(PAGES))
     return member.groupBy("host").agg(

@@ -120,6 +120,92 @@ def test_classes_have_equal_vectors(spark):
     assert sorted([H._h(">i"), H._text_token(">i", "once")]) in found
 
 
+def two_page_types():
+    """48 story pages and 12 of a second type with markup and constants of its own, none of them named; the side box stands
+    before or after the body, and three paragraphs are shared by ten stories."""
+    shared = "".join(f"<p>Shared passage {k} of some agency.</p>" for k in range(3))
+    pages = []
+    for i in range(60):
+        side = "<div class='x1'><p>Find us in town.</p></div>"
+        if i % 5:
+            body = f"<div class='story'><h1>Head {i}</h1><p>Story {i} tells more.</p>{shared if i % 6 == 1 else ''}<p>The end of story {i}.</p></div>"
+        else:
+            body = (f"<div class='ware'><div class='lead'>Our catalogue in brief</div><h1>Ware {i}</h1><p>Ware {i} is well made.</p><p>It lasts {i} years.</p>"
+                    "<div class='tail'><b>Order</b> by phone or letter</div></div>")
+        pages.append(f"<html><body><div class='top'>Our house</div>{side + body if i % 2 else body + side}<div class='low'>Since 1900</div></body></html>")
+    return pages
+
+
+def test_a_rarer_page_type_is_template(spark):
+    got = texts(spark, [(i, f"http://two.example/{i}", x) for i, x in enumerate(two_page_types())])
+    for i in range(60):
+        shared = "".join(f"Shared passage {k} of some agency.\n\n" for k in range(3)) if i % 6 == 1 else ""
+        want = f"Head {i}\n\nStory {i} tells more.\n\n{shared}The end of story {i}." if i % 5 else f"Ware {i}\n\nWare {i} is well made.\n\nIt lasts {i} years."
+        assert got[i]["text"] == want
+
+
+def brute_classes(pages):
+    """Valid classes by whole occurrence vectors, token sequences and slots."""
+    seqs = [[(e.path, t) for e, t, _ in H.walk(x)] for x in pages]
+    vector = {t: tuple(s.count(t) for s in seqs) for s in seqs for t in s}
+    by_vector = {}
+    for t, v in vector.items():
+        by_vector.setdefault(v, set()).add(t)
+
+    def on(v):
+        return sum(n > 0 for n in v)
+
+    def template(members, v):
+        large = len(members) >= H.LARGE and any(t is None for _, t in members) and on(v) >= max(H.PAGES, H.TYPE_SUPPORT * len(pages))
+        return on(v) >= H.SUPPORT * len(pages) or large
+
+    possible = {v: m for v, m in by_vector.items() if template(m, v)}
+
+    def places(members):
+        out = {}
+        for s in seqs:
+            seen = dict.fromkeys(members, 0)
+            for t in s:
+                if t in members:
+                    out.setdefault(t, set()).add(tuple(sorted((repr(u), seen[u] - seen[t]) for u in members)))
+                    seen[t] += 1
+        return out
+
+    root = possible[max((v for v in possible if max(v) == 1), key=lambda v: (on(v), len(possible[v])))]
+    steady = {t for t, at in places(root).items() if len(at) == 1}
+    valid = []
+    for v, members in possible.items():
+        at, slots = places(members), {}
+        for s in seqs:
+            seen, start = dict.fromkeys(members, 0), 0
+            for i, t in enumerate(s):
+                if t in members and root & set(s):
+                    start = i if seen[t] == max(seen.values()) else start
+                    seen[t] += 1
+                    slots.setdefault(t, set()).add(frozenset(steady & set(s[start:i])))
+        parts = {}
+        for t in members:
+            fit = len(at[t]) == 1 and len(slots.get(t, [0])) == 1
+            parts.setdefault((fit, frozenset(slots.get(t, [])) if fit else t), set()).add(t)
+        valid += [frozenset(m) for m in parts.values() if template(m, v)]
+    return sorted(valid, key=repr)
+
+
+def test_classes_equal_brute_force(spark):
+    for pages in (two_page_types(), ["<ul>" + "<li><i>a</i><b>x</b>" * (i % 4 + 1) + "</ul><b>y</b>" + "<i>q</i><u>r</u>" * (i % 3) for i in range(12)],
+                  ["<p>a</p><div>b</div>" if i % 2 else "<div>b</div><p>a</p>" for i in range(8)]):
+        df = spark.createDataFrame([(i, "http://b.example", x) for i, x in enumerate(pages)], SCHEMA).select(H.host_of(F.col("url")).alias("host"), "html")
+        df = df.repartition(5)
+        found = H.valid_classes(df, H.classes(H.tokens(df))).collect()
+        named = {H._h(e.path) if t is None else H._text_token(e.path, t): (e.path, t) for x in pages for e, t, _ in H.walk(x)}
+        got = sorted((frozenset(named[m["token"]] for m in r["members"]) for r in found), key=repr)
+        assert sorted(map(sorted_repr, got)) == sorted(map(sorted_repr, brute_classes(pages)))
+
+
+def sorted_repr(members):
+    return sorted(map(repr, members))
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     source = {r["page_id"]: r["html"] for r in pages.collect()}
