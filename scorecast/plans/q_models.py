@@ -7,8 +7,9 @@ import json
 
 from pyspark.sql import functions as F
 
-from ..operators.models.knn import build_knn_index, fold_scales, knn_neighbors, knn_predictions
+from ..operators.models.knn import build_knn_index, fold_scales, knn_neighbors, knn_predictions, neighbor_recall
 from ..operators.models.linear import LinearModel, gram_stats, lasso_from_stats, ridge_from_stats, standardize
+from ..operators.models.lsh import build_lsh_index, lsh_neighbors
 from ..operators.models.search import search_linear, search_trees
 from ..operators.score import score_requests
 from ..operators.validate import feature_array, validate_categories, validate_ranges, validate_vector
@@ -173,6 +174,31 @@ def q_knn_predict(spark, sf_dir):
                     rnd("pred_k5_distance", 4).alias("pred_distance"))
 
 
+def _lsh_found(tr, te):
+    scale = fold_scales(tr, FEATURE_COLUMNS, None)[-1]
+    index = build_lsh_index(tr, FEATURE_COLUMNS, TARGET_COLUMN, KEY_COLUMN, scale)
+    return cut_lineage(lsh_neighbors(index, te.select(KEY_COLUMN, *FEATURE_COLUMNS), 5, KEY_COLUMN)), scale
+
+
+@query("knn_lsh")
+def q_knn_lsh(spark, sf_dir):
+    """Approximate 5-NN predictions (uniform and 1/d) for every test row, by random projections with multi-probe buckets."""
+    tr, te = split_frames(spark, sf_dir)
+    nb, _ = _lsh_found(tr, te)
+    p = knn_predictions(nb, [5], ["uniform", "distance"], KEY_COLUMN)
+    return p.select(KEY_COLUMN, rnd("pred_k5_uniform", 4).alias("pred_uniform"), rnd("pred_k5_distance", 4).alias("pred_distance"))
+
+
+@query("knn_lsh_recall")
+def q_knn_lsh_recall(spark, sf_dir):
+    """Share of the exact 5 neighbours of all test rows that ``knn_lsh`` finds: one row."""
+    tr, te = split_frames(spark, sf_dir)
+    nb, scale = _lsh_found(tr, te)
+    index = build_knn_index(tr, FEATURE_COLUMNS, TARGET_COLUMN, KEY_COLUMN, "fold")
+    exact = cut_lineage(knn_neighbors(index, te.select(KEY_COLUMN, *FEATURE_COLUMNS), 5, {-1: scale}, qid=KEY_COLUMN))
+    return spark.createDataFrame([(exact.count(), float(neighbor_recall(nb, exact, KEY_COLUMN)))], "neighbours long, recall double")
+
+
 def _tree_query(spark, sf_dir, family):
     tr, te = split_frames(spark, sf_dir)
     pm, res, best = search_trees(tr.select(KEY_COLUMN, "fold", *FEATURE_COLUMNS, TARGET_COLUMN), family,
