@@ -21,14 +21,14 @@ LEAST_SHARE = 0.3  # of the probability that the predicted language must hold
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognised language; a missing label takes the prediction.
 
-    The model learns from the documents' own labels. A text is recognised if its log-probability
+    The model and the range learn from all labelled documents. A text is recognised if its log-probability
     per byte lies within the range of its language's labelled texts, so texts in a language that
     was not learned, or of random letters, go. Without any label nothing
     can be recognised and nothing is dropped.
     """
     ensure_workers_can_import(spark)
     labelled = docs.select("text", "lang", "doc_id")
-    model = langid.fit(labelled, key=F.col("doc_id"))
+    model = langid.fit(labelled, key=F.col("doc_id"), per_language=None)
     if not model.languages:
         return docs
     usual = langid.usual_text(labelled, model, key=F.col("doc_id"))

@@ -7,7 +7,8 @@ predicted and its share among all languages is the score.
 
 Fit. Labelled rows are sampled by a hash of their key so that about
 ``per_language`` documents of each language are kept whatever the table's size
-(this bounds the classifier's training rows; all words of those documents count).
+(this bounds the classifier's training rows; all words of those documents count); without
+``per_language`` all labelled rows are read, as the pipeline does.
 Their words are counted per language by Spark, and ``rounds`` EM steps, starting
 from the vocabulary's own scores, turn them into piece probabilities; each step
 is one distributed sum over the counted words.
@@ -91,7 +92,7 @@ class LanguageModel:
         return names, scores, far
 
 
-def fit(labelled: DataFrame, key: Column | None = None, path: str | None = None, per_language: int = PER_LANGUAGE,
+def fit(labelled: DataFrame, key: Column | None = None, path: str | None = None, per_language: int | None = PER_LANGUAGE,
         rounds: int = ROUNDS, seed: int = 13) -> LanguageModel:
     """Fit from ``text, lang`` rows; ``key`` is what the sampling hashes (the text by default)."""
     path = path or vocabulary_path()
@@ -115,7 +116,7 @@ def fit(labelled: DataFrame, key: Column | None = None, path: str | None = None,
     return LanguageModel(languages, p, path)
 
 
-def _sampled(labelled: DataFrame, key: Column | None, per_language: int, seed: int) -> tuple[list[str], DataFrame | None]:
+def _sampled(labelled: DataFrame, key: Column | None, per_language: int | None, seed: int) -> tuple[list[str], DataFrame | None]:
     """The labels, and ``text, model`` of the rows that the fit reads."""
     rows = prepared(labelled).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
                                      F.xxhash64(F.col("text") if key is None else key, F.lit(seed)).alias("of"))
@@ -124,13 +125,15 @@ def _sampled(labelled: DataFrame, key: Column | None, per_language: int, seed: i
     languages = sorted(known)
     if not languages:
         return [], None
+    if per_language is None:
+        per_language = max(known.values())
     share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, per_language / known[lang]))])
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
     return languages, rows.where((F.shiftrightunsigned("of", 1) / float(1 << 63)) <= share[F.col("lang")]).select("text", number[F.col("lang")].alias("model"))
 
 
-def usual_text(labelled: DataFrame, model: LanguageModel, key: Column | None = None, per_language: int = PER_LANGUAGE, seed: int = 13) -> np.ndarray:
-    """Per language, from the rows that the fit read: log-probability per byte, and its deviations by word and by text (per byte).
+def usual_text(labelled: DataFrame, model: LanguageModel, key: Column | None = None, per_language: int | None = None, seed: int = 13) -> np.ndarray:
+    """Per language, from all labelled rows (from the fit's sample of ``per_language``, if given): log-probability per byte, and its deviations by word and by text (per byte).
 
     The deviation by text is taken over texts of ``LONG`` words or more; languages without
     two such texts take the largest of the others, or ``LEAST_DEVIATION``.

@@ -125,3 +125,12 @@ def test_without_labels(spark):
 def test_numerals_are_no_letters():
     assert langid.letter_words("½ ²³ 12") == []
     assert langid.letter_words("Été, 5 fois_par") == ["été", "fois", "par"]
+
+
+def test_all_labelled_rows_can_be_read(spark):
+    """The pipeline's model and range come from every labelled row, not from a sample."""
+    from scorecast.llm import langid
+
+    rows = spark.createDataFrame([(i, f"word{i} text", "en") for i in range(3000)], "doc_id long, text string, lang string")
+    assert langid._sampled(rows, F.col("doc_id"), None, 13)[1].count() == 3000
+    assert langid._sampled(rows, F.col("doc_id"), 100, 13)[1].count() < 1000
